@@ -8,11 +8,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the plans rely on.  AQE re-plans joins from runtime sizes (a side
-# becomes a broadcast only once its measured size is under the threshold) and
-# splits skewed shuffle partitions of the fact side of a join.
+# Settings the plans rely on.
+# * No broadcast from planning-time estimates (a compressed file can decode
+#   to many times its size); AQE turns a join into a broadcast only after the
+#   side's shuffle has run and its measured size is under the threshold, and
+#   keeps the sort-merge join otherwise.
+# * AQE splits skewed shuffle partitions of the fact side of a join (one
+#   customer or product holding a large share of the orders) and coalesces
+#   small partitions.
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
