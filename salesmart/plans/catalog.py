@@ -30,7 +30,7 @@ from salesmart.operators.marts import (
 )
 from salesmart.operators.quality import clean_customers, clean_products
 from salesmart.operators.refs import clean_orders
-from salesmart.plans.etl import build_pipeline, publish_pipeline, run_etl
+from salesmart.plans.etl import publish_tables, run_etl, run_pipeline
 from salesmart.session import shared_dir
 from salesmart.sources.excel import write_workbook_table
 from salesmart.sources.files import read_customers, read_orders, read_products
@@ -47,7 +47,7 @@ def rendered(df: DataFrame) -> DataFrame:
 
 
 def _outputs(spark: SparkSession, sf: str, order_key=(S.ORDER_ID,)) -> dict[str, DataFrame]:
-    return build_pipeline(*raw_tables(spark, sf), order_key=order_key).outputs
+    return run_pipeline(*raw_tables(spark, sf), order_key=order_key)
 
 
 def _customers(spark, sf):
@@ -128,8 +128,7 @@ def json_order_issues(spark, sf):
 
 def parquet_publish(spark, sf):
     """Publish the seven tables, then count the rows of the written files."""
-    pipeline = build_pipeline(*raw_tables(spark, sf))
-    return table_counts(publish_pipeline(spark, pipeline, shared_dir(spark, "publish")))
+    return table_counts(publish_tables(spark, *raw_tables(spark, sf), shared_dir(spark, "publish")))
 
 
 def run_etl_aggregates(spark, sf):

@@ -1,20 +1,22 @@
-"""The end-to-end pipeline: raw tables -> seven output tables.
+"""The end-to-end job: raw tables -> seven output tables.
 
 ``run_pipeline`` builds the output catalogue as lazy DataFrames.  By default
 the referential check and the enrichment share one left join per dimension
 (``refs.annotate_orders``); ``fused=False`` runs them as separate steps.
-
-``run_etl`` reads the raw files, publishes the seven tables as parquet and
-returns them re-read from the written files.  The three annotated tables
-each feed two outputs, so they are persisted while the outputs are written
-(a lost executor's blocks are recomputed from the deterministic lineage),
-and the mart is aggregated from the written fact, which cuts the lineage.
+Each dimension leaves its dedup aggregate hash-partitioned on its key, so
+the join with the orders shuffles only the orders.
+
+``run_etl`` reads the raw files, publishes the seven tables as parquet
+(``publish_tables``) and returns them re-read from the written files.  Each
+annotated table feeds two outputs, so it is persisted while they are written
+(a lost executor's blocks are recomputed from the deterministic lineage);
+each later step reads the tables the earlier one wrote, which cuts the
+lineage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -51,25 +53,10 @@ OUTPUT_TABLES = (
 )
 
 
-@dataclass
-class Pipeline:
-    """The lazy output catalogue plus the shared parents worth persisting."""
-    outputs: dict[str, DataFrame]
-    shared: list[DataFrame]
-
-    def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Pipeline":
-        for df in self.shared:
-            df.persist(level)
-        return self
-
-    def unpersist(self) -> None:
-        for df in self.shared:
-            df.unpersist()
-
-
-def build_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw: DataFrame,
-                   order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, fused: bool = True,
-                   dedup: str = "aggregate") -> Pipeline:
+def run_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw: DataFrame,
+                 order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, fused: bool = True,
+                 dedup: str = "aggregate") -> dict[str, DataFrame]:
+    """The seven output tables as lazy DataFrames."""
     customers = annotate_customers(customers_raw, dedup)
     products = annotate_products(products_raw, dedup)
     customers_clean = impute_customer_names(customers)
@@ -83,9 +70,8 @@ def build_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw
     else:
         orders_clean, order_issues = clean_orders(orders_raw, customers_clean, products_clean,
                                                   order_key, dedup)
-        orders = orders_clean
         enriched = build_orders_enriched(orders_clean, customer_dim, product_dim)
-    outputs = {
+    return {
         "customer_data_issues": customer_issue_report(customers),
         "product_data_issues": product_issue_report(products),
         "order_data_issues": order_issues,
@@ -94,38 +80,61 @@ def build_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw
         "orders_enriched": enriched,
         "aggregates": aggregate_profit_by(enriched),
     }
-    return Pipeline(outputs, [customers, products, orders])
 
 
-def run_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw: DataFrame,
-                 order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, fused: bool = True,
-                 dedup: str = "aggregate") -> dict[str, DataFrame]:
-    """The seven output tables as lazy DataFrames."""
-    return build_pipeline(customers_raw, products_raw, orders_raw, order_key, fused, dedup).outputs
-
+def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw: DataFrame,
+                   orders_raw: DataFrame, output_base: str,
+                   order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, dedup: str = "aggregate",
+                   persist: bool = True, mode: str = "overwrite") -> dict[str, DataFrame]:
+    """Write the seven tables in three steps, each reading what the previous
+    one wrote, and return them re-read from the files.
+
+    1. customers and products: the annotated tables are persisted while their
+       issue report and dimension are written;
+    2. orders: checked and enriched against the dimensions *as written*
+       (the join side is a file scan, so AQE measures its shuffle and
+       broadcasts it only when it is small), persisted while the issue
+       report and the fact are written;
+    3. the mart, aggregated from the written fact.
+    """
+    level = StorageLevel.MEMORY_AND_DISK
+    customers = annotate_customers(customers_raw, dedup)
+    products = annotate_products(products_raw, dedup)
+    if persist:
+        customers.persist(level)
+        products.persist(level)
+    try:
+        publish({"customer_data_issues": customer_issue_report(customers),
+                 "customers": build_customer_dim(impute_customer_names(customers)),
+                 "product_data_issues": product_issue_report(products),
+                 "products": build_product_dim(valid_products(products))},
+                output_base, mode=mode)
+    finally:
+        if persist:
+            customers.unpersist()
+            products.unpersist()
 
-def publish_pipeline(spark: SparkSession, pipeline: Pipeline, output_base: str,
-                     persist: bool = True, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Write the seven tables; return them re-read from the files."""
+    dims = read_published(spark, output_base, ["customers", "products"])
+    orders = annotate_orders(orders_raw, dims["customers"], dims["products"], order_key, dedup)
     if persist:
-        pipeline.persist()
+        orders.persist(level)
     try:
-        publish(pipeline.outputs, output_base, OUTPUT_TABLES[:-1], mode)
-        fact = read_published(spark, output_base, ["orders_enriched"])["orders_enriched"]
-        publish({"aggregates": aggregate_profit_by(fact)}, output_base, ["aggregates"], mode)
+        publish({"order_data_issues": order_issue_report(orders),
+                 "orders_enriched": enriched_from_annotated(orders)}, output_base, mode=mode)
     finally:
         if persist:
-            pipeline.unpersist()
+            orders.unpersist()
+
+    fact = read_published(spark, output_base, ["orders_enriched"])["orders_enriched"]
+    publish({"aggregates": aggregate_profit_by(fact)}, output_base, mode=mode)
     return read_published(spark, output_base, OUTPUT_TABLES)
 
 
 def run_etl(spark: SparkSession, customers_path: str, products_path: str, orders_path: str,
             output_base: str, order_key: Sequence[str] | None = DEFAULT_ORDER_KEY,
-            orders_multiline: bool = False, fused: bool = True,
-            persist: bool = True) -> dict[str, DataFrame]:
+            orders_multiline: bool = False, persist: bool = True) -> dict[str, DataFrame]:
     """Read the raw files, clean, enrich, aggregate and publish."""
-    pipeline = build_pipeline(read_customers(spark, customers_path),
-                              read_products(spark, products_path),
-                              read_orders(spark, orders_path, multiline=orders_multiline),
-                              order_key=order_key, fused=fused)
-    return publish_pipeline(spark, pipeline, output_base, persist=persist)
+    return publish_tables(spark, read_customers(spark, customers_path),
+                          read_products(spark, products_path),
+                          read_orders(spark, orders_path, multiline=orders_multiline),
+                          output_base, order_key=order_key, persist=persist)

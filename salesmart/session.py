@@ -9,16 +9,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the plans rely on.
-# * No broadcast from planning-time estimates (a compressed file can decode
-#   to many times its size); AQE turns a join into a broadcast only after the
-#   side's shuffle has run and its measured size is under the threshold, and
-#   keeps the sort-merge join otherwise.
+# * Broadcasts are size-checked twice.  At planning time a side is broadcast
+#   only if its estimate is under 10 MB, where a file's estimate is ten times
+#   its size on disk (a compressed file decodes to several times its size).
+#   At run time AQE turns a sort-merge join into a broadcast only after the
+#   side's shuffle has run and its measured size is under 32 MB.  Anything
+#   larger stays a sort-merge join.
 # * AQE splits skewed shuffle partitions of the fact side of a join (one
 #   customer or product holding a large share of the orders) and coalesces
 #   small partitions.
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.sources.fileCompressionFactor": "10",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

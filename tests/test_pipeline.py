@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from salesmart import schemas as S
 from salesmart.operators.quality import annotate_customers, annotate_products
 from salesmart.operators.refs import prepare_orders
-from salesmart.plans.etl import OUTPUT_TABLES, build_pipeline, run_etl, run_pipeline
+from salesmart.plans.etl import OUTPUT_TABLES, run_etl, run_pipeline
 from salesmart.sources.excel import workbook_bytes
 from salesmart.sources.testdata import raw_tables
 
@@ -48,7 +48,7 @@ def test_run_etl_from_files(spark, tmp_path):
 
 @pytest.fixture(scope="module")
 def small(spark):
-    return build_pipeline(*raw_tables(spark, SF_SMALL)).outputs
+    return run_pipeline(*raw_tables(spark, SF_SMALL))
 
 
 def test_invariant_orders_split(spark, small):
@@ -68,7 +68,7 @@ def test_invariant_products_split(spark):
     annotated = annotate_products(products)
     total = annotated.count()
     null_price = annotated.where(F.col(S.UNIT_PRICE).isNull()).count()
-    outputs = build_pipeline(*raw_tables(spark, SF_SMALL)).outputs
+    outputs = run_pipeline(*raw_tables(spark, SF_SMALL))
     assert outputs["products"].count() + outputs["product_data_issues"].count() + null_price == total
 
 
