@@ -1 +1,8 @@
-"""Streaming forms of the pipeline steps."""
+"""Streaming forms of the pipeline steps.
+
+The job this library re-expresses is a batch job: it has no streams,
+watermarks, windows or state, so nothing is built here.  Every step is a
+plain DataFrame transformation, so a caller that receives order files
+continuously can apply ``refs.annotate_orders`` to each micro-batch inside
+``foreachBatch``.
+"""
