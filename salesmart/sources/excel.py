@@ -17,15 +17,21 @@ from __future__ import annotations
 import io
 import os
 import posixpath
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+# The task functions below are shipped by value, so executors need only the
+# standard library and pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The XML namespaces of the workbook format.
 MAIN_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 DOC_REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
