@@ -48,6 +48,12 @@ def first_rows(sorted_df: DataFrame, n: int = 5) -> DataFrame:
     return sorted_df.limit(n)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """``n`` rows of a table for display: the first ``n`` by all columns in
+    column order (nulls first), so the sample is the same on every run."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in df.columns]).limit(n)
+
+
 # The same roll-ups as SQL text over the temp view ``aggregates``.
 ROLLUP_SQL = {
     "profit_by_year": """
@@ -71,8 +77,11 @@ def register_aggregates(agg: DataFrame, view: str = "aggregates") -> None:
     agg.createOrReplaceTempView(view)
 
 
-def rollup_sql(spark: SparkSession, name: str) -> DataFrame:
-    """Run one of ``ROLLUP_SQL`` against the registered ``aggregates`` view."""
+def rollup_sql(spark: SparkSession, name: str, agg: DataFrame | None = None) -> DataFrame:
+    """Run one of ``ROLLUP_SQL`` against the ``aggregates`` view (registered
+    from ``agg`` first when given)."""
+    if agg is not None:
+        register_aggregates(agg)
     return spark.sql(ROLLUP_SQL[name])
 
 

@@ -22,10 +22,12 @@ from salesmart.operators.marts import (
     aggregate_profit_by,
     first_rows,
     issue_summary,
+    preview,
     profit_by_customer,
     profit_by_customer_year,
     profit_by_year,
     profit_by_year_category,
+    rollup_sql,
     table_counts,
 )
 from salesmart.operators.quality import clean_customers, clean_products
@@ -182,8 +184,19 @@ QUERIES: dict[str, Query] = {
     "first5_year_category": lambda spark, sf: first_rows(profit_by_year_category(_mart(spark, sf))),
     "top5_customers": lambda spark, sf: first_rows(profit_by_customer(_mart(spark, sf))),
     "first5_customer_year": lambda spark, sf: first_rows(profit_by_customer_year(_mart(spark, sf))),
+    # the same roll-ups as SQL text over the temp view ``aggregates``
+    "profit_by_year_sql": lambda spark, sf: rollup_sql(spark, "profit_by_year", _mart(spark, sf)),
+    "profit_by_year_category_sql": lambda spark, sf: rollup_sql(
+        spark, "profit_by_year_category", _mart(spark, sf)),
+    "profit_by_customer_sql": lambda spark, sf: rollup_sql(
+        spark, "profit_by_customer", _mart(spark, sf)),
+    "profit_by_customer_year_sql": lambda spark, sf: rollup_sql(
+        spark, "profit_by_customer_year", _mart(spark, sf)),
     # catalogue
     "table_counts": lambda spark, sf: table_counts(_outputs(spark, sf)),
+    "preview_orders_enriched": lambda spark, sf: preview(_outputs(spark, sf)["orders_enriched"]),
+    "preview_customer_issues": lambda spark, sf: rendered(
+        preview(_outputs(spark, sf)["customer_data_issues"])),
     # sources and sinks
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,

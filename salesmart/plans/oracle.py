@@ -239,7 +239,23 @@ _BODIES = {
     "first5_year_category": _BY_YEAR_CAT + " ORDER BY Year ASC NULLS FIRST, Category ASC NULLS FIRST LIMIT 5",
     "top5_customers": _BY_CUST + " ORDER BY ProfitByCustomer DESC NULLS LAST, CustomerName ASC NULLS FIRST LIMIT 5",
     "first5_customer_year": _BY_CUST_YEAR + " ORDER BY Year ASC NULLS FIRST, CustomerName DESC NULLS LAST LIMIT 5",
+    "profit_by_year_sql": _BY_YEAR,
+    "profit_by_year_category_sql": _BY_YEAR_CAT,
+    "profit_by_customer_sql": _BY_CUST,
+    "profit_by_customer_year_sql": _BY_CUST_YEAR,
     "table_counts": _TABLE_COUNTS,
+    "preview_orders_enriched": """
+SELECT * FROM orders_enriched
+ORDER BY "Order ID" NULLS FIRST, OrderDate NULLS FIRST, ShipDate NULLS FIRST,
+  "Ship Mode" NULLS FIRST, CustomerID NULLS FIRST, CustomerName NULLS FIRST, Country NULLS FIRST,
+  ProductID NULLS FIRST, Category NULLS FIRST, SubCategory NULLS FIRST, "Quantity" NULLS FIRST,
+  "Price" NULLS FIRST, "Discount" NULLS FIRST, ProfitRounded NULLS FIRST, Year NULLS FIRST
+LIMIT 5""",
+    "preview_customer_issues": """
+SELECT * FROM customer_issues
+ORDER BY CustomerID NULLS FIRST, CustomerName NULLS FIRST, Email NULLS FIRST, Phone NULLS FIRST,
+  PostalCode NULLS FIRST, Region NULLS FIRST, "Issues" NULLS FIRST
+LIMIT 5""",
     "csv_roundtrip": "SELECT * FROM raw_products",
     "json_roundtrip": "SELECT * FROM raw_orders",
     "xlsx_ingest": "SELECT * FROM raw_customers",
