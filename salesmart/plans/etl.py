@@ -104,7 +104,7 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
         customers.persist(level)
         products.persist(level)
     try:
-        publish({"customer_data_issues": customer_issue_report(customers),
+        written = publish({"customer_data_issues": customer_issue_report(customers),
                  "customers": build_customer_dim(impute_customer_names(customers)),
                  "product_data_issues": product_issue_report(products),
                  "products": build_product_dim(valid_products(products))},
@@ -114,20 +114,21 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
             customers.unpersist()
             products.unpersist()
 
-    dims = read_published(spark, output_base, ["customers", "products"])
+    dims = read_published(spark, output_base, ["customers", "products"], written)
     orders = annotate_orders(orders_raw, dims["customers"], dims["products"], order_key, dedup)
     if persist:
         orders.persist(level)
     try:
-        publish({"order_data_issues": order_issue_report(orders),
-                 "orders_enriched": enriched_from_annotated(orders)}, output_base, mode=mode)
+        written.update(publish({"order_data_issues": order_issue_report(orders),
+                                "orders_enriched": enriched_from_annotated(orders)},
+                               output_base, mode=mode))
     finally:
         if persist:
             orders.unpersist()
 
-    fact = read_published(spark, output_base, ["orders_enriched"])["orders_enriched"]
-    publish({"aggregates": aggregate_profit_by(fact)}, output_base, mode=mode)
-    return read_published(spark, output_base, OUTPUT_TABLES)
+    fact = read_published(spark, output_base, ["orders_enriched"], written)["orders_enriched"]
+    written.update(publish({"aggregates": aggregate_profit_by(fact)}, output_base, mode=mode))
+    return read_published(spark, output_base, OUTPUT_TABLES, written)
 
 
 def run_etl(spark: SparkSession, customers_path: str, products_path: str, orders_path: str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -12,11 +13,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def publish(catalog: Mapping[str, DataFrame], base: str, names: Iterable[str] | None = None,
-            mode: str = "overwrite") -> None:
-    """Write the named tables (all by default) to ``base/<name>``."""
+            mode: str = "overwrite") -> dict[str, StructType]:
+    """Write the named tables (all by default) to ``base/<name>``; return
+    the schema of each table written."""
+    written = {}
     for name in (names if names is not None else catalog):
         write_parquet(catalog[name], f"{base.rstrip('/')}/{name}", mode)
-
-
-def read_published(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{base.rstrip('/')}/{n}") for n in names}
+        written[name] = catalog[name].schema
+    return written
+
+
+def read_published(spark: SparkSession, base: str, names: Iterable[str],
+                   schemas: Mapping[str, StructType] | None = None) -> dict[str, DataFrame]:
+    """The named tables under ``base``; a known schema spares the footer
+    read that infers it."""
+    schemas = schemas or {}
+    out = {}
+    for n in names:
+        reader = spark.read.schema(schemas[n]) if n in schemas else spark.read
+        out[n] = reader.parquet(f"{base.rstrip('/')}/{n}")
+    return out

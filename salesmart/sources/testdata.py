@@ -22,13 +22,29 @@ from salesmart import schemas as S
 # Region names mapped to a raw region text (valid, mixed case or padded).
 REGION_TEXT = {"AFRICA": "North", "AMERICA": "south", "ASIA": " East ", "EUROPE": "CENTRAL"}
 
+# Declared schemas of the test tables this module reads (no inference job).
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
     """One test table.  With ``spread_key``, a scan that yields fewer
     partitions than the cluster has task slots (a small file written as one
     row group) is hash-partitioned on that key so that the work after it
     runs on every core; a table stored as many files is left as it is."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread_key is not None:
         slots = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < slots:
