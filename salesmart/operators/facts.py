@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesmart import schemas as S
 from salesmart.functions.scalar import parse_dmy, round2, to_double
+from salesmart.operators.skew import hot_keys, left_lookup
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -24,12 +25,22 @@ def _renamed(orders: DataFrame) -> DataFrame:
     return df
 
 
-def build_orders_enriched(orders: DataFrame, customer_dim: DataFrame,
-                          product_dim: DataFrame) -> DataFrame:
+def build_orders_enriched(orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame,
+                          hot_share: float | None = None) -> DataFrame:
     """Orders left-joined with both dimensions; orders without a matching
-    dimension row are kept with null attributes."""
+    dimension row are kept with null attributes.
+
+    With ``hot_share`` (e.g. ``skew.DEFAULT_HOT_SHARE``) keys holding more
+    than that share of the orders are salted; their count is taken over
+    ``orders``, so pass it when ``orders`` is cheap to recompute.  The
+    pipeline's default fused path salts both joins with keys counted on the
+    prepared orders (``refs.annotate_orders``)."""
     df = _renamed(orders)
-    df = df.join(customer_dim, "CustomerID", "left").join(product_dim, "ProductID", "left")
+    hot_c = hot_p = None
+    if hot_share is not None:
+        hot_c, hot_p = hot_keys(df, "CustomerID", hot_share), hot_keys(df, "ProductID", hot_share)
+    df = left_lookup(df, customer_dim, "CustomerID", hot_c)
+    df = left_lookup(df, product_dim, "ProductID", hot_p)
     return _finish(df)
 
 

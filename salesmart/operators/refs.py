@@ -27,6 +27,7 @@ from salesmart.functions.rules import (
 )
 from salesmart.functions.scalar import parse_dmy
 from salesmart.operators.dedup import keep_one_per_key
+from salesmart.operators.skew import hot_keys, left_lookup
 
 ISSUES = "Issues"
 _CUST_OK = "__customer_found"
@@ -47,14 +48,19 @@ def prepare_orders(orders: DataFrame, order_key: Sequence[str] | None = DEFAULT_
 
 
 def _lookup(df: DataFrame, parent: DataFrame, key: str, parent_key: str, marker: str,
-            carry: Sequence[str] = ()) -> DataFrame:
+            carry: Sequence[str] = (), hot: DataFrame | None = None) -> DataFrame:
     """Left join ``df`` with the parent's ``parent_key`` (plus ``carry``
-    columns) and a marker that is null where no parent row matched."""
+    columns) and a marker that is null where no parent row matched.  Keys
+    listed in ``hot`` are salted (``skew.left_lookup``)."""
     side = parent.select(F.col(parent_key).alias(key), *[F.col(c) for c in carry],
                          F.lit(True).alias(marker))
     if not carry:
         side = side.distinct()
-    return df.join(side, on=key, how="left")
+    return left_lookup(df, side, key, hot)
+
+
+def _hot(df: DataFrame, key: str, hot_share: float | None) -> DataFrame | None:
+    return None if hot_share is None else hot_keys(df, key, hot_share)
 
 
 def _with_ref_issues(df: DataFrame) -> DataFrame:
@@ -78,26 +84,32 @@ def valid_orders(annotated: DataFrame) -> DataFrame:
 
 def clean_orders(orders: DataFrame, customers: DataFrame, products: DataFrame,
                  order_key: Sequence[str] | None = DEFAULT_ORDER_KEY,
-                 dedup: str = "aggregate") -> tuple[DataFrame, DataFrame]:
+                 dedup: str = "aggregate",
+                 hot_share: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid orders, issue report).  ``customers`` and ``products`` are the
-    cleaned tables; an order is valid when both of its parents exist."""
+    cleaned tables; an order is valid when both of its parents exist.
+    ``hot_share`` salts keys holding more than that share of the orders
+    (``skew.left_lookup``); by default AQE splits skewed partitions."""
     df = prepare_orders(orders, order_key, dedup)
     cols = df.columns
-    df = _lookup(df, customers, S.CUSTOMER_ID, S.CUSTOMER_ID, _CUST_OK)
-    df = _lookup(df, products, S.PRODUCT_ID, S.PRODUCT_ID, _PROD_OK)
+    hot_c, hot_p = _hot(df, S.CUSTOMER_ID, hot_share), _hot(df, S.PRODUCT_ID, hot_share)
+    df = _lookup(df, customers, S.CUSTOMER_ID, S.CUSTOMER_ID, _CUST_OK, hot=hot_c)
+    df = _lookup(df, products, S.PRODUCT_ID, S.PRODUCT_ID, _PROD_OK, hot=hot_p)
     annotated = _with_ref_issues(df.select(*cols, _CUST_OK, _PROD_OK))
     return valid_orders(annotated), order_issue_report(annotated)
 
 
 def annotate_orders(orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame,
                     order_key: Sequence[str] | None = DEFAULT_ORDER_KEY,
-                    dedup: str = "aggregate") -> DataFrame:
+                    dedup: str = "aggregate",
+                    hot_share: float | None = None) -> DataFrame:
     """Prepared orders with ``Issues`` and the dimension attributes, from one
     left join per dimension (keys ``CustomerID`` / ``ProductID``)."""
     df = prepare_orders(orders, order_key, dedup)
     cols = df.columns
     cust_attrs = [c for c in customer_dim.columns if c != "CustomerID"]
     prod_attrs = [c for c in product_dim.columns if c != "ProductID"]
-    df = _lookup(df, customer_dim, S.CUSTOMER_ID, "CustomerID", _CUST_OK, cust_attrs)
-    df = _lookup(df, product_dim, S.PRODUCT_ID, "ProductID", _PROD_OK, prod_attrs)
+    hot_c, hot_p = _hot(df, S.CUSTOMER_ID, hot_share), _hot(df, S.PRODUCT_ID, hot_share)
+    df = _lookup(df, customer_dim, S.CUSTOMER_ID, "CustomerID", _CUST_OK, cust_attrs, hot_c)
+    df = _lookup(df, product_dim, S.PRODUCT_ID, "ProductID", _PROD_OK, prod_attrs, hot_p)
     return _with_ref_issues(df.select(*cols, *cust_attrs, *prod_attrs, _CUST_OK, _PROD_OK))
