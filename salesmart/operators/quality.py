@@ -65,6 +65,9 @@ def annotate_products(df: DataFrame, dedup: str = "aggregate") -> DataFrame:
     df = keep_one_per_key(df.dropna(subset=[S.PRODUCT_ID]), [S.PRODUCT_ID], dedup)
     price = S.resolve_alias(df.columns, S.PRICE_ALIASES, pick="first")
     if price != S.UNIT_PRICE:
+        if S.UNIT_PRICE in df.columns:
+            raise ValueError(f"price column {price!r} would clash with the existing "
+                             f"{S.UNIT_PRICE!r} column")
         df = df.withColumnRenamed(price, S.UNIT_PRICE)
     return df.withColumn(S.UNIT_PRICE, to_double(F.col(S.UNIT_PRICE)))
 
