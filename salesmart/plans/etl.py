@@ -3,8 +3,9 @@
 ``run_pipeline`` builds the output catalogue as lazy DataFrames.  By default
 the referential check and the enrichment share one left join per dimension
 (``refs.annotate_orders``); ``fused=False`` runs them as separate steps.
-Each dimension leaves its dedup aggregate hash-partitioned on its key, so
-the join with the orders shuffles only the orders.
+Every lookup join rebalances its dimension side, so AQE can broadcast a
+dimension it measures as small and split the orders partition of a hot key
+(``operators/skew.py``).
 
 ``run_etl`` reads the raw files, publishes the seven tables as parquet
 (``publish_tables``) and returns them re-read from the written files.  Each
@@ -105,10 +106,10 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
         products.persist(level)
     try:
         written = publish({"customer_data_issues": customer_issue_report(customers),
-                 "customers": build_customer_dim(impute_customer_names(customers)),
-                 "product_data_issues": product_issue_report(products),
-                 "products": build_product_dim(valid_products(products))},
-                output_base, mode=mode)
+                           "customers": build_customer_dim(impute_customer_names(customers)),
+                           "product_data_issues": product_issue_report(products),
+                           "products": build_product_dim(valid_products(products))},
+                          output_base, mode=mode)
     finally:
         if persist:
             customers.unpersist()
