@@ -123,8 +123,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
-    profit = (F.col("l_extendedprice").cast("decimal(12,2)")
-              * (F.col("l_discount").cast("decimal(4,2)") - F.lit(0.05).cast("decimal(4,2)")))
+    # Profit = price * (discount - 0.05), both rounded to cents, computed
+    # exactly: in whole cents and basis points the product is an integer far
+    # below 2**53, and dividing two exact integers rounds to the nearest
+    # double, the same double the exact decimal product converts to.
+    price_cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
+    discount_cents = F.rint(F.col("l_discount") * 100).cast("long")
+    profit = (price_cents * (discount_cents - 5)).cast("double") / F.lit(10000.0)
     return j.select(
         F.when(ok % 211 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("O"), ok.cast("string"))).alias(S.ORDER_ID),
@@ -138,7 +143,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias(S.PRICE),
         F.col("l_discount").alias(S.DISCOUNT),
         F.when((F.col("l_linenumber") == 7) & (ok % 5 == 0), F.lit(None).cast("double"))
-         .otherwise(profit.cast("double")).alias(S.PROFIT),
+         .otherwise(profit).alias(S.PROFIT),
         F.col("l_linestatus").alias(S.SHIP_MODE),
     )
 
