@@ -219,13 +219,15 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def write_workbooks(df: DataFrame, folder: str) -> DataFrame:
-    """Write each partition of ``df`` as ``part-<n>.xlsx`` under ``folder``
-    (a path the executors mount) and return the lazy (file, rows) list.
-
-    The file name depends only on the partition, and each file is written
-    under a temporary name and renamed, so a retried task rewrites the same
-    file.
+def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = 100_000) -> DataFrame:
+    """Write each partition of ``df`` as workbooks of at most
+    ``rows_per_workbook`` rows (a sheet holds about a million rows at most),
+    named ``part-<partition>-<n>.xlsx`` under ``folder`` (a path the executors
+    mount), and return the lazy (file, rows) list.
+
+    Names depend only on the partition and the row position, and each file is
+    written under a temporary name and renamed, so a retried task rewrites the
+    same files.  A task holds one workbook's rows at a time.
     """
     header = df.columns
     out = _local(folder)
@@ -233,22 +235,35 @@ def write_workbooks(df: DataFrame, folder: str) -> DataFrame:
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        rows = [row for pdf in batches for row in pdf.astype(object)
-                .where(pdf.notna(), None).itertuples(index=False, name=None)]
+        part = TaskContext.get().partitionId()
         os.makedirs(out, exist_ok=True)
-        target = os.path.join(out, f"part-{TaskContext.get().partitionId():05d}.xlsx")
-        tmp = f"{target}.tmp-{os.getpid()}"
-        with open(tmp, "wb") as fh:
-            fh.write(workbook_bytes(header, rows))
-        os.replace(tmp, target)
-        yield pd.DataFrame({"file": [target], "rows": [len(rows)]})
+        files, counts, chunk = [], [], []
+
+        def flush():
+            target = os.path.join(out, f"part-{part:05d}-{len(files):04d}.xlsx")
+            tmp = f"{target}.tmp-{os.getpid()}"
+            with open(tmp, "wb") as fh:
+                fh.write(workbook_bytes(header, chunk))
+            os.replace(tmp, target)
+            files.append(target)
+            counts.append(len(chunk))
+
+        for pdf in batches:
+            for row in pdf.astype(object).where(pdf.notna(), None).itertuples(index=False, name=None):
+                chunk.append(row)
+                if len(chunk) >= rows_per_workbook:
+                    flush()
+                    chunk = []
+        if chunk or not files:
+            flush()
+        yield pd.DataFrame({"file": files, "rows": counts})
 
     return df.mapInPandas(write, "file string, rows long")
 
 
-def write_workbook_table(df: DataFrame, folder: str) -> None:
+def write_workbook_table(df: DataFrame, folder: str, rows_per_workbook: int = 100_000) -> None:
     """Run ``write_workbooks`` to completion (one job, nothing collected)."""
-    write_workbooks(df, folder).write.format("noop").mode("overwrite").save()
+    write_workbooks(df, folder, rows_per_workbook).write.format("noop").mode("overwrite").save()
 
 
 __all__ = ["read_workbooks", "write_workbooks", "write_workbook_table", "workbook_bytes",
