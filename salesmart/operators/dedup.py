@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.schemas import q
+
 _ROW = "__survivor"
 _RANK = "__rank"
 
@@ -35,11 +37,10 @@ def keep_one_per_key(df: DataFrame, keys: Sequence[str], strategy: str = "aggreg
     if not others:
         return df.select(*[F.col(k) for k in keys]).distinct()
     if strategy == "aggregate":
-        survivor = F.min(F.struct(*[F.col(c) for c in others])).alias(_ROW)
-        kept = df.groupBy(*[F.col(k) for k in keys]).agg(survivor)
-        return kept.select(*[F.col(k) for k in keys],
-                           *[F.col(_ROW).getField(c).alias(c) for c in others]
-                           ).select(*[F.col(c) for c in df.columns])
+        fields = ", ".join(q(c) for c in others)
+        kept = df.groupBy(*keys).agg(F.expr(f"min(struct({fields})) AS {_ROW}"))
+        unpack = {c: f"{q(c)}" if c in keys else f"{_ROW}.{q(c)} AS {q(c)}" for c in df.columns}
+        return kept.selectExpr(*[unpack[c] for c in df.columns])
     if strategy == "window":
         order = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(
             *[F.col(c).asc_nulls_first() for c in others])

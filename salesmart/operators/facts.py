@@ -15,7 +15,8 @@ def _finish(df: DataFrame) -> DataFrame:
     columns skipped)."""
     df = df.withColumns({"ProfitRounded": round2(to_double(F.col(S.PROFIT))),
                          "Year": F.year(F.col("OrderDate"))})
-    return df.select(*[F.col(c) for c in S.ENRICHED_COLUMNS if c in df.columns])
+    present = set(df.columns)
+    return df.selectExpr(*[S.q(c) for c in S.ENRICHED_COLUMNS if c in present])
 
 
 def _renamed(orders: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def annotate_customers(df: DataFrame, dedup: str = "aggregate") -> DataFrame:
     The id is neither trimmed nor validated; the dedup runs on the raw rows.
     """
     df = keep_one_per_key(df.dropna(subset=[S.CUSTOMER_ID]), [S.CUSTOMER_ID], dedup)
-    df = df.withColumns({c: F.trim(F.col(c).cast("string")) for c in CUSTOMER_TEXT})
+    df = df.withColumns({c: F.expr(f"trim(CAST({S.q(c)} AS STRING))") for c in CUSTOMER_TEXT})
     rules = customer_rules(*[F.col(c) for c in CUSTOMER_TEXT])
     return df.withColumn(ISSUES, issues_of(rules))
 

@@ -72,6 +72,11 @@ ORDER_SCHEMA = StructType([
 ])
 
 
+def q(name: str) -> str:
+    """``name`` quoted for use inside SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def resolve_alias(columns: Iterable[str], aliases: Iterable[str], pick: str = "first") -> str:
     """Name of the column whose normalised name is in ``aliases``.
 

@@ -2,7 +2,8 @@
 
 The test tables are clean (no missing keys, duplicates or orphans), so the
 raw customer, product and order tables are built from them by deterministic
-column expressions that plant every kind of dirt the cleaning steps handle:
+column expressions (SQL expression text, one call each) that plant every
+kind of dirt the cleaning steps handle:
 missing and duplicated keys, blank and malformed names, bad emails, phones,
 postal codes and regions, negative and missing prices, unknown parent ids
 and missing profits.  Duplicated rows come from ``explode`` of a one- or
@@ -14,8 +15,7 @@ texts it plants.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from salesmart import schemas as S
 
@@ -52,14 +52,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None =
     return df
 
 
-def _copies(k: Column, every: int) -> Column:
+def _copies(key: str, every: int) -> str:
     """0 for the original row and 1 for its duplicate, on every ``every``-th key."""
-    return F.explode(F.when(k % every == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return f"explode(CASE WHEN {key} % {every} = 0 THEN array(0, 1) ELSE array(0) END) AS dup"
 
 
-def _dmy(ts: Column) -> Column:
-    return F.concat_ws("/", F.dayofmonth(ts).cast("string"), F.month(ts).cast("string"),
-                       F.year(ts).cast("string"))
+def _dmy(ts: str) -> str:
+    return (f"concat_ws('/', CAST(day({ts}) AS STRING), CAST(month({ts}) AS STRING), "
+            f"CAST(year({ts}) AS STRING))")
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,52 +67,35 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     base = (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-             .select(F.col("c_custkey").alias("k"), "c_name", F.lower("c_mktsegment").alias("seg"),
-                     "n_name", "r_name"))
-    base = base.select("*", _copies(F.col("k"), 23).alias("dup"))
-    k, seg, ks = F.col("k"), F.col("seg"), F.col("k").cast("string")
-    region = F.col("r_name")
-    for name, text in REGION_TEXT.items():
-        region = F.when(F.col("r_name") == name, F.lit(text)).otherwise(region)
-    return base.select(
-        F.when(k % 97 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("C"), ks)).alias(S.CUSTOMER_ID),
-        F.when(F.col("dup") == 1, F.lit("Duplicate"))
-         .when(k % 11 == 0, F.lit(None).cast("string"))
-         .when(k % 11 == 1, F.lit("   "))
-         .when(k % 11 == 2, F.col("c_name"))
-         .otherwise(F.concat(F.lit("  Client "), seg)).alias(S.CUSTOMER_NAME),
-        F.when(k % 13 == 0, F.lit(None).cast("string"))
-         .when(k % 13 == 1, F.lit("invalidemail"))
-         .otherwise(F.concat(seg, ks, F.lit("@example.com"))).alias(S.EMAIL),
-        F.when(k % 17 == 0, F.lit("nan"))
-         .when(k % 17 == 1, F.lit("#ERROR!"))
-         .when(k % 17 == 2, F.lit("(555)-123-4567"))
-         .when(k % 17 == 3, F.lit("555.123.4567"))
-         .when(k % 17 == 4, F.lit("555-123-4567"))
-         .otherwise(F.lpad(ks, 10, "5")).alias(S.PHONE),
-        F.when(k % 19 == 0, F.lit("1841"))
-         .when(k % 19 == 1, F.lit("12345.0"))
-         .when(k % 19 == 2, F.lit("12345-6789"))
-         .when(k % 19 == 3, F.lit(None).cast("string"))
-         .otherwise(F.lpad(ks, 5, "1")).alias(S.POSTAL_CODE),
-        region.alias(S.REGION),
-        F.col("n_name").alias(S.COUNTRY),
+             .selectExpr("c_custkey AS k", "c_name", "lower(c_mktsegment) AS seg", "n_name",
+                         "r_name", _copies("c_custkey", 23)))
+    region = " ".join(f"WHEN '{name}' THEN '{text}'" for name, text in REGION_TEXT.items())
+    return base.selectExpr(
+        f"CASE WHEN k % 97 = 0 THEN NULL ELSE concat('C', CAST(k AS STRING)) END AS `{S.CUSTOMER_ID}`",
+        "CASE WHEN dup = 1 THEN 'Duplicate' WHEN k % 11 = 0 THEN NULL WHEN k % 11 = 1 THEN '   ' "
+        f"WHEN k % 11 = 2 THEN c_name ELSE concat('  Client ', seg) END AS `{S.CUSTOMER_NAME}`",
+        "CASE WHEN k % 13 = 0 THEN NULL WHEN k % 13 = 1 THEN 'invalidemail' "
+        f"ELSE concat(seg, CAST(k AS STRING), '@example.com') END AS `{S.EMAIL}`",
+        "CASE k % 17 WHEN 0 THEN 'nan' WHEN 1 THEN '#ERROR!' WHEN 2 THEN '(555)-123-4567' "
+        "WHEN 3 THEN '555.123.4567' WHEN 4 THEN '555-123-4567' "
+        f"ELSE lpad(CAST(k AS STRING), 10, '5') END AS `{S.PHONE}`",
+        "CASE k % 19 WHEN 0 THEN '1841' WHEN 1 THEN '12345.0' WHEN 2 THEN '12345-6789' "
+        f"WHEN 3 THEN NULL ELSE lpad(CAST(k AS STRING), 5, '1') END AS `{S.POSTAL_CODE}`",
+        f"CASE r_name {region} ELSE r_name END AS `{S.REGION}`",
+        f"n_name AS `{S.COUNTRY}`",
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
-    p = p.select("*", _copies(F.col("p_partkey"), 37).alias("dup"))
-    k = F.col("p_partkey")
-    return p.select(
-        F.when(k % 101 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("P"), k.cast("string"))).alias(S.PRODUCT_ID),
-        F.col("p_name").alias(S.PRODUCT_NAME),
-        F.when(k % 31 == 0, F.lit(None).cast("double"))
-         .when(k % 29 == 0, -F.col("p_retailprice"))
-         .otherwise(F.col("p_retailprice") + F.col("dup")).alias("Price per product"),
-        F.col("p_type").alias(S.CATEGORY),
-        F.col("p_brand").alias(S.SUB_CATEGORY),
+    p = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS k", "p_name", "p_brand", "p_type", "p_retailprice", _copies("p_partkey", 37))
+    return p.selectExpr(
+        f"CASE WHEN k % 101 = 0 THEN NULL ELSE concat('P', CAST(k AS STRING)) END AS `{S.PRODUCT_ID}`",
+        f"p_name AS `{S.PRODUCT_NAME}`",
+        "CASE WHEN k % 31 = 0 THEN CAST(NULL AS DOUBLE) WHEN k % 29 = 0 THEN -p_retailprice "
+        "ELSE p_retailprice + dup END AS `Price per product`",
+        f"p_type AS `{S.CATEGORY}`",
+        f"p_brand AS `{S.SUB_CATEGORY}`",
     )
 
 
@@ -122,29 +105,27 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_discount", "l_linestatus", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     # Profit = price * (discount - 0.05), both rounded to cents, computed
     # exactly: in whole cents and basis points the product is an integer far
     # below 2**53, and dividing two exact integers rounds to the nearest
     # double, the same double the exact decimal product converts to.
-    price_cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
-    discount_cents = F.rint(F.col("l_discount") * 100).cast("long")
-    profit = (price_cents * (discount_cents - 5)).cast("double") / F.lit(10000.0)
-    return j.select(
-        F.when(ok % 211 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("O"), ok.cast("string"))).alias(S.ORDER_ID),
-        F.concat(F.when(ok % 53 == 0, F.lit("X")).otherwise(F.lit("C")),
-                 F.col("o_custkey").cast("string")).alias(S.CUSTOMER_ID),
-        F.concat(F.when(pk % 41 == 0, F.lit("X")).otherwise(F.lit("P")),
-                 pk.cast("string")).alias(S.PRODUCT_ID),
-        _dmy(F.col("o_orderdate")).alias(S.ORDER_DATE),
-        _dmy(F.col("l_shipdate")).alias(S.SHIP_DATE),
-        F.col("l_quantity").alias(S.QUANTITY),
-        F.col("l_extendedprice").alias(S.PRICE),
-        F.col("l_discount").alias(S.DISCOUNT),
-        F.when((F.col("l_linenumber") == 7) & (ok % 5 == 0), F.lit(None).cast("double"))
-         .otherwise(profit).alias(S.PROFIT),
-        F.col("l_linestatus").alias(S.SHIP_MODE),
+    profit = ("CAST(CAST(rint(l_extendedprice * 100) AS BIGINT) "
+              "* (CAST(rint(l_discount * 100) AS BIGINT) - 5) AS DOUBLE) / 10000.0")
+    return j.selectExpr(
+        "CASE WHEN l_orderkey % 211 = 0 THEN NULL "
+        f"ELSE concat('O', CAST(l_orderkey AS STRING)) END AS `{S.ORDER_ID}`",
+        "concat(CASE WHEN l_orderkey % 53 = 0 THEN 'X' ELSE 'C' END, CAST(o_custkey AS STRING)) "
+        f"AS `{S.CUSTOMER_ID}`",
+        "concat(CASE WHEN l_partkey % 41 = 0 THEN 'X' ELSE 'P' END, CAST(l_partkey AS STRING)) "
+        f"AS `{S.PRODUCT_ID}`",
+        f"{_dmy('o_orderdate')} AS `{S.ORDER_DATE}`",
+        f"{_dmy('l_shipdate')} AS `{S.SHIP_DATE}`",
+        f"l_quantity AS `{S.QUANTITY}`",
+        f"l_extendedprice AS `{S.PRICE}`",
+        f"l_discount AS `{S.DISCOUNT}`",
+        f"CASE WHEN l_linenumber = 7 AND l_orderkey % 5 = 0 THEN CAST(NULL AS DOUBLE) "
+        f"ELSE {profit} END AS `{S.PROFIT}`",
+        f"l_linestatus AS `{S.SHIP_MODE}`",
     )
 
 
