@@ -76,3 +76,26 @@ def test_salted_lookup_equals_plain_join(spark, skewed, large_sides):
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
     unmatched = salted.where(F.col("CustomerName").isNull()).count()
     assert unmatched == plain.where(F.col("CustomerName").isNull()).count() > 0
+
+
+def test_clean_orders_salted_equals_default(spark, skewed):
+    from salesmart import clean_customers, clean_orders, clean_products
+    orders, _ = skewed
+    orders = orders.selectExpr("`Order ID`", "`Customer ID`",
+                               "CASE WHEN length(`Order ID`) % 2 = 0 THEN 'P1' ELSE 'P2' END AS `Product ID`",
+                               "1.5 AS Profit", "'1/2/2023' AS `Order Date`", "'3/2/2023' AS `Ship Date`")
+    customers = spark.range(400).selectExpr(
+        "concat('C', CAST(id AS STRING)) AS `Customer ID`", "'Ann' AS `Customer Name`",
+        "'a@b.co' AS email", "'1234567890' AS phone", "'12345' AS `Postal Code`",
+        "'North' AS Region", "'X' AS Country")
+    products = spark.createDataFrame([("P1", 1.0, "c", "s")], "`Product ID` string, "
+                                     "UnitPrice double, Category string, `Sub-Category` string")
+    cust, _ = clean_customers(customers)
+    prod, _ = clean_products(products)
+    plain = clean_orders(orders, cust, prod)
+    salted = clean_orders(orders, cust, prod, hot_share=0.01)
+    for a, b in zip(plain, salted):
+        a = a.withColumn("Issues", F.concat_ws("|", "Issues"))
+        b = b.withColumn("Issues", F.concat_ws("|", "Issues"))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert salted[1].count() > 0 and salted[0].count() > 0
