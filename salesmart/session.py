@@ -53,7 +53,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     on the context); only when neither exists (local tests) is a folder
     created and registered here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no context; read the setting only
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise RuntimeError("spark.checkpoint.dir is not set on this session")
+        return base
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="salesmart-ckpt-")

@@ -46,8 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None =
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
     df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread_key is not None:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
+        try:
+            slots = spark.sparkContext.defaultParallelism
+            scan_parts = df.rdd.getNumPartitions()
+        except Exception:  # no context or RDD view (e.g. a remote session): keep the scan as is
+            return df
+        if scan_parts < slots:
             df = df.repartition(slots, spread_key)
     return df
 
