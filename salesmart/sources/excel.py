@@ -152,7 +152,7 @@ def read_workbooks(spark: SparkSession, path: str, schema: StructType) -> DataFr
     """All workbooks under ``path`` (a file, folder or glob), first sheet
     each, as text columns named by ``schema`` (all fields must be strings)."""
     files = (spark.read.format("binaryFile")
-             .option("pathGlobFilter", "*.xlsx")
+             .option("pathGlobFilter", "*.[xX][lL][sS][xX]")
              .load(path)
              .select("content"))
     return files.mapInPandas(_parse_batches(schema), schema)

@@ -85,3 +85,10 @@ def test_read_orders_json_lines(spark, tmp_path):
     path = tmp_path / "orders.jsonl"
     path.write_text("\n".join(json.dumps({"Order ID": f"O{i}", "Profit": i}) for i in range(5)))
     assert read_orders(spark, str(path)).count() == 5
+
+
+def test_workbook_extension_any_case(spark, tmp_path):
+    (tmp_path / "UPPER.XLSX").write_bytes(workbook_bytes(["Customer ID"], [["Z1"]]))
+    (tmp_path / "notes.txt").write_text("not a workbook")
+    df = read_customers(spark, str(tmp_path))
+    assert [r["Customer ID"] for r in df.collect()] == ["Z1"]
