@@ -92,3 +92,62 @@ def test_ids_are_not_trimmed(spark):
     prod, _ = clean_products(products)
     _, issues = clean_orders(orders, cust, prod)
     assert [list(r["Issues"]) for r in issues.collect()] == [["invalid_customer_id"]]
+
+
+# --- customer rules against brute force -------------------------------------
+
+import regex  # noqa: E402
+
+from salesmart import clean_customers  # noqa: E402
+from salesmart.functions import rules as R  # noqa: E402
+
+CHARS = st.sampled_from(list("abcXYZéÑ 1907@.-_()'\t\n+%") + ["  "])
+SOME_TEXT = st.one_of(st.none(), st.lists(CHARS, max_size=12).map("".join))
+PHONES = st.one_of(SOME_TEXT, st.sampled_from(["1234567890", "(123)-456-7890", "123.456.7890",
+                                               "123-456-7890", " 123-456-7890 ", "1234567890\n"]))
+POSTALS = st.one_of(SOME_TEXT, st.sampled_from(["12345", "12345-6789", " 12345", "1234"]))
+EMAILS = st.one_of(SOME_TEXT, st.sampled_from(["a.b+c@ex-ample.co", "x@y.z", "@host.com"]))
+REGIONS = st.one_of(SOME_TEXT, st.sampled_from(["North", " south ", "EAST", "west", "Central",
+                                               "Nowhere"]))
+
+
+def expected_codes(name, email, phone, postal, region):
+    def trim(v):
+        return None if v is None else v.strip(" ")
+
+    def fails(pattern, v):
+        return v is not None and regex.search(pattern, v) is None
+
+    name, email, phone, postal, region = map(trim, (name, email, phone, postal, region))
+    codes = []
+    if name is None or name == "":
+        codes.append(R.MISSING_NAME)
+    if fails(R.NAME_PATTERN, name):
+        codes.append(R.INVALID_NAME)
+    if fails(R.EMAIL_PATTERN, email):
+        codes.append(R.INVALID_EMAIL)
+    if fails(R.PHONE_PATTERN, phone):
+        codes.append(R.INVALID_PHONE)
+    if fails(R.POSTAL_PATTERN, postal):
+        codes.append(R.INVALID_POSTAL)
+    if region is not None and region.upper() not in R.VALID_REGIONS:
+        codes.append(R.INVALID_REGION)
+    if name is None or name.strip(" ") == "":
+        local = "" if email is None else (regex.match(r"^([^@]+)", email) or [None, ""])[1]
+        name = "IMPUTED_" + (local or "")
+    return codes, name
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(SOME_TEXT, EMAILS, PHONES, POSTALS, REGIONS), min_size=1, max_size=15))
+def test_customer_rules_match_brute_force(spark, rows):
+    data = [(f"C{i}", *r, "X") for i, r in enumerate(rows)]
+    df = spark.createDataFrame(data, "`Customer ID` string, `Customer Name` string, email string, "
+                                     "phone string, `Postal Code` string, Region string, "
+                                     "Country string")
+    clean, issues = clean_customers(df)
+    got_clean = {r["Customer ID"]: (list(r["Issues"]), r["Customer Name"]) for r in clean.collect()}
+    want = {f"C{i}": expected_codes(*r) for i, r in enumerate(rows)}
+    assert got_clean == want
+    got_issues = {r["CustomerID"]: list(r["Issues"]) for r in issues.collect()}
+    assert got_issues == {k: v[0] for k, v in want.items() if v[0]}
