@@ -10,7 +10,7 @@ collected to the driver.  The modules are grouped as
 * ``sources``    readers for workbooks, CSV, JSON and parquet, plus the raw
   views derived from the TPC-H-style test tables;
 * ``plans``      sinks and the end-to-end pipeline (``run_etl``);
-* ``streaming``  the order check over a stream of order files.
+* ``streaming``  nothing: the job has no streaming parts.
 """
 
 from salesmart.operators.dedup import keep_one_per_key
@@ -20,6 +20,9 @@ from salesmart.operators.dims import build_customer_dim, build_product_dim
 from salesmart.operators.facts import build_orders_enriched
 from salesmart.operators.marts import (
     aggregate_profit_by,
+    first_rows,
+    preview,
+    rollup_sql,
     profit_by_year,
     profit_by_year_category,
     profit_by_customer,
@@ -27,7 +30,8 @@ from salesmart.operators.marts import (
     issue_summary,
     table_counts,
 )
-from salesmart.plans.etl import run_etl, run_pipeline
+from salesmart.operators.skew import hot_keys, left_lookup
+from salesmart.plans.etl import publish_tables, run_etl, run_pipeline
 from salesmart.plans.sinks import write_parquet
 from salesmart.sources.files import read_customers, read_products, read_orders
 
@@ -41,6 +45,12 @@ __all__ = [
     "build_product_dim",
     "build_orders_enriched",
     "aggregate_profit_by",
+    "first_rows",
+    "preview",
+    "rollup_sql",
+    "hot_keys",
+    "left_lookup",
+    "publish_tables",
     "profit_by_year",
     "profit_by_year_category",
     "profit_by_customer",
