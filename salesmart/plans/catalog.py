@@ -30,8 +30,13 @@ from salesmart.operators.marts import (
     rollup_sql,
     table_counts,
 )
-from salesmart.operators.quality import clean_customers, clean_products
-from salesmart.operators.refs import clean_orders
+from salesmart.operators.quality import (
+    annotate_customers,
+    annotate_products,
+    clean_customers,
+    clean_products,
+)
+from salesmart.operators.refs import clean_orders, prepare_orders
 from salesmart.plans.etl import publish_tables, run_etl, run_pipeline
 from salesmart.session import shared_dir
 from salesmart.sources.excel import write_workbook_table
@@ -128,6 +133,17 @@ def json_order_issues(spark, sf):
     return rendered(clean_orders(_json_orders(spark, sf), customers, products)[1])
 
 
+def cleaning_counts(spark, sf):
+    """Rows of each raw input before and after the key check and dedup."""
+    customers, products, orders = raw_tables(spark, sf)
+    return table_counts({
+        "customers_raw": customers, "customers_keyed": annotate_customers(customers),
+        "products_raw": products, "products_keyed": annotate_products(products),
+        "orders_raw": orders, "orders_keyed": prepare_orders(orders),
+        "order_lines_keyed": prepare_orders(orders, order_key=None),
+    })
+
+
 def parquet_publish(spark, sf):
     """Publish the seven tables, then count the rows of the written files."""
     return table_counts(publish_tables(spark, *raw_tables(spark, sf), shared_dir(spark, "publish")))
@@ -194,6 +210,7 @@ QUERIES: dict[str, Query] = {
         spark, "profit_by_customer_year", _mart(spark, sf)),
     # catalogue
     "table_counts": lambda spark, sf: table_counts(_outputs(spark, sf)),
+    "cleaning_counts": cleaning_counts,
     "preview_orders_enriched": lambda spark, sf: preview(_outputs(spark, sf)["orders_enriched"]),
     "preview_customer_issues": lambda spark, sf: rendered(
         preview(_outputs(spark, sf)["customer_data_issues"])),

@@ -244,6 +244,14 @@ _BODIES = {
     "profit_by_customer_sql": _BY_CUST,
     "profit_by_customer_year_sql": _BY_CUST_YEAR,
     "table_counts": _TABLE_COUNTS,
+    "cleaning_counts": """
+SELECT 'customers_raw' AS table_name, count(*) AS row_count FROM raw_customers
+UNION ALL SELECT 'customers_keyed', count(*) FROM cust_dedup
+UNION ALL SELECT 'products_raw', count(*) FROM raw_products
+UNION ALL SELECT 'products_keyed', count(*) FROM prod_annot
+UNION ALL SELECT 'orders_raw', count(*) FROM raw_orders
+UNION ALL SELECT 'orders_keyed', count(*) FROM orders_dedup
+UNION ALL SELECT 'order_lines_keyed', count(*) FROM orders_keyed""",
     "preview_orders_enriched": """
 SELECT * FROM orders_enriched
 ORDER BY "Order ID" NULLS FIRST, OrderDate NULLS FIRST, ShipDate NULLS FIRST,
