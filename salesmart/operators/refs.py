@@ -48,7 +48,8 @@ def prepare_orders(orders: DataFrame, order_key: Sequence[str] | None = DEFAULT_
 
 
 def _lookup(df: DataFrame, parent: DataFrame, key: str, parent_key: str, marker: str,
-            carry: Sequence[str] = (), hot: DataFrame | None = None) -> DataFrame:
+            carry: Sequence[str] = (), hot: DataFrame | None = None,
+            rebalance: bool = True) -> DataFrame:
     """Left join ``df`` with the parent's ``parent_key`` (plus ``carry``
     columns) and a marker that is null where no parent row matched.  Keys
     listed in ``hot`` are salted (``skew.left_lookup``)."""
@@ -56,7 +57,7 @@ def _lookup(df: DataFrame, parent: DataFrame, key: str, parent_key: str, marker:
                          F.lit(True).alias(marker))
     if not carry:
         side = side.distinct()
-    return left_lookup(df, side, key, hot)
+    return left_lookup(df, side, key, hot, rebalance=rebalance)
 
 
 def _hot(orders: DataFrame, key: str, hot_share: float | None) -> DataFrame | None:
@@ -105,14 +106,19 @@ def clean_orders(orders: DataFrame, customers: DataFrame, products: DataFrame,
 def annotate_orders(orders: DataFrame, customer_dim: DataFrame, product_dim: DataFrame,
                     order_key: Sequence[str] | None = DEFAULT_ORDER_KEY,
                     dedup: str = "aggregate",
-                    hot_share: float | None = None) -> DataFrame:
+                    hot_share: float | None = None,
+                    rebalance_dims: bool = True) -> DataFrame:
     """Prepared orders with ``Issues`` and the dimension attributes, from one
-    left join per dimension (keys ``CustomerID`` / ``ProductID``)."""
+    left join per dimension (keys ``CustomerID`` / ``ProductID``).
+    ``rebalance_dims=False`` skips the rebalance of the dimension side, for
+    dimensions read from files (see ``skew.left_lookup``)."""
     df = prepare_orders(orders, order_key, dedup)
     cols = df.columns
     cust_attrs = [c for c in customer_dim.columns if c != "CustomerID"]
     prod_attrs = [c for c in product_dim.columns if c != "ProductID"]
     hot_c, hot_p = _hot(orders, S.CUSTOMER_ID, hot_share), _hot(orders, S.PRODUCT_ID, hot_share)
-    df = _lookup(df, customer_dim, S.CUSTOMER_ID, "CustomerID", _CUST_OK, cust_attrs, hot_c)
-    df = _lookup(df, product_dim, S.PRODUCT_ID, "ProductID", _PROD_OK, prod_attrs, hot_p)
+    df = _lookup(df, customer_dim, S.CUSTOMER_ID, "CustomerID", _CUST_OK, cust_attrs, hot_c,
+                 rebalance_dims)
+    df = _lookup(df, product_dim, S.PRODUCT_ID, "ProductID", _PROD_OK, prod_attrs, hot_p,
+                 rebalance_dims)
     return _with_ref_issues(df.select(*cols, *cust_attrs, *prod_attrs, _CUST_OK, _PROD_OK))

@@ -52,12 +52,13 @@ def hot_keys(df: DataFrame, key: str, hot_share: float = DEFAULT_HOT_SHARE) -> D
 
 
 def left_lookup(df: DataFrame, side: DataFrame, key: str, hot: DataFrame | None = None,
-                buckets: int | None = None) -> DataFrame:
+                buckets: int | None = None, rebalance: bool = True) -> DataFrame:
     """``df`` left-joined with ``side`` on ``key`` (``side`` unique per key),
     salting the keys listed in ``hot`` (see ``hot_keys``); with ``hot=None``
-    a plain join against the rebalanced side."""
+    a plain join against the side, rebalanced first unless ``rebalance`` is
+    off (a side read from files gets its own shuffle anyway)."""
     if hot is None:
-        return df.join(side.hint("rebalance"), on=key, how="left")
+        return df.join(side.hint("rebalance") if rebalance else side, on=key, how="left")
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     flags = F.broadcast(hot.select(key, F.lit(True).alias(_HOT)))

@@ -116,7 +116,8 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
             products.unpersist()
 
     dims = read_published(spark, output_base, ["customers", "products"], written)
-    orders = annotate_orders(orders_raw, dims["customers"], dims["products"], order_key, dedup)
+    orders = annotate_orders(orders_raw, dims["customers"], dims["products"], order_key, dedup,
+                             rebalance_dims=False)
     if persist:
         orders.persist(level)
     try:

@@ -99,3 +99,13 @@ def test_clean_orders_salted_equals_default(spark, skewed):
         b = b.withColumn("Issues", F.concat_ws("|", "Issues"))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert salted[1].count() > 0 and salted[0].count() > 0
+
+
+def test_file_backed_dimension_needs_no_rebalance(spark, skewed, large_sides, tmp_path):
+    orders, dim = skewed
+    dim.write.parquet(str(tmp_path / "dim"))
+    written = spark.read.parquet(str(tmp_path / "dim"))
+    joined = _lookup(orders, written, "Customer ID", "CustomerID", "_found", ["CustomerName"],
+                     rebalance=False)
+    plan = _plan(joined)
+    assert "skew=true" in plan and "RebalancePartitions" not in plan
