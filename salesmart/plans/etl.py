@@ -56,8 +56,11 @@ OUTPUT_TABLES = (
 
 def run_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw: DataFrame,
                  order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, fused: bool = True,
-                 dedup: str = "aggregate") -> dict[str, DataFrame]:
-    """The seven output tables as lazy DataFrames."""
+                 dedup: str = "aggregate",
+                 hot_share: float | None = None) -> dict[str, DataFrame]:
+    """The seven output tables as lazy DataFrames.  ``hot_share`` salts the
+    customers and products holding more than that share of the orders
+    (``operators/skew.py``)."""
     customers = annotate_customers(customers_raw, dedup)
     products = annotate_products(products_raw, dedup)
     customers_clean = impute_customer_names(customers)
@@ -65,13 +68,15 @@ def run_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw:
     customer_dim = build_customer_dim(customers_clean)
     product_dim = build_product_dim(products_clean)
     if fused:
-        orders = annotate_orders(orders_raw, customer_dim, product_dim, order_key, dedup)
+        orders = annotate_orders(orders_raw, customer_dim, product_dim, order_key, dedup,
+                                 hot_share=hot_share)
         order_issues = order_issue_report(orders)
         enriched = enriched_from_annotated(orders)
     else:
         orders_clean, order_issues = clean_orders(orders_raw, customers_clean, products_clean,
-                                                  order_key, dedup)
-        enriched = build_orders_enriched(orders_clean, customer_dim, product_dim)
+                                                  order_key, dedup, hot_share=hot_share)
+        enriched = build_orders_enriched(orders_clean, customer_dim, product_dim,
+                                         hot_share=hot_share)
     return {
         "customer_data_issues": customer_issue_report(customers),
         "product_data_issues": product_issue_report(products),
@@ -86,7 +91,8 @@ def run_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw:
 def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw: DataFrame,
                    orders_raw: DataFrame, output_base: str,
                    order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, dedup: str = "aggregate",
-                   persist: bool = True, mode: str = "overwrite") -> dict[str, DataFrame]:
+                   persist: bool = True, mode: str = "overwrite",
+                   hot_share: float | None = None) -> dict[str, DataFrame]:
     """Write the seven tables in three steps, each reading what the previous
     one wrote, and return them re-read from the files.
 
@@ -117,7 +123,7 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
 
     dims = read_published(spark, output_base, ["customers", "products"], written)
     orders = annotate_orders(orders_raw, dims["customers"], dims["products"], order_key, dedup,
-                             rebalance_dims=False)
+                             hot_share=hot_share, rebalance_dims=False)
     if persist:
         orders.persist(level)
     try:
@@ -135,9 +141,11 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
 
 def run_etl(spark: SparkSession, customers_path: str, products_path: str, orders_path: str,
             output_base: str, order_key: Sequence[str] | None = DEFAULT_ORDER_KEY,
-            orders_multiline: bool = False, persist: bool = True) -> dict[str, DataFrame]:
+            orders_multiline: bool = False, persist: bool = True,
+            hot_share: float | None = None) -> dict[str, DataFrame]:
     """Read the raw files, clean, enrich, aggregate and publish."""
     return publish_tables(spark, read_customers(spark, customers_path),
                           read_products(spark, products_path),
                           read_orders(spark, orders_path, multiline=orders_multiline),
-                          output_base, order_key=order_key, persist=persist)
+                          output_base, order_key=order_key, persist=persist,
+                          hot_share=hot_share)

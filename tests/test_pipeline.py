@@ -129,3 +129,15 @@ def test_command_line(spark, tmp_path, capsys):
     assert "orders_enriched" in capsys.readouterr().out
     agg = spark.read.parquet(str(tmp_path / "out" / "aggregates")).collect()
     assert [(r.Year, r.CustomerName, r.TotalProfit) for r in agg] == [(2024, "Ann", 3.01)]
+
+
+def test_salted_pipeline_equals_default(spark):
+    raw = raw_tables(spark, SF_SMALL)
+    plain = run_pipeline(*raw)
+    salted = run_pipeline(*raw, hot_share=0.01)
+    for name in ("order_data_issues", "orders_enriched", "aggregates"):
+        a, b = plain[name], salted[name]
+        if "Issues" in a.columns:
+            a, b = a.withColumn("Issues", F.concat_ws("|", "Issues")), b.withColumn(
+                "Issues", F.concat_ws("|", "Issues"))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
