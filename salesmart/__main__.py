@@ -1,6 +1,7 @@
 """Command line: run the whole job on raw files.
 
     python -m salesmart CUSTOMERS PRODUCTS ORDERS OUTPUT [--lines] [--orders-multiline]
+                        [--hot-share SHARE]
 
 CUSTOMERS is a workbook, a folder of workbooks or a glob; PRODUCTS is CSV;
 ORDERS is JSON lines (or one top-level array per file with
@@ -25,12 +26,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("output")
     parser.add_argument("--lines", action="store_true")
     parser.add_argument("--orders-multiline", action="store_true")
+    parser.add_argument("--hot-share", type=float, default=None,
+                        help="salt customers/products holding more than this share of orders")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
     spark = build_session(args.master) if args.master else build_session()
     tables = run_etl(spark, args.customers, args.products, args.orders, args.output,
                      order_key=None if args.lines else ("Order ID",),
-                     orders_multiline=args.orders_multiline)
+                     orders_multiline=args.orders_multiline, hot_share=args.hot_share)
     table_counts(tables).show(truncate=False)
 
 
