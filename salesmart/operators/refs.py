@@ -27,7 +27,7 @@ from salesmart.functions.rules import (
 )
 from salesmart.functions.scalar import parse_dmy
 from salesmart.operators.dedup import keep_one_per_key
-from salesmart.operators.skew import hot_keys, left_lookup
+from salesmart.operators.skew import hot_keys_of_columns, left_lookup
 
 ISSUES = "Issues"
 _CUST_OK = "__customer_found"
@@ -60,11 +60,15 @@ def _lookup(df: DataFrame, parent: DataFrame, key: str, parent_key: str, marker:
     return left_lookup(df, side, key, hot, rebalance=rebalance)
 
 
-def _hot(orders: DataFrame, key: str, hot_share: float | None) -> DataFrame | None:
-    """Hot keys counted on the raw order lines: only the key column is read
-    and the dedup is not re-run.  Line counts stand in for order counts; any
-    hot set gives the same join result, and the bound on its size holds."""
-    return None if hot_share is None else hot_keys(orders.select(key), key, hot_share)
+def _hot(orders: DataFrame, hot_share: float | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Hot customer and product ids, counted in one pass over the raw order
+    lines: only the two key columns are read and the dedup is not re-run.
+    Line counts stand in for order counts; any hot set gives the same join
+    result, and the bound on its size holds."""
+    if hot_share is None:
+        return None, None
+    hot = hot_keys_of_columns(orders, [S.CUSTOMER_ID, S.PRODUCT_ID], hot_share)
+    return hot[S.CUSTOMER_ID], hot[S.PRODUCT_ID]
 
 
 def _with_ref_issues(df: DataFrame) -> DataFrame:
@@ -96,7 +100,7 @@ def clean_orders(orders: DataFrame, customers: DataFrame, products: DataFrame,
     (``skew.left_lookup``); by default AQE splits skewed partitions."""
     df = prepare_orders(orders, order_key, dedup)
     cols = df.columns
-    hot_c, hot_p = _hot(orders, S.CUSTOMER_ID, hot_share), _hot(orders, S.PRODUCT_ID, hot_share)
+    hot_c, hot_p = _hot(orders, hot_share)
     df = _lookup(df, customers, S.CUSTOMER_ID, S.CUSTOMER_ID, _CUST_OK, hot=hot_c)
     df = _lookup(df, products, S.PRODUCT_ID, S.PRODUCT_ID, _PROD_OK, hot=hot_p)
     annotated = _with_ref_issues(df.select(*cols, _CUST_OK, _PROD_OK))
@@ -116,7 +120,7 @@ def annotate_orders(orders: DataFrame, customer_dim: DataFrame, product_dim: Dat
     cols = df.columns
     cust_attrs = [c for c in customer_dim.columns if c != "CustomerID"]
     prod_attrs = [c for c in product_dim.columns if c != "ProductID"]
-    hot_c, hot_p = _hot(orders, S.CUSTOMER_ID, hot_share), _hot(orders, S.PRODUCT_ID, hot_share)
+    hot_c, hot_p = _hot(orders, hot_share)
     df = _lookup(df, customer_dim, S.CUSTOMER_ID, "CustomerID", _CUST_OK, cust_attrs, hot_c,
                  rebalance_dims)
     df = _lookup(df, product_dim, S.PRODUCT_ID, "ProductID", _PROD_OK, prod_attrs, hot_p,

@@ -51,6 +51,26 @@ def hot_keys(df: DataFrame, key: str, hot_share: float = DEFAULT_HOT_SHARE) -> D
     return counts.where(F.col(_COUNT) > total * F.lit(hot_share)).select(key)
 
 
+def hot_keys_of_columns(df: DataFrame, keys: list[str],
+                        hot_share: float = DEFAULT_HOT_SHARE) -> dict[str, DataFrame]:
+    """``hot_keys`` for several key columns from one pass over ``df``: a
+    grouping-sets aggregate counts the rows per value of each column, and each
+    column's hot set is read from that one aggregate (at most
+    ``1 / hot_share`` keys per column)."""
+    sets = [[k] for k in keys]
+    counts = (df.select(*keys)
+                .groupingSets(sets, *keys)
+                .agg(F.count(F.lit(1)).alias(_COUNT), F.grouping_id().alias("__set")))
+    out = {}
+    for i, key in enumerate(keys):
+        # grouping_id has a bit per key, set when the key is aggregated away
+        set_id = (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
+        per_key = counts.where((F.col("__set") == set_id) & F.col(key).isNotNull())
+        total = per_key.agg(F.sum(_COUNT)).scalar()
+        out[key] = per_key.where(F.col(_COUNT) > total * F.lit(hot_share)).select(key)
+    return out
+
+
 def left_lookup(df: DataFrame, side: DataFrame, key: str, hot: DataFrame | None = None,
                 buckets: int | None = None, rebalance: bool = True) -> DataFrame:
     """``df`` left-joined with ``side`` on ``key`` (``side`` unique per key),

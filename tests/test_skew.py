@@ -109,3 +109,15 @@ def test_file_backed_dimension_needs_no_rebalance(spark, skewed, large_sides, tm
                      rebalance=False)
     plan = _plan(joined)
     assert "skew=true" in plan and "RebalancePartitions" not in plan
+
+
+def test_hot_keys_of_columns_in_one_pass(spark):
+    from salesmart.operators.skew import hot_keys_of_columns
+    df = spark.range(30000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'C1' ELSE concat('C', CAST(id % 500 AS STRING)) END AS c",
+        "CASE WHEN id % 2 = 0 THEN 'P7' WHEN id % 7 = 0 THEN NULL "
+        "ELSE concat('P', CAST(id % 900 AS STRING)) END AS p")
+    both = hot_keys_of_columns(df, ["c", "p"], 0.01)
+    for key, want in (("c", ["C1"]), ("p", ["P7"])):
+        got = sorted(r[0] for r in both[key].collect())
+        assert got == want == sorted(r[0] for r in hot_keys(df, key, 0.01).collect())
