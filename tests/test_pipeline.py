@@ -141,3 +141,11 @@ def test_salted_pipeline_equals_default(spark):
             a, b = a.withColumn("Issues", F.concat_ws("|", "Issues")), b.withColumn(
                 "Issues", F.concat_ws("|", "Issues"))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_order_dedup_strategies_agree(spark):
+    _, _, orders = raw_tables(spark, SF_SMALL)
+    a = prepare_orders(orders, dedup="aggregate")
+    b = prepare_orders(orders, dedup="window")
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
