@@ -12,9 +12,12 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from salesmart.operators.facts import enriched_from_annotated  # noqa: E402
+from salesmart.operators.refs import annotate_orders  # noqa: E402
 from salesmart.plans.catalog import rendered  # noqa: E402
-from salesmart.plans.etl import run_pipeline  # noqa: E402
-from salesmart.session import build_session  # noqa: E402
+from salesmart.plans.etl import publish_tables, run_pipeline  # noqa: E402
+from salesmart.plans.sinks import read_published  # noqa: E402
+from salesmart.session import build_session, shared_dir  # noqa: E402
 from salesmart.sources.testdata import raw_tables  # noqa: E402
 
 SHOW = ("order_data_issues", "aggregates", "customer_data_issues")
@@ -41,6 +44,15 @@ def main():
     for name in SHOW:
         df = rendered(outputs[name])
         out += [f"## {name}", "", "```", final_plan(spark, df).strip(), "```", ""]
+    # the publish path: orders checked and enriched against the written dimensions
+    raw = raw_tables(spark, sf)
+    base = shared_dir(spark, "plans")
+    publish_tables(spark, *raw, base)
+    dims = read_published(spark, base, ["customers", "products"])
+    fact = enriched_from_annotated(annotate_orders(raw[2], dims["customers"], dims["products"],
+                                                   rebalance_dims=False))
+    out += ["## orders_enriched against the written dimensions (publish path)", "", "```",
+            final_plan(spark, fact).strip(), "```", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w") as fh:
         fh.write("\n".join(out))
