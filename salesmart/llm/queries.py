@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmart.llm import decontamination, mixing, sharding, simhash, url_filter
+from salesmart.llm import decontamination, licenses, mixing, sharding, simhash, token_counts, toxicity, url_filter
 from salesmart.llm.common import table
 
 
@@ -24,6 +24,14 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -34,8 +42,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return mixing.mix(docs.select("doc_id", "text", "source"), labels).select(
-        "doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs, labels)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = token_counts.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
+    return counts.withColumn("over_limit", token_counts.over_limit(F.col("n_tokens")))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,12 +59,19 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("f_component").alias("component_id"))
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
+    "op8_token_counts": op8_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLE_SQL = {
