@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from salesmart.llm.common import with_columns_last, word_count, written
+from salesmart.llm.common import word_count, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -57,10 +57,10 @@ def quality_weights(labels: DataFrame) -> DataFrame:
             .agg(F.avg(weight).alias("q_weight")))
 
 
-def measured(docs: DataFrame, labels: DataFrame | None, seed: int, key: str = "doc_id",
-             text: str = "text", source: str = "source") -> DataFrame:
-    """docs as a struct ``m_record`` with size, source, sampling key and key range."""
-    rows = docs.select(F.struct("*").alias("m_record"), F.col(key).alias("m_id"),
+def measured(docs: DataFrame, labels: DataFrame | None, seed: int, key: str = "doc_id", text: str = "text",
+             source: str = "source", record: bool = False) -> DataFrame:
+    """id, source, size, sampling key and key range of each row; with ``record`` also the row itself."""
+    rows = docs.select(*[F.struct("*").alias("m_record")] * record, F.col(key).alias("m_id"),
                        F.col(source).alias("m_source"), word_count(F.col(text)).alias("m_size"),
                        exponential(seed, F.col(key), F.col(text)).alias("m_draw"))
     if labels is not None:
@@ -68,7 +68,7 @@ def measured(docs: DataFrame, labels: DataFrame | None, seed: int, key: str = "d
     else:
         rows = rows.withColumn("q_weight", F.lit(None).cast("double"))
     rows = rows.withColumn("m_key", F.col("m_draw") / F.coalesce("q_weight", F.lit(DEFAULT_QUALITY)))
-    return rows.select("m_record", "m_id", "m_source", "m_size", "m_key",
+    return rows.select(*["m_record"] * record, "m_id", "m_source", "m_size", "m_key",
                        _key_range(F.col("m_key")).alias("m_range"))
 
 
@@ -133,28 +133,30 @@ def mix_plan(rows: DataFrame, **options) -> DataFrame:
         "t_source", "t_size", "t_target", "t_epochs", "c_range", "c_last")
 
 
-def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = 7, **options) -> DataFrame:
-    """``docs`` with size, source_size, target and taken (words taken, repeats counted)."""
-    rows = measured(docs, labels, seed)
-    numbers = written(rows.select("m_id", "m_source", "m_size", "m_key", "m_range"), "mix-rows")
-    plan = written(mix_plan(numbers, **options), "mix-plan")
-    picked = rows.join(plan, F.col("m_source").eqNullSafe(F.col("t_source")), "left")
+def _picked(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with their source's plan and ``m_times``, how often the mix takes each."""
+    beyond = F.struct(F.col("m_key").alias("key"), F.col("m_id").alias("id")) <= F.col("c_last")
     extra = (F.when(F.col("m_range") < F.col("c_range"), 1)
-             .when((F.col("m_range") == F.col("c_range"))
-                   & (F.struct(F.col("m_key").alias("key"), F.col("m_id").alias("id")) <= F.col("c_last")), 1)
-             .otherwise(0))
-    return with_columns_last(
-        picked, "m_record",
-        [F.col("m_size"), F.col("t_size"), F.col("t_target"),
-         (F.col("m_size") * (F.col("t_epochs") + extra)).cast("long"),
-         (F.col("t_epochs") + extra).cast("int")],
-        ["size", "source_size", "target", "taken", "epochs"])
+             .when((F.col("m_range") == F.col("c_range")) & beyond, 1).otherwise(0))
+    return (rows.join(plan, F.col("m_source").eqNullSafe(F.col("t_source")), "left")
+            .withColumn("m_times", F.col("t_epochs") + extra))
+
+
+def _numbers(docs: DataFrame, labels: DataFrame | None, seed: int) -> DataFrame:
+    return written(measured(docs, labels, seed), "mix-rows")
+
+
+def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = 7, **options) -> DataFrame:
+    """doc_id, size, source_size, target and taken (words taken, repeats counted) of every row of ``docs``."""
+    numbers = _numbers(docs, labels, seed)
+    return _picked(numbers, written(mix_plan(numbers, **options), "mix-plan")).select(
+        F.col("m_id").alias("doc_id"), F.col("m_size").alias("size"), F.col("t_size").alias("source_size"),
+        F.col("t_target").alias("target"), (F.col("m_size") * F.col("m_times")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame | None = None, seed: int = 7, **options) -> DataFrame:
     """The documents of the mix with their own columns, one row for each time a document is taken."""
-    mixed = mix(docs.select(F.struct("*").alias("x_row"), *[F.col(c) for c in ("doc_id", "text", "source")]),
-                labels, seed, **options)
-    return (mixed.where(F.col("epochs") > 0)
-            .select("x_row", F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("x_epoch"))
-            .select("x_row.*"))
+    plan = written(mix_plan(_numbers(docs, labels, seed), **options), "mix-plan")
+    times = _picked(measured(docs, labels, seed, record=True), plan).where("m_times > 0")
+    return (times.select("m_record", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m_times"))).alias("m_epoch"))
+            .select("m_record.*"))
