@@ -8,13 +8,15 @@ and digits with look-alike digits read as letters; characters spelled out one
 by one are one unit.  Landmarks are the units whose document frequency sets
 toxic training documents apart most, and clean units like them.  A unit is the vector of its kernel
 values with the landmarks, taken to the Nyström space by K_mm^(-1/2); a linear
-SVM there gives its decision value.  A sentence counts as its strongest unit,
-a document as its strongest sentence.  The SVM is trained on labelled
-sentences.  Labels belong to documents, so it is trained in rounds: all
-sentences of a toxic document start as toxic, and after each round those of
-positive decision value stay so, at least one per document.  The score is the
-document's decision value through a logistic curve fitted to the training
-documents.
+SVM there gives its decision value, and a sentence counts as its strongest
+unit.  The SVM is trained on labelled
+sentences.  Labels belong to documents, so it is trained in rounds: one
+sentence stands for a toxic document, at first the one nearest to the best
+landmarks, later the one of the highest decision value; of other documents
+every sentence is a negative.  A second pass adds the sentences that the first
+model ranks highest.  The score is a logistic curve, fitted to the training
+documents, of the three highest decision values of a document's units and the
+logarithm of their number.
 
 Scale: training uses a bounded sample, at most ``TRAIN_DOCS`` documents of
 either label (those of the lowest seeded hash); their texts are never
@@ -22,8 +24,9 @@ collected, only the landmarks and at most ``SENTENCES`` kernel vectors per
 document.  Scoring reads each whole text where it is, without any shuffle;
 the model is a few thousand numbers.  Kernel values are computed per distinct
 word in numpy and kept, in bounded number, for a worker's later tasks.  A unit
-is compared with a landmark if they share at least ``LETTERS`` of the distinct
-letters of the one with fewer; values under ``FLOOR`` count as zero.
+is compared with a landmark if they share at least ``NEAR`` of the character
+pairs one or two places apart of the one with fewer; other values, and those
+under ``FLOOR``, count as zero.
 
 Defined cases: null and empty texts score as a sentence without units.
 Documents with several labels are toxic if one says so; null labels are
@@ -33,6 +36,7 @@ labels (0 if none).  Repeated rows keep their rows.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -46,13 +50,15 @@ from salesmart.llm.common import written
 
 ORDER = 3
 DECAY = 0.7
-LANDMARKS = 64
-CLEAN_LANDMARKS = 32
+LANDMARKS = 96
+CLEAN_LANDMARKS = 24
 CANDIDATES = 3000
-LETTERS = 0.6
+ALIKE = 0.7
+SURE = 8.0  # z-scores from here on count alike
+NEAR = 0.4
 FLOOR = 0.2
 LONGEST_UNIT = 40
-TRAIN_DOCS = 3000
+TRAIN_DOCS = 2000
 SENTENCES = 6
 MOST_WORDS = 300_000
 CUT = 0.7
@@ -112,6 +118,22 @@ def raw_kernel(a: np.ndarray, b: np.ndarray, order: int = ORDER, decay: float =
     return out
 
 
+def _pair_bits(codes: np.ndarray) -> np.ndarray:
+    """128 bits per string: the hashed pairs of characters one or two places apart."""
+    out = np.zeros((len(codes), 2), dtype=np.uint64)
+    for apart in (1, 2):
+        a, b = codes[:, :-apart].astype(np.int64), codes[:, apart:].astype(np.int64)
+        mark = (a * 40503 + b * 30011 + (a * b >> 3)) % 128
+        bits = np.where((a > 0) & (b > 0), np.uint64(1) << (mark % 64).astype(np.uint64), np.uint64(0))
+        for half in (0, 1):
+            out[:, half] |= np.bitwise_or.reduce(np.where(mark // 64 == half, bits, np.uint64(0)), axis=1)
+    return out
+
+
+def _bits(pairs: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(pairs).sum(axis=-1, dtype=np.int32)
+
+
 def _marked(strings: list[str]) -> list[str]:
     """The strings with marks at both ends, so that the kernel knows where a unit starts and stops."""
     return [f"\x02{s}\x03" for s in strings]
@@ -125,60 +147,44 @@ class Kernel:
         longest = max(map(len, landmarks), default=1)
         self.codes = _codes(_marked(landmarks), longest + 2, -1)
         self.own = raw_kernel(self.codes, _codes(_marked(landmarks), longest + 2, -2))
-        plain = _codes(landmarks, longest, -1)
-        self.alphabet = np.unique(plain[plain > 0])
-        self.masks = self._masks(plain)
-        self.letters = np.array([len(set(s)) for s in landmarks])
-
-    def _masks(self, codes: np.ndarray) -> np.ndarray:
-        """The letters of the landmarks that each string has, as bits (63 at most, then shared)."""
-        at = np.minimum(np.searchsorted(self.alphabet, codes), max(len(self.alphabet) - 1, 0))
-        bits = np.where(self.alphabet[at] == codes, np.int64(1) << (at % 63), 0)
-        return np.bitwise_or.reduce(bits, axis=1)
+        self.pairs = _pair_bits(self.codes)
 
     def values(self, strings: list[str]) -> np.ndarray:
         """One row per string (of at most LONGEST_UNIT characters), one column per landmark."""
         out = np.zeros((len(strings), len(self.landmarks)), dtype=np.float32)
         if not strings or not self.landmarks:
             return out
-        masks = self._masks(_codes(strings, LONGEST_UNIT, -2))
         sizes = np.array([len(s) for s in strings])
-        letters = np.array([len(set(s)) for s in strings])
         low = 0
         for high in (5, 6, 7, 8, 9, 10, 11, 12, 14, 17, 24, LONGEST_UNIT):
             rows = np.nonzero((sizes > low) & (sizes <= high))[0]
             low = high
             if not len(rows):
                 continue
-            fewer = np.minimum(letters[rows, None], self.letters[None, :])
-            near = np.bitwise_count(masks[rows, None] & self.masks[None, :]) >= LETTERS * fewer
+            codes = _codes(_marked([strings[i] for i in rows]), high + 2, -2)
+            pairs = _pair_bits(codes)
+            fewer = np.minimum(_bits(pairs)[:, None], _bits(self.pairs)[None, :])
+            near = _bits(pairs[:, None, :] & self.pairs[None, :, :]) >= NEAR * fewer
             which, mark = np.nonzero(near)
             if not len(which):
                 continue
             used, at = np.unique(which, return_inverse=True)
-            picked = _marked([strings[rows[i]] for i in used])
-            codes = _codes(picked, high + 2, -2)
-            own = raw_kernel(codes, _codes(picked, high + 2, -1))
-            both = raw_kernel(codes[at], self.codes[mark])
+            own = raw_kernel(codes[used], np.where(codes[used] == -2, -1, codes[used]))
+            both = raw_kernel(codes[which], self.codes[mark])
             scale = np.sqrt(own[at] * self.own[mark])
             out[rows[which], mark] = np.where(scale > 0, both / np.where(scale > 0, scale, 1), 0)
         out[out < FLOOR] = 0
         return out
 
 
-def _strength(vector: np.ndarray) -> tuple[float, float]:
-    """Nearness to the nearest landmark, then to all."""
-    return float(vector.max()), float(vector.sum())
-
-
 class WordValues:
     """Kernel vectors (``weigh`` given: its values of them) of the words met.
 
     Words that no landmark is near are only remembered as such.
     """
 
-    def __init__(self, landmarks: list[str], weigh=None):
-        self.kernel, self.weigh = Kernel(landmarks), weigh
+    def __init__(self, landmarks: list[str], weigh=None, rank=None):
+        self.kernel, self.weigh, self.rank = Kernel(landmarks), weigh, rank
         self.active: dict[bytes, np.ndarray | float] = {}
         self.idle: set[bytes] = set()
 
@@ -198,34 +204,41 @@ class WordValues:
             vectors = self.kernel.values(windows[at:at + 20000])
             hit = np.nonzero(vectors.any(axis=1))[0].tolist()
             values = vectors if self.weigh is None else self.weigh(vectors)
-            strength = vectors.max(axis=1) if self.weigh is None else values
+            strength = values if self.rank is None else self.rank(vectors)
             for row in hit:
                 word = new[owner[at + row]]
                 known = self.active.get(word)
-                if known is None or strength[row] > (known.max() if self.weigh is None else known):
+                if known is None or strength[row] > (known if self.rank is None else self.rank(known)):
                     self.active[word] = values[row]
         self.idle.update(w for w in new if w not in self.active)
 
     def sentences(self, text: str) -> list[np.ndarray]:
-        """The strongest vector of each sentence of a text that has one."""
+        """The vector that ranks highest of each sentence of a text that has one, by rising rank."""
         found = []
         for sentence in _SENTENCE.split(text):
             held = [self.active[w] for w in set(units_of(sentence)) if w in self.active]
             if held:
-                found.append(max(held, key=_strength))
-        return found
+                found.append(max(held, key=self.rank))
+        return sorted(found, key=self.rank)
 
 
 _KEPT: dict[tuple, WordValues] = {}
 
 
-def _word_values(landmarks: list[str], weights: list[float] | None = None) -> WordValues:
-    """A Python worker keeps the last one for its later tasks."""
-    mark = (tuple(landmarks), None if weights is None else tuple(weights))
+def _word_values(landmarks: list[str], weights: list[float], kind: str) -> WordValues:
+    """A Python worker keeps the last one for its later tasks.
+
+    ``kind``: "value" keeps w.v of each word's vector v; "vector" keeps the
+    vectors, ranked by w.v, and "nearest" the vectors, ranked by max(w * v * v).
+    """
+    mark = (tuple(landmarks), tuple(weights), kind)
     if mark not in _KEPT:
         _KEPT.clear()
-        weigh = None if weights is None else (lambda vectors: vectors @ np.array(weights))
-        _KEPT[mark] = WordValues(landmarks, weigh)
+        w = np.array(weights)
+        value = lambda v: v @ w
+        nearest = lambda v: (v * v * w).max(axis=-1)
+        _KEPT[mark] = WordValues(landmarks, *{"value": (value, None), "vector": (None, value),
+                                              "nearest": (None, nearest)}[kind])
     return _KEPT[mark]
 
 
@@ -235,10 +248,10 @@ def _slices(texts: list[str | None], size: int = 500):
         yield [(t or "", set(units_of(t or ""))) for t in texts[at:at + size]]
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 30) -> np.ndarray:
+def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1000.0, rounds: int = 30) -> np.ndarray:
     """Weights (the last is the bias) of the squared-hinge SVM with balanced classes, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y <= 0).sum(), 1)) * cost * 100
+    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y <= 0).sum(), 1)) * cost
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     for _ in range(rounds):
@@ -251,25 +264,32 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 30
     return w
 
 
-def logistic_curve(f: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, float]:
-    """Slope and offset of the logistic curve of y on f, with smoothed targets."""
+def logistic_curve(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """Weights (the last is the offset) of the logistic curve of y on the columns of x, with smoothed targets."""
     up, down = (y > 0).sum(), (y <= 0).sum()
     target = np.where(y > 0, (up + 1) / (up + 2), 1 / (down + 2))
-    slope, offset = 1.0, math.log((up + 1) / (down + 1))
+    x = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.diag([1e-2] * (x.shape[1] - 1) + [1e-6])
+    w = np.zeros(x.shape[1])
+    w[-1] = math.log((up + 1) / (down + 1))
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(slope * f + offset, -35, 35)))
-        g = p - target
-        h = p * (1 - p) + 1e-9
-        hess = np.array([[(h * f * f).sum() + 1e-6, (h * f).sum()], [(h * f).sum(), h.sum() + 1e-6]])
-        step = np.linalg.solve(hess, [(g * f).sum(), g.sum()])
-        slope, offset = slope - step[0], offset - step[1]
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(len(w)),
+                               x.T @ (p - target) + ridge @ w)
+        w = w - step / max(1.0, np.abs(step).max() / 2)
         if np.abs(step).max() < 1e-9:
             break
-    return float(slope), float(offset)
+    return w
 
 
-def fit(bags: list[tuple[int, np.ndarray]], landmarks: list[str], rounds: int = 5) -> dict:
-    """The model from (label, sentence vectors) of the training documents."""
+def document_features(values: list[float], units: int) -> list[float]:
+    """The three highest decision values of a document's units and the logarithm of their number."""
+    best = heapq.nlargest(3, values)
+    return best + [0.0] * (3 - len(best)) + [math.log1p(units)]
+
+
+def fit(bags: list[tuple[int, list]], landmarks: list[str], rounds: int = 5) -> list[float]:
+    """Weights of the kernel values, from (label, sentence vectors by rising rank) of the training documents."""
     kernel = Kernel(landmarks)
     values, vectors = np.linalg.eigh(np.array(kernel.values(landmarks), dtype=float))
     keep = values > 1e-3
@@ -279,16 +299,16 @@ def fit(bags: list[tuple[int, np.ndarray]], landmarks: list[str], rounds: int =
     owner = np.concatenate([np.full(len(v), i) for i, (_, v) in enumerate(spaced)])
     toxic = np.array([bool(label) for label, _ in spaced])
     x = np.vstack([v for _, v in spaced])
-    y = np.where(toxic[owner], 1.0, -1.0)
+    at = np.arange(len(x))
+    chosen = np.zeros(len(spaced), dtype=np.int64)
+    np.maximum.at(chosen, owner, at)  # the vectors of a document come by rising strength
     for _ in range(rounds):
-        w = linear_svm(x, y)
+        used = np.concatenate([at[~toxic[owner]], chosen[toxic]])
+        w = linear_svm(x[used], np.where(toxic[owner[used]], 1.0, -1.0))
         decision = x @ w[:-1] + w[-1]
-        best = np.full(len(spaced), -np.inf)
-        np.maximum.at(best, owner, decision)
-        y = np.where(toxic[owner] & ((decision > 0) | (decision == best[owner])), 1.0, -1.0)
-    slope, offset = logistic_curve(best, np.where(toxic, 1.0, -1.0))
-    return {"landmarks": landmarks, "weights": (root @ w[:-1]).tolist(), "bias": float(w[-1]),
-            "slope": slope, "offset": offset}
+        order = np.lexsort((decision, owner))
+        chosen[owner[order]] = order  # the last of each document: its highest decision value
+    return (root @ w[:-1]).tolist()
 
 
 def held_out(key: Column) -> Column:
@@ -306,17 +326,21 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS,
         picked = part if picked is None else picked.union(part)
     # At most 2 * most rows of two numbers: a proven bound for the broadcast.
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("s_id"))
-    return written(sample.select((F.col("s_label") > 0).cast("int").alias("s_label"),
+    return written(sample.select("s_id", (F.col("s_label") > 0).cast("int").alias("s_label"),
                                  F.coalesce("text", F.lit("")).alias("s_text"))
                    .dropDuplicates(["s_text"]), "toxicity-sample")
 
 
-def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, most_clean: int = CLEAN_LANDMARKS) -> list[str]:
-    """The units with the highest z-score of the log odds of their document frequency, and clean units near them."""
+def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, most_clean: int = CLEAN_LANDMARKS) -> list[tuple[str, float]]:
+    """(unit, worth) of the landmarks.
+
+    They are the units with the highest z-score between their document
+    frequencies in toxic and in other documents, and clean units near them.
+    """
     def run(batches):
         counts = (Counter(), Counter())
         for batch in batches:
-            for label, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for label, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 counts[label].update({u for w in set(units_of(text))
                                       if ORDER <= len(u := w.decode()) <= LONGEST_UNIT})
         units = list(counts[0].keys() | counts[1].keys())
@@ -325,18 +349,25 @@ def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, most_clean: int =
              *[pa.array([c[u] for u in units], type=pa.int64()) for c in counts]], names=["u", "clean", "toxic"])
 
     sizes = {r["s_label"]: r["n"] for r in sample.groupBy("s_label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
-    rest_a, rest_b = sizes.get(1, 0) + 1.0 - a, sizes.get(0, 0) + 1.0 - b
-    odds = F.log(a / rest_a) - F.log(b / rest_b)
-    z = odds / F.sqrt(1 / a + 1 / rest_a + 1 / b + 1 / rest_b)
+    n, m = sizes.get(1, 0), sizes.get(0, 0)
+    share = (F.col("toxic") + F.col("clean") + 1) / (n + m + 2)
+    z = (F.col("toxic") / n - F.col("clean") / m) / F.sqrt(share * (1 - share) * (1 / n + 1 / m))
     counts = written(sample.mapInArrow(run, "u string, clean bigint, toxic bigint")
                      .groupBy("u").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-units")
-    apart = [r["u"] for r in counts.orderBy(z.desc(), "u").limit(most).collect()]
-    clean = counts.where((F.col("toxic") * sizes.get(0, 0) <= F.col("clean") * sizes.get(1, 0)) & ~F.col("u").isin(apart))
+    ranked = counts.select("u", z.alias("z")).orderBy(F.col("z").desc(), "u").limit(most * 4).collect()
+    likeness = Kernel([r["u"] for r in ranked]).values([r["u"] for r in ranked])
+    picked: list[int] = []
+    for i in range(len(ranked)):  # a unit much like one picked before adds little
+        if len(picked) < most and (not picked or likeness[i, picked].max() < ALIKE):
+            picked.append(i)
+    best = [ranked[i] for i in picked]
+    apart = [r["u"] for r in best]
+    clean = counts.where((F.col("toxic") * m <= F.col("clean") * n) & ~F.col("u").isin(apart))
     common = clean.orderBy(F.col("clean").desc(), "u").limit(CANDIDATES).collect()
     likeness = Kernel(apart).values([r["u"] for r in common]).max(axis=1, initial=0)
-    like = sorted(zip((likeness ** 2 * np.array([r["clean"] for r in common])).tolist(), (r["u"] for r in common)))
-    return apart + [u for weight, u in like[::-1][:most_clean] if weight > 0]
+    like = sorted(zip((likeness ** 4 * np.array([r["clean"] for r in common])).tolist(), (r["u"] for r in common)))
+    return ([(r["u"], min(max(r["z"], 0.0), SURE)) for r in best]
+            + [(u, 0.0) for weight, u in like[::-1][:most_clean] if weight > 0])
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
@@ -345,22 +376,49 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
     share = {r["s_label"]: r["n"] for r in sample.groupBy("s_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(share) < 2:
         return {"constant": float(share.get(1, 0) > 0)}
-    landmarks = choose_landmarks(sample)
-
+    landmarks, worth = map(list, zip(*choose_landmarks(sample)))
+
+    def sentences(weights, kind):
+        def run(batches):
+            values = _word_values(landmarks, weights, kind)
+            for batch in batches:
+                rows = []
+                for part in _slices(batch.column(2).to_pylist()):
+                    values.learn(set().union(*(w for _, w in part)))
+                    rows += [[v.tolist() for v in values.sentences(text)[-SENTENCES:]] for text, _ in part]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:2], pa.array(rows, type=pa.list_(pa.list_(pa.float64())))],
+                    names=["id", "label", "vectors"])
+
+        found = sample.mapInArrow(run, "id bigint, label int, vectors array<array<double>>").collect()
+        return {r["id"]: (r["label"], r["vectors"]) for r in sorted(found)}
+
+    # The second round adds the sentences that the first model ranks highest: the hard ones of the clean documents.
+    first = sentences(worth, "nearest")
+    weights = fit(list(first.values()), landmarks)
+    second = sentences(weights, "vector")
+    weights = fit([(label, vectors + second[i][1]) for i, (label, vectors) in first.items()], landmarks)
+    features = sample.mapInArrow(_featured(landmarks, weights, 2, [1]), "label int, features array<double>").collect()
+    curve = logistic_curve(np.array([r["features"] for r in sorted(features)]),
+                           np.array([1.0 if r["label"] else -1.0 for r in sorted(features)]))
+    return {"landmarks": landmarks, "weights": weights, "curve": curve.tolist()}
+
+
+def _featured(landmarks: list[str], weights: list[float], at: int, kept: list[int], finish=None):
+    """Function over Arrow batches: the columns ``kept`` and the document features of the texts in column ``at``."""
     def run(batches):
-        values = _word_values(landmarks)
+        values = _word_values(landmarks, weights, "value")
+        known = values.active
         for batch in batches:
             rows = []
-            for part in _slices(batch.column(1).to_pylist()):
+            for part in _slices(batch.column(at).to_pylist()):
                 values.learn(set().union(*(w for _, w in part)))
-                for text, _ in part:
-                    best = sorted(values.sentences(text), key=_strength)[-SENTENCES:]
-                    rows.append([v.tolist() for v in best])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, type=pa.list_(pa.list_(pa.float64())))], names=["label", "vectors"])
+                rows += [document_features([known[w] for w in known.keys() & words], len(words)) for _, words in part]
+            last = pa.array(rows, type=pa.list_(pa.float64())) if finish is None else finish(rows)
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], last],
+                                             names=[*[batch.schema.names[i] for i in kept], "features"])
 
-    bags = sample.mapInArrow(run, "label int, vectors array<array<double>>")
-    return fit([(r["label"], r["vectors"]) for r in sorted(bags.collect())], landmarks)
+    return run
 
 
 def scored(docs: DataFrame, model: dict, text: str = "text", score: str = "score") -> DataFrame:
@@ -369,26 +427,22 @@ def scored(docs: DataFrame, model: dict, text: str = "text", score: str = "score
     names = [n for n in docs.columns if n.lower() != score]
     kept = [docs.columns.index(n) for n in names]
 
-    def run(batches):
-        constant = model.get("constant")
-        if constant is None:
-            values = _word_values(model["landmarks"], model["weights"])
-            known = values.active
-        for batch in batches:
-            if constant is not None:
-                scores = [constant] * batch.num_rows
-            else:
-                best = []
-                for part in _slices(batch.column(at).to_pylist()):
-                    values.learn(set().union(*(w for _, w in part)))
-                    best += [max((known[w] for w in known.keys() & words), default=0.0) for _, words in part]
-                f = model["slope"] * (np.array(best) + model["bias"]) + model["offset"]
-                scores = (1 / (1 + np.exp(-np.clip(f, -35, 35)))).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in kept], pa.array(scores, type=pa.float64())], names=[*names, score])
+    if "constant" in model:
+        return docs.select(*names, F.lit(model["constant"]).alias(score))
+    curve = np.array(model["curve"])
+
+    def finish(rows):
+        f = np.array(rows).reshape(-1, 4) @ curve[:-1] + curve[-1]
+        return pa.array((1 / (1 + np.exp(-np.clip(f, -35, 35)))).tolist(), type=pa.float64())
 
     schema = StructType([*[docs.schema.fields[i] for i in kept], StructField(score, DoubleType())])
-    return docs.mapInArrow(run, schema)
+    run = _featured(model["landmarks"], model["weights"], at, kept, finish)
+
+    def renamed(batches):
+        for batch in run(batches):
+            yield batch.rename_columns([*names, score])
+
+    return docs.mapInArrow(renamed, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
