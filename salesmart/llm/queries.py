@@ -9,10 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmart.llm import decontamination, licenses, mixing, sharding, simhash, token_counts, toxicity, url_filter
+from salesmart.llm import decontamination, licenses, lm_scoring, mixing, sharding, simhash, token_counts, toxicity, url_filter
 from salesmart.llm.common import table
 
 
+def _vocabulary() -> dict[str, float]:
+    import public_tokenizers
+
+    return token_counts.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, url_filter.rule_table(spark)).select(
@@ -24,6 +30,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), _vocabulary())
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -46,10 +56,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    vocabulary = token_counts.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
-    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), _vocabulary())
     return counts.withColumn("over_limit", token_counts.over_limit(F.col("n_tokens")))
 
 
@@ -66,6 +73,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
