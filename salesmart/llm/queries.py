@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from salesmart.llm import decontamination, licenses, lm_scoring, mixing, sharding, simhash, token_counts, toxicity, url_filter
+from salesmart.llm import decontamination, fingerprints, licenses, lm_scoring, mixing, sharding, simhash, token_counts, toxicity, url_filter
 from salesmart.llm.common import table
 
 
@@ -30,6 +30,18 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    paired = fingerprints.with_next(docs, "doc_id", "text", "mark")
+    both = fingerprints.with_edited(paired)
+    return both.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.digest(F.col("mark")).alias("fingerprint"),
+        fingerprints.digest(F.col("edited_mark")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("mark"), F.col("edited_mark")).alias("near_edited"),
+        fingerprints.likeness(F.col("mark"), F.col("next.mark")).alias("near_next"))
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -73,6 +85,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
