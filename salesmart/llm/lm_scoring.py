@@ -44,7 +44,7 @@ from salesmart.llm.common import written
 
 DISCOUNT = 0.75
 ROUNDS = 2
-MOST_FREQUENT = 200_000
+MOST_FREQUENT = 100_000
 FLUSH = 200_000
 LOG10 = math.log(10)
 
