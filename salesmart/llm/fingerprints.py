@@ -123,14 +123,15 @@ def _prefix_marks(marks: Column, chars: Column, gram: int, window: int) -> Colum
         marks, lambda x: x.getField("pos") <= place - key.bitwiseAND(place)))
 
 
-def spliced(df: DataFrame, name: str, text: str, marks: Column, kept: Column, next_marks: Column, added: Column,
+def spliced(df: DataFrame, name: str, text: str, marks: Column, kept: str, next_marks: Column, added: str,
             gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """``df`` with the fingerprint ``name`` of ``text``, made of prefixes of two texts with known fingerprints.
 
-    The first ``kept`` code points are a prefix of the text of ``marks``, the
-    other ``added`` ones of that of ``next_marks``.  Only the windows across
-    the seam are hashed; the result is that of ``winnow``.
+    The first ``kept`` (a column) code points are a prefix of the text of
+    ``marks``, the other ``added`` ones of that of ``next_marks``.  Only the
+    windows across the seam are hashed; the result is that of ``winnow``.
     """
+    kept, added = F.col(kept), F.col(added)
     whole = gram + window - 1
     none = F.array().cast("array<struct<pos:int,hash:bigint>>")
 
@@ -148,8 +149,10 @@ def spliced(df: DataFrame, name: str, text: str, marks: Column, kept: Column, ne
     # The chosen places rise from window to window, so those across the seam lie between the others.
     low = F.coalesce(F.try_element_at("z_left", F.lit(-1)).getField("pos"), F.lit(-1))
     high = F.coalesce(F.try_element_at("z_right", F.lit(1)).getField("pos"), F.lit(_PLACES))
-    between = F.filter("z_seam", lambda x: (x.getField("pos") > low) & (x.getField("pos") < high))
-    return parts.withColumn(name, F.concat("z_left", between, "z_right")).drop("z_left", "z_right", "z_seam")
+    parts = parts.withColumn("z_low", low).withColumn("z_high", high)
+    between = F.filter("z_seam", lambda x: (x.getField("pos") > F.col("z_low")) & (x.getField("pos") < F.col("z_high")))
+    return parts.withColumn(name, F.concat("z_left", between, "z_right")).drop(
+        "z_left", "z_right", "z_seam", "z_low", "z_high")
 
 
 def digest(fingerprint: Column) -> Column:
@@ -220,7 +223,10 @@ def with_edited(df: DataFrame) -> DataFrame:
     by the first as many, or all, of the next text.
     """
     half = F.floor(F.length("text") / 2).cast("int")
-    kept, added = F.length("text") - half, F.least(half, F.length("next.text"))
-    edited = df.withColumn("edited", F.concat(F.substring("text", F.lit(1), kept),
-                                              F.substring(F.col("next.text"), F.lit(1), half)))
-    return spliced(edited, "edited_mark", "edited", F.col("mark"), kept, F.col("next.mark"), added)
+    # As columns of their own the lengths are counted once, not for every gram compared with them.
+    edited = (df.withColumn("e_kept", F.length("text") - half)
+              .withColumn("e_added", F.least(half, F.length("next.text")))
+              .withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("e_kept")),
+                                             F.substring(F.col("next.text"), F.lit(1), F.col("e_added")))))
+    return spliced(edited, "edited_mark", "edited", F.col("mark"), "e_kept", F.col("next.mark"), "e_added").drop(
+        "e_kept", "e_added")
