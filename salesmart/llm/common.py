@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesmart.session import shared_dir
 
+_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Words are maximal runs of characters other than the six ASCII white-space ones.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -33,9 +36,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _workers_find_package(spark: SparkSession) -> None:
+    """Under a local master the Python workers look for this package where the driver found it.
+
+    On a cluster the package is installed or shipped like any other dependency.
+    """
+    if spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", _PACKAGE_ROOT)
+
+
 def with_columns_last(df: DataFrame, record: str, new: list[Column], names: list[str]) -> DataFrame:
     """The fields of the struct column ``record`` followed by the new columns.
 
