@@ -1,0 +1,216 @@
+"""Decontamination, SimHash groups and license scans against brute force."""
+
+import random
+import re
+
+import xxhash
+from helpers import docs, no_docs
+
+from salesmart.llm import decontamination as D
+from salesmart.llm import licenses, simhash
+
+
+# --- decontamination ------------------------------------------------------
+
+def brute_search(item, text):
+    """Least edit distance of the item to a stretch of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(text, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return min(row)
+
+
+def edited(rng, text, edits):
+    out = list(text)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        kind = rng.randrange(3)
+        if kind == 0:
+            out[at] = rng.choice("abcdefgh")
+        elif kind == 1:
+            out.insert(at, rng.choice("abcdefgh"))
+        else:
+            del out[at]
+    return "".join(out)
+
+
+def test_myers_distance_matches_brute_force():
+    rng = random.Random(1)
+    for _ in range(200):
+        item = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 90)))
+        text = "".join(rng.choice("abc ") for _ in range(rng.randint(0, 120)))
+        got, end = D.myers_search(D.pattern_masks(item), len(item), text)
+        assert got == min(brute_search(item, text), len(item))
+        assert got == min(brute_search(item, text[:end]), len(item))
+
+
+def test_pieces_meet_the_budget():
+    for n in (1, 5, 12, 13, 50, 200, 1000):
+        k = D.error_budget(n)
+        cut = D.pieces("x" * n, k)
+        assert len(cut) == k + 1 and sum(len(p) for _, p in cut) == n and k <= 0.06 * n
+        assert k == 0 or min(len(p) for _, p in cut) >= D.MIN_PIECE
+
+
+def test_decontamination_matches_brute_force(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(8, 40)))) for i in range(12)]
+    rows = []
+    for d in range(60):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 80)))
+        if d % 3:
+            item = items[d % 12][1]
+            text += " " + edited(rng, item, rng.randint(0, int(0.09 * len(item)))) + " " + " ".join(
+                rng.choice(words) for _ in range(5))
+        rows.append((d, text.replace(" ", "\n ", 2).upper() if d % 5 == 0 else text, "en", "s", 1))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(d, i) for d, t, *_ in rows for i, item in items
+            if brute_search(item, D.normalised(t)) <= D.error_budget(len(item))}
+    for block_chars in (1 << 20, 300):
+        got = D.contaminated(docs(spark, rows), benchmark, block_chars=block_chars).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    for r in got:
+        item, text = items[r["item_id"]][1], D.normalised(rows[r["doc_id"]][1])
+        assert brute_search(item, text[r["start"]:r["stop"]]) == r["distance"] == brute_search(item, text)
+    kept = D.clean_documents(docs(spark, rows, ["item_id"]), benchmark).collect()
+    assert {r["doc_id"] for r in kept} == set(range(60)) - {d for d, _ in want} and len(kept[0]) == 6
+
+
+def test_decontamination_of_odd_rows(spark):
+    benchmark = spark.createDataFrame([(1, None), (2, ""), (None, "word"), (4, "no id here at all")],
+                                      "item_id bigint, text string")
+    got = D.contaminated(docs(spark), benchmark).collect()
+    assert sorted(str((r["doc_id"], r["item_id"])) for r in got) == [
+        "(5, None)", "(5, None)", "(None, 4)"]
+    assert D.contaminated(docs(spark), benchmark.where("false")).count() == 0
+    assert D.contaminated(no_docs(spark), benchmark).count() == 0
+    assert D.clean_documents(docs(spark), benchmark).count() == 7
+
+
+# --- SimHash --------------------------------------------------------------
+
+def brute_print(text, n=4):
+    words = [w for w in re.split(rb"[\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode())) if w]
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i:i + n]), 42) for i in range(max(1, len(words) - n + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(ids, prints, radius):
+    root = list(range(len(ids)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= radius:
+                a, b = find(i), find(j)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+    groups = {}
+    for i in range(len(ids)):
+        groups.setdefault(find(i), []).append(ids[i])
+    return {i: min(groups[find(k)]) for k, i in enumerate(ids)}
+
+
+def test_fingerprints_match_brute_force():
+    for text in ("", " \n", "a", "A b\tC", "a b c d", "a b c d e", "Ünï  x y \x0b z q", "w " * 70000):
+        if len(text) < 1000:
+            assert simhash.fingerprint(text.encode()) == brute_print(text)
+    assert simhash.fingerprint(b"w " * 70000) == brute_print("w w w w")
+
+
+def test_bk_tree_search_matches_brute_force():
+    rng = random.Random(3)
+    values = [rng.getrandbits(64) for _ in range(200)]
+    values += [v ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for v in values[:100]] + values[:5]
+    tree = simhash.BKTree(values)
+    for v in values[::7]:
+        assert sorted(tree.within(v, 4)) == [i for i, x in enumerate(values) if (x ^ v).bit_count() <= 4]
+
+
+def test_components_match_brute_force_with_hot_shards(spark):
+    rng = random.Random(4)
+    prints = [rng.getrandbits(64) for _ in range(60)]
+    for _ in range(140):  # chains of close fingerprints: shards larger than the cap
+        prints.append(prints[-1] ^ (1 << rng.randrange(24)) ^ (1 << rng.randrange(24)))
+    distinct = sorted(set(prints))
+    classes = spark.createDataFrame([(simhash._signed(p),) for p in distinct], "f_print bigint")
+    links = simhash.shard_links(classes, cap=16)
+    got = {r["node"]: r["root"] for r in simhash.components(links).collect()}
+    want = brute_components([simhash._signed(p) for p in distinct], distinct, 4)
+    assert {n: got.get(n, n) for n in want} == want
+    for blocks in (10**3, 10**7, 10**9, 10**11):  # every plan finds every pair within the radius
+        masks = simhash.block_plan(blocks)
+        for _ in range(300):
+            flips = sum(1 << b for b in rng.sample(range(64), 4))
+            assert any(not flips & m for m in masks)
+
+
+def test_near_duplicates_and_the_one_that_stays(spark):
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(10, base, "en", "s", 1), (3, base + " tail", "en", "s", 1), (8, base.upper(), "en", "s", 1),
+            (5, "something else entirely in here", "en", "s", 1), (6, "", "en", "s", 0), (4, None, "en", "s", 0),
+            (5, "something else entirely in here", "en", "s", 1), (None, base, "en", "s", 1)]
+    got = simhash.near_duplicates(docs(spark, rows, ["f_id"])).collect()
+    ids = [r[0] for r in rows if r[0] is not None]
+    want = brute_components(ids, [brute_print(r[1] or "") for r in rows if r[0] is not None], 4)
+    assert len(got) == 8
+    assert all(r["f_component"] == want[r["f_id"]] for r in got if r["f_id"] is not None)
+    assert {r["f_component"] for r in got if r["f_id"] is None} == {want[10]}
+    kept = simhash.first_of_each(docs(spark, rows)).collect()
+    assert sorted(r["doc_id"] or 0 for r in kept) == sorted([0, *set(want.values())])
+    assert simhash.near_duplicates(no_docs(spark)).count() == 0
+    assert simhash.first_of_each(no_docs(spark)).count() == 0
+
+
+# --- license scans --------------------------------------------------------
+
+def brute_license(text):
+    words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(),
+                                                                 (text or "").encode()))
+    places, base = [], set()
+    for phrase, label in licenses.PHRASES:
+        p = phrase.encode().split()
+        for i in range(len(words) - len(p) + 1):
+            if words[i:i + len(p)] == p:
+                places.append(i)
+                base.add(label)
+    best, labels = 0.0, set(base)
+    half = licenses.BLOCK // 2
+    for start in range(0, max(len(words) - half, 1), half):
+        block = set(words[start:start + licenses.BLOCK])
+        for template, label in licenses.TEMPLATES:
+            t = set(template.encode().split())
+            if len(t & block) >= licenses.THRESHOLD * len(t):
+                labels.add(label)
+                best = max(best, len(t & block) / len(t))
+    return (len(words), len(places), min(places, default=None), max(places, default=None),
+            ",".join(sorted(base)), ",".join(sorted(labels)), 1.0 if places else best)
+
+
+def test_license_scan_matches_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = sorted({w for t, _ in licenses.TEMPLATES for w in t.split()}) + ["été", "x1", "lorem", "ipsum"] * 20
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 120))), "en", "s", 1) for i in range(60)]
+    for i, (t, _) in enumerate(licenses.TEMPLATES):
+        filler = " ".join(rng.choice(vocabulary[-80:]) for _ in range(i * 5))
+        rows.append((100 + i, f"{filler}\n{t.upper()}, {filler}", "en", "s", 1))
+    rows += [(200, "Under the MIT license under-the/mit.license; CC BY-NC and Apache License, Version 2.0!", "en", "s", 1),
+             (201, "under the mit under the mit license", "en", "s", 1), (202, "cc by nc by nc cc by nc", "en", "s", 1)]
+    rows += [(300 + i, *r[1:]) for i, r in enumerate(docs(spark).collect())]
+    got = licenses.scan(docs(spark, rows, ["labels"])).collect()
+    assert len(got) == len(rows)
+    texts = {r[0]: r[1] for r in rows}
+    for r in got:
+        want = brute_license(texts[r["doc_id"]])
+        assert tuple(r)[1:7] == want[:6] and abs(r["score"] - want[6]) < 1e-12, texts[r["doc_id"]]
+    assert any(r["labels"] and not r["base_labels"] for r in got)
+    assert licenses.scan(no_docs(spark)).count() == 0
