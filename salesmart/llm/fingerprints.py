@@ -74,24 +74,43 @@ def _window_minima(keys: Column, window: int, first: Column) -> Column:
 
 def winnow(text: Column, gram: int = GRAM, window: int = WINDOW, segment: int = SEGMENT) -> Column:
     """array<struct<pos:int,hash:bigint>> of the chosen grams of a text."""
-    # As an array's element the bytes are one object to the functions inside; as a column they are copied at each use.
-    return _bound(F.encode(F.coalesce(text, F.lit("")), "UTF-32"), lambda b: _winnow(b, gram, window, segment))
+    return _bound(_text32(text), lambda b: _hashes_at(b, _places(b, gram, window, segment), gram))
 
 
-def _winnow(text32: Column, gram: int, window: int, segment: int) -> Column:
+def winnow_places(text: Column, gram: int = GRAM, window: int = WINDOW, segment: int = SEGMENT) -> Column:
+    """Only the places of the chosen grams: with the text they give its fingerprint (``hashes_at``)."""
+    return _bound(_text32(text), lambda b: _places(b, gram, window, segment))
+
+
+def hashes_at(text: Column, places: Column, gram: int = GRAM) -> Column:
+    """The fingerprint of a text from its chosen places."""
+    return _bound(_text32(text), lambda b: _hashes_at(b, places, gram))
+
+
+def _text32(text: Column) -> Column:
+    """UTF-32 bytes.  To functions of an array's element they are one object; as a column each use would copy them."""
+    return F.encode(F.coalesce(text, F.lit("")), "UTF-32")
+
+
+def _gram_hash(text32: Column, place: Column, gram: int) -> Column:
+    return F.xxhash64(F.substring(text32, place * 4 + 1, F.lit(gram * 4)))
+
+
+def _hashes_at(text32: Column, places: Column, gram: int) -> Column:
+    return F.transform(places, lambda p: F.struct(p.alias("pos"), _gram_hash(text32, p, gram).alias("hash")))
+
+
+def _places(text32: Column, gram: int, window: int, segment: int) -> Column:
     chars = (F.length(text32) / 4).cast("int")
     grams = F.greatest(chars - (gram - 1), F.lit(1))
     windows = F.greatest(grams - (window - 1), F.lit(1))
 
-    def slice_hash(position):
-        return F.xxhash64(F.substring(text32, position * 4 + 1, F.lit(gram * 4)))
-
     def chosen(number):
         first = number * segment
         stop = F.least(first + segment, windows)
         keys = F.transform(
             F.sequence(first, F.least(stop + (window - 1), grams) - 1),
-            lambda p: F.shiftleft(F.shiftrightunsigned(slice_hash(p), 28), 27) + (F.lit(_PLACES).cast("long") - p))
+            lambda p: F.shiftleft(F.shiftrightunsigned(_gram_hash(text32, p, gram), 28), 27) + (F.lit(_PLACES).cast("long") - p))
         return _bound(keys, lambda k: _window_minima(k, window, first))
 
     keys = F.flatten(F.transform(
@@ -100,8 +119,7 @@ def _winnow(text32: Column, gram: int, window: int, segment: int) -> Column:
     picked = F.transform(
         F.array_distinct(keys),
         lambda key: (F.lit(_PLACES) - key.bitwiseAND(F.lit(_PLACES).cast("long"))).cast("int"))
-    return F.when(F.length(text32) == 0, F.array().cast("array<struct<pos:int,hash:bigint>>")).otherwise(
-        F.transform(picked, lambda p: F.struct(p.alias("pos"), slice_hash(p).alias("hash"))))
+    return F.when(F.length(text32) == 0, F.array().cast("array<int>")).otherwise(picked)
 
 
 def _order(mark) -> Column:
@@ -206,14 +224,19 @@ def with_next(rows: DataFrame, key: str, text: str, mark: str, bucket_rows: int
     following = heads.select(
         F.col("b_bucket").alias("h_bucket"),
         F.coalesce(F.lead("b_least.text").over(ahead), F.first("b_least.text").over(ahead)).alias("h_text"))
-    following = written(following.withColumn("h_mark", winnow(F.col("h_text"))), "fingerprint-next")
+    following = written(following.withColumn("h_places", winnow_places(F.col("h_text"))), "fingerprint-next")
     order = [F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first()]
     inside = Window.partitionBy("b_bucket").orderBy(*order)
-    found = (placed.withColumn(mark, winnow(F.col(text)))
-             .withColumn("b_next", F.lead(F.struct(F.col(text).alias("text"), F.col(mark).alias("mark"))).over(inside)))
-    return (found.join(following, F.col("b_bucket") == F.col("h_bucket"), "left")
-            .withColumn("next", F.coalesce("b_next", F.struct(F.col("h_text").alias("text"), F.col("h_mark").alias("mark"))))
-            .drop("b_next", "h_text", "h_mark", "b_bucket", "h_bucket"))
+    # Through the shuffle go the texts and the chosen places only.
+    found = (placed.withColumn("b_places", winnow_places(F.col(text)))
+             .withColumn("b_next", F.lead(F.struct(F.col(text).alias("text"), F.col("b_places").alias("places"))).over(inside))
+             .join(following, F.col("b_bucket") == F.col("h_bucket"), "left")
+             .withColumn("b_text", F.coalesce("b_next.text", "h_text"))
+             .withColumn("b_next_places", F.coalesce("b_next.places", "h_places")))
+    return (found.withColumn(mark, hashes_at(F.col(text), F.col("b_places")))
+            .withColumn("next", F.struct(F.col("b_text").alias("text"),
+                                         hashes_at(F.col("b_text"), F.col("b_next_places")).alias("mark")))
+            .drop("b_next", "b_places", "b_text", "b_next_places", "h_text", "h_places", "b_bucket", "h_bucket"))
 
 
 def with_edited(df: DataFrame) -> DataFrame:
