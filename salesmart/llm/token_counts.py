@@ -323,7 +323,8 @@ def token_counts(docs: DataFrame, vocabulary: dict[str, float], key: str = "doc_
     chars = F.length("t_text")
     cuts = F.sequence(F.lit(0), F.floor((chars - 1) / chunk_bytes).cast("int"))
     pieces = (rows.where(F.col("t_bytes") > chunk_bytes)
-              .select(F.monotonically_increasing_id().alias("t_row"), "t_id", "t_bytes",
+              .withColumn("t_row", F.monotonically_increasing_id())
+              .select("t_row", "t_id", "t_bytes",
                       F.posexplode(F.transform(cuts, lambda i: F.substring(
                           "t_text", i * chunk_bytes + 1, F.lit(chunk_bytes)))).alias("t_no", "t_piece"))
               .repartition(F.xxhash64("t_row", "t_no")))
