@@ -10,7 +10,6 @@ collected to the driver.  The modules are grouped as
 * ``sources``    readers for workbooks, CSV, JSON and parquet, plus the raw
   views derived from the TPC-H-style test tables;
 * ``plans``      sinks and the end-to-end pipeline (``run_etl``);
-* ``streaming``  nothing: the job has no streaming parts.
 """
 
 from salesmart.operators.dedup import keep_one_per_key

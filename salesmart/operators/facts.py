@@ -35,7 +35,7 @@ def build_orders_enriched(orders: DataFrame, customer_dim: DataFrame, product_di
     than that share of the orders are salted; their count is taken over
     ``orders``, so pass it when ``orders`` is cheap to recompute.  The
     pipeline's default fused path salts both joins with keys counted on the
-    prepared orders (``refs.annotate_orders``)."""
+    raw order lines (``refs.annotate_orders``)."""
     df = _renamed(orders)
     hot_c = hot_p = None
     if hot_share is not None:

@@ -20,7 +20,7 @@ not depend on AQE:
    partial-then-final count per key and a scalar subquery for the total.
    At most ``1 / hot_share`` keys can pass, which bounds the set, so it is
    broadcast;
-2. a row of a hot key gets a salt, a hash of the whole row modulo the
+2. a row of a hot key, or of none (it matches nothing), gets a salt, a hash of the whole row modulo the
    number of shuffle partitions; every other row gets salt 0;
 3. the lookup rows of hot keys are repeated once per salt value (at most
    ``1 / hot_share`` rows times the partition count), the others once;
@@ -38,14 +38,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_SHARE = 0.01
+LEAST_HOT_SHARE = 0.0001  # bounds the broadcast hot set to 10,000 keys
 _COUNT = "__rows"
 _HOT = "__hot"
 _SALT = "__salt"
 
 
+def _checked(hot_share: float) -> float:
+    if not LEAST_HOT_SHARE <= hot_share <= 1:
+        raise ValueError(f"hot_share must be from {LEAST_HOT_SHARE} to 1, not {hot_share}")
+    return hot_share
+
+
 def hot_keys(df: DataFrame, key: str, hot_share: float = DEFAULT_HOT_SHARE) -> DataFrame:
     """Keys of ``df`` holding more than ``hot_share`` of its rows (at most
     ``1 / hot_share`` of them), as a one-column frame named ``key``."""
+    _checked(hot_share)
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_COUNT))
     total = counts.agg(F.sum(_COUNT)).scalar()
     return counts.where(F.col(_COUNT) > total * F.lit(hot_share)).select(key)
@@ -57,6 +65,7 @@ def hot_keys_of_columns(df: DataFrame, keys: list[str],
     grouping-sets aggregate counts the rows per value of each column, and each
     column's hot set is read from that one aggregate (at most
     ``1 / hot_share`` keys per column)."""
+    _checked(hot_share)
     sets = [[k] for k in keys]
     counts = (df.select(*keys)
                 .groupingSets(sets, *keys)
@@ -84,7 +93,7 @@ def left_lookup(df: DataFrame, side: DataFrame, key: str, hot: DataFrame | None
     flags = F.broadcast(hot.select(key, F.lit(True).alias(_HOT)))
     cols = df.columns
     rows = (df.join(flags, on=key, how="left")
-              .withColumn(_SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64(*[F.col(c) for c in cols]),
+              .withColumn(_SALT, F.when(F.col(_HOT) | F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in cols]),
                                                             F.lit(buckets)))
                                   .otherwise(F.lit(0).cast("long")))
               .drop(_HOT))

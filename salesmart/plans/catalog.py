@@ -37,10 +37,11 @@ from salesmart.operators.quality import (
     clean_products,
 )
 from salesmart.operators.refs import clean_orders, prepare_orders
+from salesmart.operators.skew import DEFAULT_HOT_SHARE
 from salesmart.plans.etl import publish_tables, run_etl, run_pipeline
 from salesmart.session import shared_dir
 from salesmart.sources.excel import write_workbook_table
-from salesmart.sources.files import read_customers, read_orders, read_products
+from salesmart.sources.files import read_customers, read_orders, read_products, write_csv
 from salesmart.sources.testdata import raw_customers, raw_orders, raw_products, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,14 +84,15 @@ def _enriched(spark, sf, order_key=(S.ORDER_ID,)):
 
 
 def _mart(spark, sf):
-    return aggregate_profit_by(_enriched(spark, sf))
+    """The mart through the fused plan: one lookup join per dimension."""
+    return _outputs(spark, sf)["aggregates"]
 
 
 # --- files ----------------------------------------------------------------
 
 def _csv_products(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "products-csv")
-    raw_products(spark, sf).write.option("header", True).csv(folder)
+    write_csv(raw_products(spark, sf), folder)
     return read_products(spark, folder)
 
 
@@ -106,6 +108,33 @@ def _xlsx_customers(spark: SparkSession, sf: str) -> DataFrame:
     return read_customers(spark, folder)
 
 
+def csv_products_quoted(spark, sf):
+    """Products whose names hold commas, quotes and line breaks, or a missing-value token, through CSV."""
+    folder = shared_dir(spark, "products-quoted")
+    name = F.col(S.PRODUCT_NAME)
+    dirty = (F.when(F.length(name) % 5 == 0, F.concat(name, F.lit(', "big"\nsecond line')))
+             .when(F.length(name) % 5 == 1, F.lit("N/A")).when(F.length(name) % 5 == 2, F.concat(F.lit('"'), name))
+             .otherwise(name))
+    write_csv(raw_products(spark, sf).withColumn(S.PRODUCT_NAME, dirty), folder)
+    return read_products(spark, folder).withColumn(
+        "Price per product", F.col("Price per product").try_cast("double"))
+
+
+def json_array_orders(spark, sf):
+    """Orders from files that each hold one indented top-level array, read by the default call.
+
+    An order's lines go to one of 64 files by a hash of its id, so a file is a bounded share.
+    """
+    folder = shared_dir(spark, "orders-arrays")
+    orders = raw_orders(spark, sf)
+    record = F.to_json(F.struct(*[F.col(S.q(c)) for c in orders.columns]), {"pretty": "true"})
+    (orders.select(F.pmod(F.xxhash64(*[F.col(S.q(c)) for c in orders.columns]), F.lit(64)).alias("file"),
+                   record.alias("record"))
+     .groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value"))
+     .repartition(64, "file").write.partitionBy("file").text(folder))
+    return read_orders(spark, f"{folder}/file=*")
+
+
 def csv_roundtrip(spark, sf):
     df = _csv_products(spark, sf)
     return df.withColumn("Price per product", F.col("Price per product").try_cast("double"))
@@ -119,6 +148,17 @@ def xlsx_ingest(spark, sf):
     return _xlsx_customers(spark, sf)
 
 
+def xlsx_alias_customers(spark, sf):
+    """Customers from workbooks with an aliased country column, ``N/A`` names and empty phones."""
+    folder = shared_dir(spark, "customers-alias")
+    raw = raw_customers(spark, sf)
+    planted = raw.withColumns({
+        S.CUSTOMER_NAME: F.when(F.length(S.EMAIL) % 4 == 0, F.lit("N/A")).otherwise(F.col(S.q(S.CUSTOMER_NAME))),
+        S.PHONE: F.when(F.length(S.EMAIL) % 3 == 0, F.lit(None)).otherwise(F.col(S.PHONE))})
+    write_workbook_table(planted.withColumnRenamed(S.COUNTRY, " country_NAME"), folder)
+    return read_customers(spark, folder)
+
+
 def xlsx_customer_issues(spark, sf):
     return rendered(clean_customers(_xlsx_customers(spark, sf))[1])
 
@@ -157,7 +197,7 @@ def run_etl_aggregates(spark, sf):
     orders = shared_dir(spark, "etl-orders")
     c, p, o = raw_tables(spark, sf)
     write_workbook_table(c, cust)
-    p.write.option("header", True).csv(prod)
+    write_csv(p, prod)
     o.write.json(orders)
     return run_etl(spark, cust, prod, orders, shared_dir(spark, "etl-out"))["aggregates"]
 
@@ -188,9 +228,11 @@ QUERIES: dict[str, Query] = {
     "orders_enriched_fused": lambda spark, sf: _outputs(spark, sf)["orders_enriched"],
     "order_issues_fused": lambda spark, sf: rendered(_outputs(spark, sf)["order_data_issues"]),
     # mart and roll-ups
-    "profit_aggregates": _mart,
+    "profit_aggregates": lambda spark, sf: aggregate_profit_by(_enriched(spark, sf)),
     "profit_aggregates_lines": lambda spark, sf: aggregate_profit_by(_enriched(spark, sf, None)),
-    "profit_aggregates_fused": lambda spark, sf: _outputs(spark, sf)["aggregates"],
+    "profit_aggregates_fused": _mart,
+    "profit_aggregates_salted": lambda spark, sf: run_pipeline(
+        *raw_tables(spark, sf), hot_share=DEFAULT_HOT_SHARE)["aggregates"],
     "profit_by_year": lambda spark, sf: profit_by_year(_mart(spark, sf)),
     "profit_by_year_category": lambda spark, sf: profit_by_year_category(_mart(spark, sf)),
     "profit_by_customer": lambda spark, sf: profit_by_customer(_mart(spark, sf)),
@@ -216,8 +258,11 @@ QUERIES: dict[str, Query] = {
         preview(_outputs(spark, sf)["customer_data_issues"])),
     # sources and sinks
     "csv_roundtrip": csv_roundtrip,
+    "csv_products_quoted": csv_products_quoted,
+    "json_array_orders": json_array_orders,
     "json_roundtrip": json_roundtrip,
     "xlsx_ingest": xlsx_ingest,
+    "xlsx_alias_customers": xlsx_alias_customers,
     "xlsx_customer_issues": xlsx_customer_issues,
     "csv_product_issues": csv_product_issues,
     "json_order_issues": json_order_issues,

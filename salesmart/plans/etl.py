@@ -9,10 +9,9 @@ dimension it measures as small and split the orders partition of a hot key
 
 ``run_etl`` reads the raw files, publishes the seven tables as parquet
 (``publish_tables``) and returns them re-read from the written files.  Each
-annotated table feeds two outputs, so it is persisted while they are written
-(a lost executor's blocks are recomputed from the deterministic lineage);
-each later step reads the tables the earlier one wrote, which cuts the
-lineage.
+annotated table feeds two outputs: the dimensions are persisted while theirs
+are written, the orders are staged in the shared folder.  Each later step
+reads the tables the earlier one wrote, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -39,7 +38,8 @@ from salesmart.operators.refs import (
     clean_orders,
     order_issue_report,
 )
-from salesmart.plans.sinks import publish, read_published
+from salesmart.plans.sinks import publish, read_published, write_parquet
+from salesmart.session import drop_shared, shared_dir
 from salesmart.sources.files import read_customers, read_orders, read_products
 
 # Output table names (fixed values).
@@ -91,7 +91,7 @@ def run_pipeline(customers_raw: DataFrame, products_raw: DataFrame, orders_raw:
 def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw: DataFrame,
                    orders_raw: DataFrame, output_base: str,
                    order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, dedup: str = "aggregate",
-                   persist: bool = True, mode: str = "overwrite",
+                   persist: bool = True,
                    hot_share: float | None = None) -> dict[str, DataFrame]:
     """Write the seven tables in three steps, each reading what the previous
     one wrote, and return them re-read from the files.
@@ -100,8 +100,9 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
        issue report and dimension are written;
     2. orders: checked and enriched against the dimensions *as written*
        (the join side is a file scan, so AQE measures its shuffle and
-       broadcasts it only when it is small), persisted while the issue
-       report and the fact are written;
+       broadcasts it only when it is small), written once to a staging
+       folder in the shared store, from which the issue report and the fact
+       are written; the folder is then deleted;
     3. the mart, aggregated from the written fact.
     """
     level = StorageLevel.MEMORY_AND_DISK
@@ -115,7 +116,7 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
                            "customers": build_customer_dim(impute_customer_names(customers)),
                            "product_data_issues": product_issue_report(products),
                            "products": build_product_dim(valid_products(products))},
-                          output_base, mode=mode)
+                          output_base)
     finally:
         if persist:
             customers.unpersist()
@@ -124,28 +125,28 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
     dims = read_published(spark, output_base, ["customers", "products"], written)
     orders = annotate_orders(orders_raw, dims["customers"], dims["products"], order_key, dedup,
                              hot_share=hot_share, rebalance_dims=False)
-    if persist:
-        orders.persist(level)
+    staging = shared_dir(spark, "staging")
     try:
-        written.update(publish({"order_data_issues": order_issue_report(orders),
-                                "orders_enriched": enriched_from_annotated(orders)},
-                               output_base, mode=mode))
+        write_parquet(orders, staging)
+        staged = spark.read.schema(orders.schema).parquet(staging)
+        written.update(publish({"order_data_issues": order_issue_report(staged),
+                                "orders_enriched": enriched_from_annotated(staged)},
+                               output_base))
     finally:
-        if persist:
-            orders.unpersist()
+        drop_shared(spark, staging)
 
     fact = read_published(spark, output_base, ["orders_enriched"], written)["orders_enriched"]
-    written.update(publish({"aggregates": aggregate_profit_by(fact)}, output_base, mode=mode))
+    written.update(publish({"aggregates": aggregate_profit_by(fact)}, output_base))
     return read_published(spark, output_base, OUTPUT_TABLES, written)
 
 
 def run_etl(spark: SparkSession, customers_path: str, products_path: str, orders_path: str,
             output_base: str, order_key: Sequence[str] | None = DEFAULT_ORDER_KEY,
-            orders_multiline: bool = False, persist: bool = True,
+            orders_multiline: bool | None = None, products_multiline: bool = True, persist: bool = True,
             hot_share: float | None = None) -> dict[str, DataFrame]:
     """Read the raw files, clean, enrich, aggregate and publish."""
     return publish_tables(spark, read_customers(spark, customers_path),
-                          read_products(spark, products_path),
+                          read_products(spark, products_path, multiline=products_multiline),
                           read_orders(spark, orders_path, multiline=orders_multiline),
                           output_base, order_key=order_key, persist=persist,
                           hot_share=hot_share)

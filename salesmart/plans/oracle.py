@@ -231,6 +231,7 @@ _BODIES = {
     "profit_aggregates": "SELECT * FROM mart",
     "profit_aggregates_lines": "SELECT * FROM mart_lines",
     "profit_aggregates_fused": "SELECT * FROM mart",
+    "profit_aggregates_salted": "SELECT * FROM mart",
     "profit_by_year": _BY_YEAR + " ORDER BY Year",
     "profit_by_year_category": _BY_YEAR_CAT + " ORDER BY Year, Category",
     "profit_by_customer": _BY_CUST + " ORDER BY ProfitByCustomer DESC, CustomerName ASC NULLS FIRST",
@@ -265,8 +266,18 @@ ORDER BY CustomerID NULLS FIRST, CustomerName NULLS FIRST, Email NULLS FIRST, Ph
   PostalCode NULLS FIRST, Region NULLS FIRST, "Issues" NULLS FIRST
 LIMIT 5""",
     "csv_roundtrip": "SELECT * FROM raw_products",
+    "csv_products_quoted": """
+SELECT * REPLACE (CASE length("Product Name") % 5
+    WHEN 0 THEN "Product Name" || ', "big"' || chr(10) || 'second line' WHEN 1 THEN NULL
+    WHEN 2 THEN '"' || "Product Name" ELSE "Product Name" END AS "Product Name")
+FROM raw_products""",
+    "json_array_orders": "SELECT * FROM raw_orders",
     "json_roundtrip": "SELECT * FROM raw_orders",
     "xlsx_ingest": "SELECT * FROM raw_customers",
+    "xlsx_alias_customers": """
+SELECT * REPLACE (CASE WHEN length(email) % 4 = 0 THEN NULL ELSE "Customer Name" END AS "Customer Name",
+                  CASE WHEN length(email) % 3 = 0 THEN 'nan' ELSE phone END AS phone)
+FROM raw_customers""",
     "xlsx_customer_issues": "SELECT * FROM customer_issues",
     "csv_product_issues": "SELECT * FROM product_issues",
     "json_order_issues": "SELECT * FROM order_issues",

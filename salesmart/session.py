@@ -32,9 +32,12 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "salesmart", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the library's settings; without ``master`` the one that spark-submit or the configuration names."""
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
@@ -50,8 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
     Read from the session (``spark.checkpoint.dir`` or a folder already set
-    on the context); only when neither exists (local tests) is a folder
-    created and registered here.
+    on the context).  Only a local master, whose tasks share the driver's disk,
+    gets a folder of its own if neither exists; any other raises.
     """
     try:
         sc = spark.sparkContext
@@ -62,6 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return base
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="salesmart-ckpt-")
         sc.setCheckpointDir(base)
     return base
@@ -71,3 +76,9 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     leaf = name or "run"
     return os.path.join(checkpoint_root(spark), f"{leaf}-{uuid.uuid4().hex[:12]}")
+
+
+def drop_shared(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder made by ``shared_dir``, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -122,7 +122,22 @@ def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
                 elem.clear()
 
 
-def _parse_batches(schema: StructType):
+def _columns(header: list[str | None], names: list[str], aliases: dict[str, tuple[str, ...]],
+             required: tuple[str, ...]) -> dict[str, int]:
+    """Position of each wanted column: of its own name, else of the last of its aliases."""
+    where = {str(h).strip(): i for i, h in enumerate(header) if h is not None}
+    for name in names:
+        if name not in where:
+            hits = [i for h, i in where.items() if h.lower() in aliases.get(name, ())]
+            if hits:
+                where[name] = max(hits)
+    missing = [name for name in required if name not in where]
+    if missing:
+        raise ValueError(f"a workbook has no column for {missing}; its header is {header}")
+    return where
+
+
+def _parse_batches(schema: StructType, aliases: dict[str, tuple[str, ...]], required: tuple[str, ...]):
     names = schema.fieldNames()
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,7 +147,7 @@ def _parse_batches(schema: StructType):
                 header = next(rows, None)
                 if header is None:
                     continue
-                where = {str(h).strip(): i for i, h in enumerate(header) if h is not None}
+                where = _columns(header, names, aliases, required)
                 chunk: list[list[str | None]] = []
                 for row in rows:
                     if all(v is None for v in row):
@@ -148,14 +163,18 @@ def _parse_batches(schema: StructType):
     return parse
 
 
-def read_workbooks(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_workbooks(spark: SparkSession, path: str, schema: StructType,
+                   aliases: dict[str, tuple[str, ...]] | None = None, required: tuple[str, ...] = ()) -> DataFrame:
     """All workbooks under ``path`` (a file, folder or glob), first sheet
-    each, as text columns named by ``schema`` (all fields must be strings)."""
+    each, as text columns named by ``schema`` (all fields must be strings).
+
+    A column absent under its name is looked for under its lower-case
+    ``aliases``; a workbook without a ``required`` column raises."""
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", "*.[xX][lL][sS][xX]")
              .load(path)
              .select("content"))
-    return files.mapInPandas(_parse_batches(schema), schema)
+    return files.mapInPandas(_parse_batches(schema, aliases or {}, required), schema)
 
 
 # ---------------------------------------------------------------------------
@@ -215,8 +234,14 @@ def workbook_bytes(header: list[str], rows) -> bytes:
     return buf.getvalue()
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _store(folder: str):
+    """(file system, path) of a folder given as a path or a URI; an unknown scheme raises."""
+    from pyarrow import fs
+
+    if "://" in folder or folder.startswith("file:"):
+        uri = folder if "://" in folder else "file://" + folder[len("file:"):]
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), os.path.abspath(folder)
 
 
 def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = 100_000) -> DataFrame:
@@ -230,21 +255,20 @@ def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = 100_000
     same files.  A task holds one workbook's rows at a time.
     """
     header = df.columns
-    out = _local(folder)
-
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        os.makedirs(out, exist_ok=True)
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        store, out = _store(folder)
+        store.create_dir(out, recursive=True)
         files, counts, chunk = [], [], []
 
         def flush():
-            target = os.path.join(out, f"part-{part:05d}-{len(files):04d}.xlsx")
-            tmp = f"{target}.tmp-{os.getpid()}"
-            with open(tmp, "wb") as fh:
+            target = f"{out}/part-{part:05d}-{len(files):04d}.xlsx"
+            tmp = f"{target}.tmp-{attempt}"  # unique over all hosts
+            with store.open_output_stream(tmp) as fh:
                 fh.write(workbook_bytes(header, chunk))
-            os.replace(tmp, target)
+            store.move(tmp, target)
             files.append(target)
             counts.append(len(chunk))
 

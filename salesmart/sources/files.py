@@ -5,8 +5,8 @@
 * products: CSV with a header; all columns are read as text (no inference
   pass), common missing-value tokens become null, and the price column is
   typed later by the cleaning step;
-* orders: JSON with a declared schema, as JSON lines (splittable) or, with
-  ``multiline=True``, as one top-level array per file.  Ids stay text.
+* orders: JSON with a declared schema, as one top-level array per file or as
+  JSON lines (splittable).  Ids stay text.
 """
 
 from __future__ import annotations
@@ -26,32 +26,76 @@ NA_TOKENS = (
     "nan", "null",
 )
 MISSING_PHONE_TEXT = "nan"
+CUSTOMER_ALIASES = {S.CUSTOMER_ID: S.CUSTOMER_ID_ALIASES, S.CUSTOMER_NAME: S.CUSTOMER_NAME_ALIASES,
+                    S.COUNTRY: S.COUNTRY_ALIASES}
+# Quotes inside a quoted cell are doubled.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
 
 
 def read_customers(spark: SparkSession, path: str,
                    schema: StructType = S.CUSTOMER_SCHEMA) -> DataFrame:
-    df = read_workbooks(spark, path, schema)
+    """Customer workbooks; missing-value tokens are null, a missing phone is the text ``nan``.
+
+    A column may go by any of its aliases; a workbook without a country raises.
+    """
+    df = read_workbooks(spark, path, schema, CUSTOMER_ALIASES, required=(S.COUNTRY,))
+    df = df.select(*[F.when(~F.col(S.q(c)).isin(*NA_TOKENS), F.col(S.q(c))).alias(c) for c in df.columns])
     if S.PHONE in df.columns:
         df = df.withColumn(S.PHONE, F.coalesce(F.col(S.PHONE), F.lit(MISSING_PHONE_TEXT)))
     return df
 
 
-def read_products(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    df = (spark.read
-          .option("header", True)
-          .option("inferSchema", False)
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("multiLine", multiline)
-          .csv(path))
-    return df.select(*[F.when(F.col(c).isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(c)).alias(c)
+def read_products(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Product CSV.  Every file must have the first one's header.
+
+    ``multiline=False`` splits large files, for files without line breaks in
+    quotes; a record that does not parse as a line then raises.
+    """
+    reader = (spark.read
+              .option("header", True)
+              .option("inferSchema", False)
+              .option("enforceSchema", False)
+              .option("mode", "FAILFAST")
+              .option("multiLine", multiline))
+    if not multiline:
+        reader = reader.option("columnPruning", False)
+    for name, value in CSV_QUOTING.items():
+        reader = reader.option(name, value)
+    df = reader.csv(path)
+    return df.select(*[F.when(F.col(S.q(c)).isin(*NA_TOKENS), F.lit(None)).otherwise(F.col(S.q(c))).alias(c)
                        for c in df.columns])
 
 
-def read_orders(spark: SparkSession, path: str, schema: StructType = S.ORDER_SCHEMA,
-                multiline: bool = False) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """``df`` as CSV that ``read_products`` reads back unchanged (empty text becomes null)."""
+    df.write.option("header", True).options(**CSV_QUOTING).csv(path)
+
 
+def json_layout(spark: SparkSession, path: str) -> str:
+    """``array`` or ``lines``: how every file under ``path`` starts; raises if they differ.
+
+    One pass over the files as text.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.regexp_extract("value", r"\S", 0).alias("mark"))
+    first = lines.where(F.col("mark") != "").groupBy("file").agg(F.min(F.struct("block", "line", "mark")).alias("first"))
+    marks = {r["mark"] for r in first.select("first.mark").distinct().limit(3).collect()}
+    if marks <= {"["}:
+        return "array"
+    if marks == {"{"}:
+        return "lines"
+    raise ValueError(f"the JSON files under {path} start with {sorted(marks)}; all must be arrays or all JSON lines")
+
+
+def read_orders(spark: SparkSession, path: str, schema: StructType = S.ORDER_SCHEMA,
+                multiline: bool | None = None) -> DataFrame:
+    """Order JSON, as one top-level array per file (any layout) or as JSON lines.
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    By default the layout is looked up first, which reads the files once more;
+    ``multiline`` True (arrays) or False (lines, which Spark can split) names
+    it.  Text that does not parse raises, so a wrong layout never loses rows.
+    """
+    if multiline is None:
+        multiline = json_layout(spark, path) == "array"
+    return spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)

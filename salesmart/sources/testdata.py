@@ -38,22 +38,10 @@ TABLE_SCHEMAS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
-    """One test table.  With ``spread_key``, a scan that yields fewer
-    partitions than the cluster has task slots (a small file written as one
-    row group) is hash-partitioned on that key so that the work after it
-    runs on every core; a table stored as many files is left as it is."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table."""
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread_key is not None:
-        try:
-            slots = spark.sparkContext.defaultParallelism
-            scan_parts = df.rdd.getNumPartitions()
-        except Exception:  # no context or RDD view (e.g. a remote session): keep the scan as is
-            return df
-        if scan_parts < slots:
-            df = df.repartition(slots, spread_key)
-    return df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _copies(key: str, every: int) -> str:
@@ -104,7 +92,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread_key="l_orderkey").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_linestatus", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

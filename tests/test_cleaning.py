@@ -1,5 +1,7 @@
 """Cleaning steps on the hand-written fixtures (exact outcomes)."""
 
+import pytest
+from conftest import ORDER_COLUMNS
 from pyspark.sql import functions as F
 
 from salesmart import clean_customers, clean_orders, clean_products
@@ -9,99 +11,61 @@ def by_id(df, key):
     return {r[key]: r for r in df.collect()}
 
 
-def test_clean_customers(customers_raw):
-    clean, issues = clean_customers(customers_raw)
-    rows = by_id(clean, "Customer ID")
-    assert sorted(rows) == ["C1", "C2", "C3", "C4"]          # duplicate and missing id gone
-    # the survivor of C1 is the smallest row by the other columns
-    assert rows["C1"]["Customer Name"] == "Duplicate"
-    assert rows["C2"]["Customer Name"] == "IMPUTED_jane"
-    assert rows["C4"]["Customer Name"] == "IMPUTED_empty"
-    assert rows["C3"]["Customer Name"] == "Invalid@Name"     # reported, not removed
-
-    got = {r["CustomerID"]: list(r["Issues"]) for r in issues.collect()}
-    assert got == {
-        "C2": ["missing_name"],
-        "C3": ["invalid_name", "invalid_email", "invalid_phone", "invalid_postal",
-               "invalid_region"],
-        "C4": ["missing_name", "invalid_name"],
-    }
-    assert issues.columns == ["CustomerID", "CustomerName", "Email", "Phone", "PostalCode",
-                              "Region", "Issues"]
-    # the report keeps the name as read, before imputation
-    assert by_id(issues, "CustomerID")["C4"]["CustomerName"] == ""
-    assert by_id(issues, "CustomerID")["C2"]["CustomerName"] is None
-
-
-def test_clean_products(products_raw):
+def test_customers_are_kept_once_and_imputed(customers_raw):
+    rows = by_id(clean_customers(customers_raw)[0], "Customer ID")
+    assert {k: r["Customer Name"] for k, r in rows.items()} == {
+        "K70": "Zoë Lindqvist", "K71": "Ngozi Eze", "K72": "IMPUTED_pat+lists",
+        "K73": "\t", "K74": "O'Hara-Lind", "K75": "Mia Bell"}
+    assert rows["K75"]["Region"] is None  # the smallest row of the repeated id, nulls first
+
+
+def test_customer_faults_are_listed_in_rule_order(customers_raw):
+    issues = clean_customers(customers_raw)[1]
+    assert issues.columns == ["CustomerID", "CustomerName", "Email", "Phone", "PostalCode", "Region", "Issues"]
+    got = by_id(issues, "CustomerID")
+    assert {k: list(r["Issues"]) for k, r in got.items()} == {
+        "K72": ["missing_name", "invalid_postal"],
+        "K73": ["invalid_name", "invalid_email", "invalid_phone", "invalid_postal", "invalid_region"],
+        "K74": ["invalid_name", "invalid_email", "invalid_phone", "invalid_postal", "invalid_region"]}
+    assert got["K72"]["CustomerName"] is None  # as read, before imputation
+
+
+def test_products_split_by_price(products_raw):
     clean, issues = clean_products(products_raw)
-    rows = clean.collect()
-    assert [(r["Product ID"], r["UnitPrice"]) for r in rows] == [("P1", 15.0)]
-    assert rows[0]["Product Name"] == "Duplicate"
-    got = issues.collect()
-    assert len(got) == 1
-    assert got[0]["Product ID"] == "P2"
-    assert list(got[0]["Issues"]) == ["negative_unit_price"]
-
-
-def test_clean_orders(orders_raw, customers_raw, products_raw):
-    customers, _ = clean_customers(customers_raw)
-    products, _ = clean_products(products_raw)
-    clean, issues = clean_orders(orders_raw, customers, products)
-    assert [r["Order ID"] for r in clean.collect()] == ["O1"]
-    got = {r["OrderID"]: list(r["Issues"]) for r in issues.collect()}
-    assert got == {
-        "O2": ["invalid_product_id"],                    # P2 removed for its negative price
-        "O3": ["invalid_customer_id", "invalid_product_id"],
-    }
-    assert issues.columns == ["OrderID", "CustomerID", "ProductID", "OrderDate", "ShipDate",
-                              "Issues"]
-    o1 = clean.collect()[0]
-    assert str(o1["OrderDate"]) == "2023-01-01" and str(o1["ShipDate"]) == "2023-01-02"
-
-
-def test_clean_orders_keeps_lines_without_order_key(orders_raw, customers_raw, products_raw):
-    customers, _ = clean_customers(customers_raw)
-    products, _ = clean_products(products_raw)
-    clean, issues = clean_orders(orders_raw, customers, products, order_key=None)
-    assert clean.where(F.col("Order ID") == "O1").count() == 2
-    assert issues.count() == 2
-
-
-def test_orders_missing_required_columns_are_dropped(spark, customers_raw, products_raw):
-    rows = [
-        ("O1", "C1", "P1", 1.0, "1/1/2023", None),        # no ship date: kept
-        ("O2", "C1", "P1", None, "1/1/2023", "1/1/2023"),  # no profit
-        ("O3", "C1", "P1", float("nan"), "1/1/2023", "1/1/2023"),  # NaN profit
-        ("O4", "C1", None, 1.0, "1/1/2023", "1/1/2023"),   # no product
-        ("O5", "C1", "P1", 1.0, None, "1/1/2023"),         # no order date
-        ("O6", "C1", "P1", 1.0, "31/2/2023", "x"),         # bad dates: kept, null dates
-    ]
-    orders = spark.createDataFrame(rows, "`Order ID` string, `Customer ID` string, "
-                                         "`Product ID` string, Profit double, "
-                                         "`Order Date` string, `Ship Date` string")
-    customers, _ = clean_customers(customers_raw)
-    products, _ = clean_products(products_raw)
-    clean, _ = clean_orders(orders, customers, products)
-    got = {r["Order ID"]: (r["OrderDate"], r["ShipDate"]) for r in clean.collect()}
-    assert sorted(got) == ["O1", "O6"]
-    assert got["O1"][1] is None
-    assert got["O6"] == (None, None)
-
-
-def test_negative_and_missing_price_cascade(spark, customers_raw):
-    products = spark.createDataFrame(
-        [("P1", "a", "10"), ("P2", "b", None), ("P3", "c", "-1"), ("P4", "d", "oops")],
-        "`Product ID` string, Category string, Price string")
-    products = products.withColumn("Sub-Category", F.lit("s"))
-    clean, issues = clean_products(products)
-    assert sorted(r["Product ID"] for r in clean.collect()) == ["P1"]
-    assert [r["Product ID"] for r in issues.collect()] == ["P3"]   # null price: in neither
-    orders = spark.createDataFrame(
-        [(f"O{i}", "C1", f"P{i}", 1.0, "1/1/2023", "1/1/2023") for i in range(1, 5)],
-        "`Order ID` string, `Customer ID` string, `Product ID` string, Profit double, "
-        "`Order Date` string, `Ship Date` string")
-    customers, _ = clean_customers(customers_raw)
-    ok, bad = clean_orders(orders, customers, clean)
-    assert [r["Order ID"] for r in ok.collect()] == ["O1"]
-    assert sorted(r["OrderID"] for r in bad.collect()) == ["O2", "O3", "O4"]
+    assert {r["Product ID"]: (r["Product Name"], r["UnitPrice"]) for r in clean.collect()} == {
+        "T-1": ("kettle", 24.9), "T-5": ("shelf", 0.0)}
+    # a missing or unreadable price is in neither table
+    assert [(r["Product ID"], list(r["Issues"])) for r in issues.collect()] == [("T-2", ["negative_unit_price"])]
+
+
+@pytest.fixture
+def cleaned(customers_raw, products_raw):
+    return clean_customers(customers_raw)[0], clean_products(products_raw)[0]
+
+
+def test_orders_need_known_parents(orders_raw, cleaned):
+    clean, issues = clean_orders(orders_raw, *cleaned)
+    assert issues.columns == ["OrderID", "CustomerID", "ProductID", "OrderDate", "ShipDate", "Issues"]
+    assert {r["OrderID"]: list(r["Issues"]) for r in issues.collect()} == {
+        "2044": ["invalid_customer_id"], "2045": ["invalid_product_id"],
+        "2046": ["invalid_customer_id", "invalid_product_id"]}
+    rows = by_id(clean, "Order ID")
+    assert {k: (r["Product ID"], str(r["OrderDate"]), str(r["ShipDate"])) for k, r in rows.items()} == {
+        "2041": ("T-1", "2021-11-09", "2021-11-12"),
+        "2042": ("T-5", "None", "None"),  # 31 February, and no ship date
+        "2043": ("T-1", "2022-01-01", "None")}
+
+
+def test_every_line_is_kept_without_an_order_key(orders_raw, cleaned):
+    clean, issues = clean_orders(orders_raw, *cleaned, order_key=None)
+    assert clean.where(F.col("Order ID") == "2041").count() == 2
+    assert clean.count() == 4 and issues.count() == 3
+
+
+@pytest.mark.parametrize("lost", ["Order ID", "Customer ID", "Product ID", "Profit", "Order Date"])
+def test_orders_without_a_required_value_go(spark, cleaned, lost):
+    whole = {"Order ID": "1", "Customer ID": "K70", "Product ID": "T-1", "Profit": 1.5,
+             "Order Date": "2/2/2020", "Ship Date": None}
+    rows = [tuple(whole.values()), tuple((whole | {"Order ID": "2", lost: None}).values())]
+    clean, issues = clean_orders(spark.createDataFrame(rows, ORDER_COLUMNS), *cleaned)
+    assert [r["Order ID"] for r in clean.collect()] == ["1"] and issues.count() == 0

@@ -10,16 +10,16 @@ from salesmart.sources.files import read_customers, read_orders, read_products
 
 
 def test_read_customers_workbook(spark, tmp_path):
-    header = ["Customer ID", "Customer Name", "email", "phone", "Postal Code", "Region"]
-    rows = [["A", "X", "x@test.com", 1234567890, "01841", "North"],
-            ["B", "Y", "y@test.com", None, 2345.5, "South"]]
+    header = ["Customer ID", "Customer Name", "email", "phone", "Postal Code", "Country"]
+    rows = [["A", "X", "x@test.com", 1234567890, "01841", "Chad"],
+            ["B", "Y", "y@test.com", None, 2345.5, None]]
     (tmp_path / "customers.xlsx").write_bytes(workbook_bytes(header, rows))
     df = read_customers(spark, str(tmp_path))
     got = sorted(tuple(r) for r in df.collect())
     assert df.columns == ["Customer ID", "Customer Name", "email", "phone", "Postal Code",
                           "Region", "Country"]
-    assert got == [("A", "X", "x@test.com", "1234567890", "01841", "North", None),
-                   ("B", "Y", "y@test.com", "nan", "2345.5", "South", None)]
+    assert got == [("A", "X", "x@test.com", "1234567890", "01841", None, "Chad"),
+                   ("B", "Y", "y@test.com", "nan", "2345.5", None, None)]
 
 
 def test_workbook_shared_strings_and_gaps(tmp_path):
@@ -45,8 +45,8 @@ def test_workbook_shared_strings_and_gaps(tmp_path):
 
 
 def test_write_and_read_workbooks(spark, tmp_path):
-    df = spark.createDataFrame([(str(i), f"n{i}") for i in range(50)],
-                               "`Customer ID` string, `Customer Name` string").repartition(3)
+    df = spark.createDataFrame([(str(i), f"n{i}", "Chad") for i in range(50)],
+                               "`Customer ID` string, `Customer Name` string, Country string").repartition(3)
     write_workbook_table(df, str(tmp_path / "wb"), rows_per_workbook=10)
     files = list((tmp_path / "wb").glob("*.xlsx"))
     assert 5 <= len(files) <= 8              # each partition split into workbooks of <= 10 rows
@@ -88,7 +88,7 @@ def test_read_orders_json_lines(spark, tmp_path):
 
 
 def test_workbook_extension_any_case(spark, tmp_path):
-    (tmp_path / "UPPER.XLSX").write_bytes(workbook_bytes(["Customer ID"], [["Z1"]]))
+    (tmp_path / "UPPER.XLSX").write_bytes(workbook_bytes(["Customer ID", "Country"], [["Z1"]]))
     (tmp_path / "notes.txt").write_text("not a workbook")
     df = read_customers(spark, str(tmp_path))
     assert [r["Customer ID"] for r in df.collect()] == ["Z1"]
