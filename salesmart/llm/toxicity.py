@@ -312,7 +312,7 @@ def fit(bags: list[tuple[int, list]], landmarks: list[str], rounds: int = 5) ->
 
 
 def held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, seed: int = 5) -> DataFrame:
