@@ -8,7 +8,7 @@ one run of each on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 * ``plan_build``: the output catalogue planned once from the raw tables;
 * the five job outputs computed from the raw tables (``noop`` sink, nothing
   collected): customer, product and order issues, the enriched fact and the
-  profit mart;
+  profit mart, and the profit by year from the raw tables;
 * ``publish_all``: the whole job writing its seven parquet tables;
 * the four roll-ups as SQL text over the published ``aggregates`` table
   (re-read, registered as a temp view), as the job answers them.
@@ -25,7 +25,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from salesmart.operators.marts import ROLLUP_SQL, register_aggregates  # noqa: E402
+from salesmart.operators.marts import ROLLUP_SQL, profit_by_year, register_aggregates  # noqa: E402
 from salesmart.plans.catalog import rendered  # noqa: E402
 from salesmart.plans.etl import publish_tables, run_pipeline  # noqa: E402
 from salesmart.session import build_session, shared_dir  # noqa: E402
@@ -42,6 +42,7 @@ HEADLINE = {
     "order_issues": lambda o: rendered(o["order_data_issues"]),
     "orders_enriched": lambda o: o["orders_enriched"],
     "profit_mart": lambda o: o["aggregates"],
+    "profit_by_year_raw": lambda o: profit_by_year(o["aggregates"]),
 }
 
 
