@@ -36,7 +36,7 @@ from salesmart.operators.quality import (
     clean_customers,
     clean_products,
 )
-from salesmart.operators.refs import clean_orders, prepare_orders
+from salesmart.operators.refs import clean_orders
 from salesmart.operators.skew import DEFAULT_HOT_SHARE
 from salesmart.plans.etl import publish_tables, run_etl, run_pipeline
 from salesmart.session import shared_dir
@@ -173,15 +173,24 @@ def json_order_issues(spark, sf):
     return rendered(clean_orders(_json_orders(spark, sf), customers, products)[1])
 
 
+def _order_counts(orders: DataFrame) -> DataFrame:
+    """Order lines, lines with every required value, and orders among those, from one scan."""
+    usable = F.lit(True)
+    for name in S.ORDER_REQUIRED:
+        usable = usable & F.col(S.q(name)).isNotNull()
+    usable = usable & ~F.isnan(S.PROFIT)
+    counts = orders.agg(F.count(F.lit(1)).alias("orders_raw"), F.count_if(usable).alias("order_lines_keyed"),
+                        F.count_distinct(F.when(usable, F.col(S.q(S.ORDER_ID)))).alias("orders_keyed"))
+    return counts.unpivot([], counts.columns, "table_name", "row_count")
+
+
 def cleaning_counts(spark, sf):
     """Rows of each raw input before and after the key check and dedup."""
     customers, products, orders = raw_tables(spark, sf)
     return table_counts({
         "customers_raw": customers, "customers_keyed": annotate_customers(customers),
         "products_raw": products, "products_keyed": annotate_products(products),
-        "orders_raw": orders, "orders_keyed": prepare_orders(orders),
-        "order_lines_keyed": prepare_orders(orders, order_key=None),
-    })
+    }).unionByName(_order_counts(orders))
 
 
 def parquet_publish(spark, sf):
