@@ -288,7 +288,7 @@ def document_features(values: list[float], units: int) -> list[float]:
     return best + [0.0] * (3 - len(best)) + [math.log1p(units)]
 
 
-def fit(bags: list[tuple[int, list]], landmarks: list[str], rounds: int = 5) -> list[float]:
+def fit(bags: list[tuple[int, np.ndarray]], landmarks: list[str], rounds: int = 5) -> list[float]:
     """Weights of the kernel values, from (label, sentence vectors by rising rank) of the training documents."""
     kernel = Kernel(landmarks)
     values, vectors = np.linalg.eigh(np.array(kernel.values(landmarks), dtype=float))
@@ -385,19 +385,20 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
                 rows = []
                 for part in _slices(batch.column(2).to_pylist()):
                     values.learn(set().union(*(w for _, w in part)))
-                    rows += [[v.tolist() for v in values.sentences(text)[-SENTENCES:]] for text, _ in part]
+                    rows += [np.array(values.sentences(text)[-SENTENCES:], dtype=np.float32).tobytes() for text, _ in part]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:2], pa.array(rows, type=pa.list_(pa.list_(pa.float64())))],
-                    names=["id", "label", "vectors"])
+                    [*batch.columns[:2], pa.array(rows, type=pa.binary())], names=["id", "label", "vectors"])
 
-        found = sample.mapInArrow(run, "id bigint, label int, vectors array<array<double>>").collect()
-        return {r["id"]: (r["label"], r["vectors"]) for r in sorted(found)}
+        # The vectors travel as bytes: as lists of numbers they would take ten times the driver's memory.
+        found = sample.mapInArrow(run, "id bigint, label int, vectors binary").collect()
+        return {r["id"]: (r["label"], np.frombuffer(r["vectors"], dtype=np.float32).reshape(-1, len(landmarks)))
+                for r in sorted(found)}
 
     # The second round adds the sentences that the first model ranks highest: the hard ones of the clean documents.
     first = sentences(worth, "nearest")
     weights = fit(list(first.values()), landmarks)
     second = sentences(weights, "vector")
-    weights = fit([(label, vectors + second[i][1]) for i, (label, vectors) in first.items()], landmarks)
+    weights = fit([(label, np.vstack([vectors, second[i][1]])) for i, (label, vectors) in first.items()], landmarks)
     features = sample.mapInArrow(_featured(landmarks, weights, 2, [1]), "label int, features array<double>").collect()
     curve = logistic_curve(np.array([r["features"] for r in sorted(features)]),
                            np.array([1.0 if r["label"] else -1.0 for r in sorted(features)]))
