@@ -23,10 +23,11 @@ either label (those of the lowest seeded hash); their texts are never
 collected, only the landmarks and at most ``SENTENCES`` kernel vectors per
 document.  Scoring reads each whole text where it is, without any shuffle;
 the model is a few thousand numbers.  Kernel values are computed per distinct
-word in numpy and kept, in bounded number, for a worker's later tasks.  A unit
-is compared with a landmark if they share at least ``NEAR`` of the character
-pairs one or two places apart of the one with fewer; other values, and those
-under ``FLOOR``, count as zero.
+word in numpy and kept, in bounded number, for a worker's later tasks.  No
+value is cut off: a unit's subsequences of ``ORDER`` characters are looked up
+in a table of those of all landmarks, so one that no landmark has adds exactly
+zero.  Where only the decision value is asked for, the table holds one number
+per subsequence, the weighted sum over the landmarks.
 
 Defined cases: null and empty texts score as a sentence without units.
 Documents with several labels are toxic if one says so; null labels are
@@ -37,6 +38,7 @@ labels (0 if none).  Repeated rows keep their rows.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import re
 from collections import Counter
@@ -55,13 +57,12 @@ CLEAN_LANDMARKS = 24
 CANDIDATES = 3000
 ALIKE = 0.7
 SURE = 8.0  # z-scores from here on count alike
-NEAR = 0.4
-FLOOR = 0.2
 LONGEST_UNIT = 40
 TRAIN_DOCS = 2000
 SENTENCES = 6
 MOST_WORDS = 300_000
 CUT = 0.7
+DENSE = 1 << 22  # entries of a table with a place for every subsequence
 
 #: Digits and signs read as the letters they look like.
 LOOK_ALIKE = (b"013457@", b"oieasta")
@@ -118,127 +119,158 @@ def raw_kernel(a: np.ndarray, b: np.ndarray, order: int = ORDER, decay: float =
     return out
 
 
-def _pair_bits(codes: np.ndarray) -> np.ndarray:
-    """128 bits per string: the hashed pairs of characters one or two places apart."""
-    out = np.zeros((len(codes), 2), dtype=np.uint64)
-    for apart in (1, 2):
-        a, b = codes[:, :-apart].astype(np.int64), codes[:, apart:].astype(np.int64)
-        mark = (a * 40503 + b * 30011 + (a * b >> 3)) % 128
-        bits = np.where((a > 0) & (b > 0), np.uint64(1) << (mark % 64).astype(np.uint64), np.uint64(0))
-        for half in (0, 1):
-            out[:, half] |= np.bitwise_or.reduce(np.where(mark // 64 == half, bits, np.uint64(0)), axis=1)
-    return out
-
-
-def _bits(pairs: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(pairs).sum(axis=-1, dtype=np.int32)
-
-
 def _marked(strings: list[str]) -> list[str]:
     """The strings with marks at both ends, so that the kernel knows where a unit starts and stops."""
     return [f"\x02{s}\x03" for s in strings]
 
 
+def _subsequences(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of every subsequence of ORDER characters of a string, one per row, and DECAY to the power of their spans."""
+    places = np.array(list(itertools.combinations(range(length), ORDER)), dtype=np.int64).reshape(-1, ORDER)
+    return places, (DECAY ** (places[:, -1] - places[:, 0] + 1)).astype(np.float32)
+
+
 class Kernel:
     """Normalised kernel values of units with fixed landmarks."""
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
-        longest = max(map(len, landmarks), default=1)
-        self.codes = _codes(_marked(landmarks), longest + 2, -1)
-        self.own = raw_kernel(self.codes, _codes(_marked(landmarks), longest + 2, -2))
-        self.pairs = _pair_bits(self.codes)
+        marked = _marked(landmarks)
+        letters = sorted({ord(c) for s in marked for c in s})
+        self.letters = len(letters) + 1
+        self.letter = np.zeros(0x110000, dtype=np.int32 if self.letters ** ORDER <= DENSE else np.int64)  # 0: in no landmark
+        self.letter[letters] = np.arange(1, self.letters)
+        found: dict[int, dict[int, float]] = {}
+        for mark, s in enumerate(marked):
+            places, weights = _subsequences(len(s))
+            for code, weight in zip(self._coded(_codes([s], len(s), 0), places)[:, 0].tolist(), weights.tolist()):
+                held = found.setdefault(code, {})
+                held[mark] = held.get(mark, 0.0) + weight
+        self.found = np.array(sorted(found), dtype=np.int64)
+        #: The weight of each subsequence in each landmark; the first row stands for all that no landmark has.
+        self.weights = np.zeros((len(found) + 1, len(landmarks)), dtype=np.float32)
+        for row, code in enumerate(self.found.tolist(), 1):
+            for mark, weight in found[code].items():
+                self.weights[row, mark] = weight
+        own = np.sqrt((self.weights.astype(float) ** 2).sum(axis=0))
+        self.weights /= np.where(own > 0, own, 1).astype(np.float32)
+        self.place = None
+        if self.letters ** ORDER <= DENSE:
+            self.place = np.zeros(self.letters ** ORDER, dtype=np.int32)
+            self.place[self.found] = np.arange(1, len(self.found) + 1)
+
+    def _coded(self, codes: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """A number for each subsequence (row) of each string (column); one with a character of no landmark equals none of theirs."""
+        letters = np.ascontiguousarray(self.letter[codes].T)
+        out = letters[places[:, 0]]
+        for at in places.T[1:]:
+            out *= self.letters
+            out += letters[at]
+        return out
+
+    def _rows(self, coded: np.ndarray) -> np.ndarray:
+        """The row of ``weights`` of each number."""
+        if self.place is not None:
+            return self.place[coded]
+        at = np.minimum(np.searchsorted(self.found, coded), len(self.found) - 1)
+        return np.where(self.found[at] == coded, at + 1, 0)
+
+    def _parts(self, strings: list[str]):
+        """(their numbers, the numbers and weights of their subsequences, the root of the own kernel) of strings of one length."""
+        sizes = np.array([len(s) for s in strings])
+        for size in np.unique(sizes).tolist():
+            places, weights = _subsequences(size + 2)
+            every = np.nonzero(sizes == size)[0]
+            for at in range(0, len(every), step := max(1, 400_000 // len(places))):
+                rows = every[at:at + step]
+                codes = _codes(_marked([strings[i] for i in rows]), size + 2, -2)
+                yield rows, self._coded(codes, places), weights, np.sqrt(raw_kernel(codes, codes))
 
     def values(self, strings: list[str]) -> np.ndarray:
         """One row per string (of at most LONGEST_UNIT characters), one column per landmark."""
         out = np.zeros((len(strings), len(self.landmarks)), dtype=np.float32)
         if not strings or not self.landmarks:
             return out
-        sizes = np.array([len(s) for s in strings])
-        low = 0
-        for high in (5, 6, 7, 8, 9, 10, 11, 12, 14, 17, 24, LONGEST_UNIT):
-            rows = np.nonzero((sizes > low) & (sizes <= high))[0]
-            low = high
-            if not len(rows):
-                continue
-            codes = _codes(_marked([strings[i] for i in rows]), high + 2, -2)
-            pairs = _pair_bits(codes)
-            fewer = np.minimum(_bits(pairs)[:, None], _bits(self.pairs)[None, :])
-            near = _bits(pairs[:, None, :] & self.pairs[None, :, :]) >= NEAR * fewer
-            which, mark = np.nonzero(near)
-            if not len(which):
-                continue
-            used, at = np.unique(which, return_inverse=True)
-            own = raw_kernel(codes[used], np.where(codes[used] == -2, -1, codes[used]))
-            both = raw_kernel(codes[which], self.codes[mark])
-            scale = np.sqrt(own[at] * self.own[mark])
-            out[rows[which], mark] = np.where(scale > 0, both / np.where(scale > 0, scale, 1), 0)
-        out[out < FLOOR] = 0
+        for rows, coded, weights, own in self._parts(strings):
+            held = self._rows(coded).T
+            some, at = np.nonzero(held)
+            ends = np.searchsorted(some, np.arange(1, len(rows) + 1))
+            begin = 0
+            for i, end in enumerate(ends.tolist()):
+                out[rows[i]] = weights[at[begin:end]] @ self.weights[held[i, at[begin:end]]]
+                begin = end
+            out[rows] /= np.where(own > 0, own, 1).astype(np.float32)[:, None]
+        return out
+
+    def weighed(self, strings: list[str], w: np.ndarray) -> np.ndarray:
+        """``values(strings) @ w``, without the values."""
+        out = np.zeros(len(strings))
+        if not strings or not self.landmarks:
+            return out
+        sums = (self.weights @ np.asarray(w, dtype=float)).astype(np.float32)
+        every = sums[self.place] if self.place is not None else None
+        for rows, coded, weights, own in self._parts(strings):
+            held = every[coded] if every is not None else sums[self._rows(coded)]
+            out[rows] = (weights @ held) / np.where(own > 0, own, 1)
         return out
 
 
 class WordValues:
-    """Kernel vectors (``weigh`` given: its values of them) of the words met.
+    """The strengths of the words met: of a word's windows the highest.
 
-    Words that no landmark is near are only remembered as such.
+    ``kind`` "value": w.v of a window's kernel vector v; "nearest": max(w * v * v).
     """
 
-    def __init__(self, landmarks: list[str], weigh=None, rank=None):
-        self.kernel, self.weigh, self.rank = Kernel(landmarks), weigh, rank
-        self.active: dict[bytes, np.ndarray | float] = {}
-        self.idle: set[bytes] = set()
+    def __init__(self, landmarks: list[str], weights: list[float], kind: str):
+        self.kernel, self.weights, self.kind = Kernel(landmarks), np.array(weights), kind
+        self.known: dict[bytes, float] = {}
+
+    def _strengths(self, windows: list[str]) -> np.ndarray:
+        if self.kind == "value":
+            return self.kernel.weighed(windows, self.weights)
+        return np.concatenate([(self.kernel.values(windows[at:at + 20000]) ** 2 * self.weights).max(axis=1, initial=0)
+                               for at in range(0, max(len(windows), 1), 20000)])
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.idle) > MOST_WORDS:
-            self.idle.clear()
-        if len(self.active) > MOST_WORDS:
-            self.active.clear()
-        new = list(words - self.idle - self.active.keys())
+        if len(self.known) > MOST_WORDS:
+            self.known.clear()
         windows, owner = [], []
-        for i, word in enumerate(new):
+        for word in words - self.known.keys():
             for piece in unit_windows(word.decode()):
                 if len(piece) >= ORDER:
                     windows.append(piece)
-                    owner.append(i)
-        for at in range(0, len(windows), 20000):
-            vectors = self.kernel.values(windows[at:at + 20000])
-            hit = np.nonzero(vectors.any(axis=1))[0].tolist()
-            values = vectors if self.weigh is None else self.weigh(vectors)
-            strength = values if self.rank is None else self.rank(vectors)
-            for row in hit:
-                word = new[owner[at + row]]
-                known = self.active.get(word)
-                if known is None or strength[row] > (known if self.rank is None else self.rank(known)):
-                    self.active[word] = values[row]
-        self.idle.update(w for w in new if w not in self.active)
-
-    def sentences(self, text: str) -> list[np.ndarray]:
-        """The vector that ranks highest of each sentence of a text that has one, by rising rank."""
+                    owner.append(word)
+        for word, strength in zip(owner, self._strengths(windows).tolist()):
+            if strength > self.known.get(word, -math.inf):
+                self.known[word] = strength
+
+    def sentences(self, text: str) -> list[bytes]:
+        """The strongest unit of each sentence of a text that has one, by rising strength."""
         found = []
         for sentence in _SENTENCE.split(text):
-            held = [self.active[w] for w in set(units_of(sentence)) if w in self.active]
+            held = [(self.known[w], w) for w in set(units_of(sentence)) if w in self.known]
             if held:
-                found.append(max(held, key=self.rank))
-        return sorted(found, key=self.rank)
+                found.append(max(held))
+        return [w for _, w in sorted(found)]
+
+    def vectors(self, words: list[bytes]) -> np.ndarray:
+        """The kernel vector of each word's strongest window."""
+        best = []
+        for word in words:
+            pieces = [p for p in unit_windows(word.decode()) if len(p) >= ORDER]
+            best.append(pieces[0] if len(pieces) == 1 else pieces[int(self._strengths(pieces).argmax())])
+        return self.kernel.values(best)
 
 
 _KEPT: dict[tuple, WordValues] = {}
 
 
 def _word_values(landmarks: list[str], weights: list[float], kind: str) -> WordValues:
-    """A Python worker keeps the last one for its later tasks.
-
-    ``kind``: "value" keeps w.v of each word's vector v; "vector" keeps the
-    vectors, ranked by w.v, and "nearest" the vectors, ranked by max(w * v * v).
-    """
+    """A Python worker keeps the last one for its later tasks."""
     mark = (tuple(landmarks), tuple(weights), kind)
     if mark not in _KEPT:
         _KEPT.clear()
-        w = np.array(weights)
-        value = lambda v: v @ w
-        nearest = lambda v: (v * v * w).max(axis=-1)
-        _KEPT[mark] = WordValues(landmarks, *{"value": (value, None), "vector": (None, value),
-                                              "nearest": (None, nearest)}[kind])
+        _KEPT[mark] = WordValues(landmarks, weights, kind)
     return _KEPT[mark]
 
 
@@ -385,7 +417,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
                 rows = []
                 for part in _slices(batch.column(2).to_pylist()):
                     values.learn(set().union(*(w for _, w in part)))
-                    rows += [np.array(values.sentences(text)[-SENTENCES:], dtype=np.float32).tobytes() for text, _ in part]
+                    rows += [values.vectors(values.sentences(text)[-SENTENCES:]).tobytes() for text, _ in part]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:2], pa.array(rows, type=pa.binary())], names=["id", "label", "vectors"])
 
@@ -397,7 +429,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
     # The second round adds the sentences that the first model ranks highest: the hard ones of the clean documents.
     first = sentences(worth, "nearest")
     weights = fit(list(first.values()), landmarks)
-    second = sentences(weights, "vector")
+    second = sentences(weights, "value")
     weights = fit([(label, np.vstack([vectors, second[i][1]])) for i, (label, vectors) in first.items()], landmarks)
     features = sample.mapInArrow(_featured(landmarks, weights, 2, [1]), "label int, features array<double>").collect()
     curve = logistic_curve(np.array([r["features"] for r in sorted(features)]),
@@ -409,7 +441,7 @@ def _featured(landmarks: list[str], weights: list[float], at: int, kept: list[in
     """Function over Arrow batches: the columns ``kept`` and the document features of the texts in column ``at``."""
     def run(batches):
         values = _word_values(landmarks, weights, "value")
-        known = values.active
+        known = values.known
         for batch in batches:
             rows = []
             for part in _slices(batch.column(at).to_pylist()):

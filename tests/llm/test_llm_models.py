@@ -192,3 +192,32 @@ def test_toxicity_of_odd_rows(spark, labelled):
         constant = toxicity.train(docs(spark, rows), frame.where(f"toxic = {only}"))
         assert {r["score"] for r in toxicity.scored(docs(spark), constant).collect()} == {share}
     assert toxicity.train(no_docs(spark), frame) == {"constant": 0.0}
+
+
+def test_kernel_values_are_whole():
+    """Words with a character put between all letters keep their true kernel value, however low."""
+    landmarks, gapped = ["stupid", "pathetic", "worthless"], ["sxtxuxpxixd", "pxaxtxhxextxixc", "wxoxrxtxhxlxexsxs"]
+    words = gapped + ["zz9", "stoop", "été"]
+    marked = lambda s: f"\x02{s}\x03"
+    want = np.array([[brute_kernel(marked(w), marked(t))
+                      / math.sqrt(brute_kernel(marked(w), marked(w)) * brute_kernel(marked(t), marked(t)))
+                      for t in landmarks] for w in words])
+    kernel = toxicity.Kernel(landmarks)
+    got = kernel.values(words)
+    assert got == pytest.approx(want, abs=1e-6) and 0.1 < got.diagonal().min() and got.diagonal().max() < 0.2
+    weights = np.array([0.5, -2.0, 1.5])
+    assert kernel.weighed(words, weights) == pytest.approx(want @ weights, abs=1e-6)
+    known = toxicity.WordValues(landmarks, weights.tolist(), "value")
+    known.learn({w.encode() for w in words})
+    assert known.known.keys() == {w.encode() for w in words}
+    kernel.place = None  # as with so many letters that the table is searched, not indexed
+    assert kernel.values(words) == pytest.approx(want, abs=1e-6)
+
+
+def test_fully_gapped_insults_rank_above_clean_words(spark, labelled):
+    rows, labels = labelled
+    gapped = [(2000, "ta lo wxoxrxtxhxlxexsxs mi ren do ka", "en", "s", 1),
+              (2001, "ren do sxcxuxmxbxaxg ta lo mi pel", "en", "s", 1), (2002, "ren do ta lo mi pel", "en", "s", 1)]
+    model = toxicity.train(docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs(spark, gapped), model).collect()}
+    assert min(score[2000], score[2001]) > 5 * score[2002]
