@@ -4,8 +4,9 @@ The kernel of two strings sums, over all common subsequences of ``ORDER``
 characters, ``DECAY`` to the power of the spans they take in both; it is
 normalised to 1 for equal strings.  Gaps and inserted characters lower it but
 do not break it.  Units are the words of a text, folded to lower-case letters
-and digits with look-alike digits read as letters; characters spelled out one
-by one are one unit.  Landmarks are the units whose document frequency sets
+and digits with look-alike digits read as letters; letters of any script
+spelled out one by one are one unit, and neighbouring short words also count
+joined, so that a blank in an insult is a gap like any other.  Landmarks are the units whose document frequency sets
 toxic training documents apart most, and clean units like them.  A unit is the vector of its kernel
 values with the landmarks, taken to the Nyström space by K_mm^(-1/2); a linear
 SVM there gives its decision value, and a sentence counts as its strongest
@@ -62,6 +63,8 @@ TRAIN_DOCS = 2000
 SENTENCES = 6
 MOST_WORDS = 300_000
 CUT = 0.7
+JOINED = 12
+SHORT = 3
 DENSE = 1 << 22  # entries of a table with a place for every subsequence
 
 #: Digits and signs read as the letters they look like.
@@ -69,13 +72,33 @@ LOOK_ALIKE = (b"013457@", b"oieasta")
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != ord("@"))
 _FOLDED = bytes.maketrans(*LOOK_ALIKE)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-_SPELLED = re.compile(rb"(?<!\S)[a-z](?:\s[a-z]){2,}(?!\S)")
+# Single letters of any script with anything but letters and digits between them.
+_SPELLED = re.compile(r"(?<!\w)[^\W\d_](?:[\W_]+[^\W\d_]){2,}(?!\w)")
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 def units_of(text: str) -> list[bytes]:
     """The folded words of a text (UTF-8, no ASCII punctuation) and the runs of letters spelled out."""
     folded = text.lower().encode().translate(_FOLDED, _PUNCTUATION)
-    return folded.split() + [b"".join(m.split()) for m in _SPELLED.findall(folded)]
+    return folded.split() + ["".join(_LETTER.findall(m)).encode() for m in _SPELLED.findall(folded.decode())]
+
+
+def joined_of(words: list[bytes]) -> set[bytes]:
+    """Neighbouring words joined: two of at most JOINED bytes together, or three or four of at most SHORT each."""
+    sizes = list(map(len, words))
+    found = {a + b for a, b, m, n in zip(words, words[1:], sizes, sizes[1:]) if m + n <= JOINED}
+    short = [n <= SHORT for n in sizes]
+    for many in (3, 4):
+        for at, whole in enumerate(zip(*(short[i:] for i in range(many)))):
+            if all(whole):
+                found.add(b"".join(words[at:at + many]))
+    return found
+
+
+def every_unit(text: str) -> set[bytes]:
+    """All units of a text: its words, the runs spelled out and neighbouring short words joined."""
+    folded = text.lower().encode().translate(_FOLDED, _PUNCTUATION)
+    return {*units_of(text), *joined_of(folded.split())}
 
 
 def unit_windows(folded: str) -> list[str]:
@@ -248,7 +271,7 @@ class WordValues:
         """The strongest unit of each sentence of a text that has one, by rising strength."""
         found = []
         for sentence in _SENTENCE.split(text):
-            held = [(self.known[w], w) for w in set(units_of(sentence)) if w in self.known]
+            held = [(self.known[w], w) for w in every_unit(sentence) if w in self.known]
             if held:
                 found.append(max(held))
         return [w for _, w in sorted(found)]
@@ -277,7 +300,7 @@ def _word_values(landmarks: list[str], weights: list[float], kind: str) -> WordV
 def _slices(texts: list[str | None], size: int = 500):
     """(text, its units) in slices of texts."""
     for at in range(0, len(texts), size):
-        yield [(t or "", set(units_of(t or ""))) for t in texts[at:at + size]]
+        yield [(t or "", every_unit(t or "")) for t in texts[at:at + size]]
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1000.0, rounds: int = 30) -> np.ndarray:
@@ -373,7 +396,7 @@ def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, most_clean: int =
         counts = (Counter(), Counter())
         for batch in batches:
             for label, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                counts[label].update({u for w in set(units_of(text))
+                counts[label].update({u for w in every_unit(text)
                                       if ORDER <= len(u := w.decode()) <= LONGEST_UNIT})
         units = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays(

@@ -221,3 +221,21 @@ def test_fully_gapped_insults_rank_above_clean_words(spark, labelled):
     model = toxicity.train(docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
     score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs(spark, gapped), model).collect()}
     assert min(score[2000], score[2001]) > 5 * score[2002]
+
+
+def test_units_bridge_blanks():
+    for text in ("i - d - i - o - t", "i d i  o\tt", "1 d 1 0 t", "i · d · i · o · t"):
+        assert b"idiot" in toxicity.units_of(f"you {text} there"), text
+    assert "imbécil".encode() in toxicity.units_of("un i m b é c i l aquí")
+    assert "дурак".encode() in toxicity.units_of("ты д у р а к")
+    units = toxicity.every_unit("an id iot, a mo r on or worth less; shut up")
+    assert {b"idiot", b"moron", b"worthless", b"shutup"} <= units
+
+
+def test_split_insults_count(spark, labelled):
+    rows, labels = labelled
+    split = [(3000, "ta lo mi id iot mi ren do ka stelo", "en", "s", 1), (3001, "ren do ta i - d - i - o - t pel", "en", "s", 1),
+             (3002, "ren do ta worth less lo mi pel", "en", "s", 1), (3003, "ren do ta lo mi pel", "en", "s", 1)]
+    model = toxicity.train(docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs(spark, split), model).collect()}
+    assert min(score[3000], score[3001], score[3002]) > 0.5 > score[3003], score
