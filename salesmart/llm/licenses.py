@@ -10,7 +10,9 @@ the whole corpus, rarest first.  A template of n words of which a must be
 held has the prefix of its n - a + 1 rarest words: a matching block holds one
 of them (prefix filter).  A block needs a template words at all (length
 filter), and the words after the first common one must suffice on both sides
-(positional filter).  Candidates that pass are verified by intersection.
+(positional filter).  Candidates that pass are verified by intersection, which
+must also hold all of the template's ``names``: the words that tell it from
+other licenses of nearly the same words.
 
 Scale: one pass counts the template words over all documents (map-side sums;
 the result has one row per template word).  A second pass cuts the texts into
@@ -53,6 +55,8 @@ TEMPLATES = (
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
     ("all rights reserved", "all-rights-reserved"),
 )
+#: The words that name a license; a share of the other words of a template may be missing, these may not.
+NAMES = ("mit", "apache", "2", "nc", "noncommercial", "sharealike", "gnu", "3")
 THRESHOLD = 0.8
 BLOCK = 32
 
@@ -100,17 +104,18 @@ def word_frequencies(docs: DataFrame, vocabulary: set[str], text: str = "text")
     return {r["word"]: r["n"] for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-def prefix_index(spark, sets: list[tuple[list[str], str]], rank: dict[str, int], threshold: float) -> DataFrame:
-    """(word, place, template, words, need, label): the prefix words of each template."""
+def prefix_index(spark, sets: list[tuple[list[str], str]], rank: dict[str, int], threshold: float,
+                 names=()) -> DataFrame:
+    """(word, place, template, words, names, need, label): the prefix words of each template."""
     rows = []
     for template, (words, label) in enumerate(sets):
         if words:
             ordered = sorted(words, key=rank.__getitem__)
             need = math.ceil(threshold * len(ordered))
-            rows += [(w, place, template, ordered, need, label)
+            rows += [(w, place, template, ordered, [w for w in ordered if w in names], need, label)
                      for place, w in enumerate(ordered[:len(ordered) - need + 1])]
     return spark.createDataFrame(rows, "t_word string, t_place int, t_template int, t_words array<string>, "
-                                       "t_need int, t_label string")
+                                       "t_names array<string>, t_need int, t_label string")
 
 
 def _block_starts(n: int, block: int) -> range:
@@ -118,18 +123,19 @@ def _block_starts(n: int, block: int) -> range:
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases=PHRASES, templates=TEMPLATES,
-         threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+         threshold: float = THRESHOLD, block: int = BLOCK, names=()) -> DataFrame:
     """One row per document: words, base places and labels, the blocks that match a template, labels, score.
 
     ``blocks`` holds (first word, label, containment) of every match; ``score``
-    is the highest containment, or 1 where a phrase stands.
+    is the highest containment, or 1 where a phrase stands.  A block must hold
+    those of ``names`` that are in the template; without any, the share decides.
     """
     spark = docs.sparkSession
     sets = template_sets(templates)
     vocabulary = {w for words, _ in sets for w in words}
     counts = word_frequencies(docs, vocabulary, text)
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
-    index = prefix_index(spark, sets, rank, threshold)
+    index = prefix_index(spark, sets, rank, threshold, names)
     prefix = {w.encode() for (words, _) in sets if words
               for w in sorted(words, key=rank.__getitem__)[:len(words) - math.ceil(threshold * len(words)) + 1]}
     wanted = {w.encode(): i for w, i in rank.items()}
@@ -203,6 +209,7 @@ def block_matches(scanned: DataFrame, index: DataFrame) -> DataFrame:
                >= F.col("t_need")))
     share = F.size(F.array_intersect("m_words", "t_words"))
     return (candidates.withColumn("m_held", share).where(F.col("m_held") >= F.col("t_need"))
+            .where(F.size(F.array_except("t_names", "m_words")) == 0)
             .select("m_row", "m_start", "t_template", "t_label",
                     (F.col("m_held") / F.size("t_words")).alias("m_share"))
             .distinct())

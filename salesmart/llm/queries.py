@@ -79,7 +79,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+    return licenses.scan(table(spark, sf_dir, "documents"), names=licenses.NAMES).drop("blocks")
 
 
 QUERIES = {

@@ -8,6 +8,7 @@ from helpers import docs, no_docs
 
 from salesmart.llm import decontamination as D
 from salesmart.llm import licenses, simhash
+from salesmart.session import shared_dir
 
 
 # --- decontamination ------------------------------------------------------
@@ -214,3 +215,29 @@ def test_license_scan_matches_brute_force(spark):
         assert tuple(r)[1:7] == want[:6] and abs(r["score"] - want[6]) < 1e-12, texts[r["doc_id"]]
     assert any(r["labels"] and not r["base_labels"] for r in got)
     assert licenses.scan(no_docs(spark)).count() == 0
+
+
+def test_license_names_are_needed(spark):
+    cases = [
+        ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+        ("Licensed under a Creative Commons Attribution 4.0 International License", ""),
+        ("licensed under cc by sa 4 0", ""), ("licensed under CC BY-NC 4.0", "cc-by-nc"),
+        ("licensed under the GNU General Public License version 2.0", ""),
+        ("this work is licensed under the GNU General Public License, version 3", "gpl-3"),
+        ("This work is licensed under the GNU General Public License version 2", ""),
+        ("released under the Apache License", ""), ("licensed under the Apache License, 2.0", "apache-2"),
+        ("licensed under the Apache License, Version 2.0; or released under the MIT license", "apache-2,mit"),
+        ("redistribution and use in source and binary forms, without modification, are permitted", "bsd"),
+    ]
+    rows = [(i, t, "en", "s", 1) for i, (t, _) in enumerate(cases)]
+    got = licenses.scan(docs(spark, rows), names=licenses.NAMES).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == {i: want for i, (_, want) in enumerate(cases)}
+    assert all(r["score"] == 0 for r in got if not r["labels"])
+    # The query itself asks for the names.
+    from salesmart.llm.queries import QUERIES
+
+    folder = f"{shared_dir(spark, 'license-names')}"
+    docs(spark, rows).write.parquet(f"{folder}/documents.parquet")
+    found = {r["doc_id"]: r["labels"] for r in QUERIES["op10_license_scans"](spark, folder).collect()}
+    assert found == {i: want for i, (_, want) in enumerate(cases)}
