@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over the documents.
 
-Toxic documents go, one document of each group of near duplicates stays,
+Toxic documents go, one row of each group of near duplicates stays (also of rows without an id),
 documents that hold a benchmark item go, the sources are mixed to their target
 weights, and the result is shuffled into shards.  Each stage works on all that
 the one before it kept; ``run`` writes each stage's result to the shared folder
@@ -25,7 +25,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.first_of_each(docs)
+    return simhash.first_of_each(docs, unnamed_stay=False)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

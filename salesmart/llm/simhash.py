@@ -36,7 +36,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from salesmart.llm.common import written
 
@@ -72,16 +72,18 @@ def _signed(value: int) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                 words: int = SHINGLE_WORDS) -> DataFrame:
-    """(f_id, f_print) of every row, the fingerprint as a signed long."""
+                 words: int = SHINGLE_WORDS, row: str | None = None) -> DataFrame:
+    """(f_id, f_print) of every row, the fingerprint as a signed long; with the column ``row`` also f_row."""
     def run(batches):
         for batch in batches:
             prints = [_signed(fingerprint(t or b"", words)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, type=pa.int64())], names=["f_id", "f_print"])
+                [batch.column(0), pa.array(prints, type=pa.int64()), *batch.columns[2:]],
+                names=["f_id", "f_print", *batch.schema.names[2:]])
 
-    rows = docs.select(F.col(key).cast("long").alias("f_id"), F.col(text).cast("binary").alias("f_text"))
-    return rows.mapInArrow(run, "f_id bigint, f_print bigint")
+    numbers = [] if row is None else [F.col(row).cast("long").alias("f_row")]
+    rows = docs.select(F.col(key).cast("long").alias("f_id"), F.col(text).cast("binary").alias("f_text"), *numbers)
+    return rows.mapInArrow(run, "f_id bigint, f_print bigint" + (", f_row bigint" if numbers else ""))
 
 
 def block_plan(classes: int, radius: int = RADIUS, target: int = SHARD_TARGET) -> list[int]:
@@ -268,18 +270,26 @@ def hex_print(print_: Column) -> Column:
     return F.lower(F.lpad(F.hex(print_), 16, "0"))
 
 
-def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without its near duplicates: of each component the document of the smallest id stays.
+def first_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, cap: int = SHARD_CAP,
+                  target: int = SHARD_TARGET, unnamed_stay: bool = True) -> DataFrame:
+    """``docs`` without its near duplicates: of each component one row stays.
 
-    Of repeated rows of that id one stays.  Rows without an id can't be told
-    apart by id and all stay.
+    It is a row of the smallest id, of repeated rows of that id the first as
+    the table is read; rows of one id whose texts differ are told apart.  Rows
+    without an id come after all others, and with ``unnamed_stay`` all stay.
     """
-    kept = written(near_duplicates(docs, **options).where(F.col("f_id") == F.col("f_component"))
-                   .select(F.col("f_id").alias("k_id")).distinct(), "simhash-kept")
-    rows = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("r_id"), F.struct("*").alias("r_row"))
-    same = Window.partitionBy("r_id").orderBy("r_id")  # as the join leaves the rows: no further shuffle or sort
-    named = (rows.join(kept.hint("merge"), F.col("r_id") == F.col("k_id"), "leftsemi")
-             .withColumn("r_copy", F.row_number().over(same)).where(F.col("r_copy") == 1)
-             .select("r_row.*"))
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    # Written, so that a row has the same number wherever it is read.
+    rows = written(docs.select(F.monotonically_increasing_id().alias("r_number"), F.struct("*").alias("r_row")),
+                   "simhash-rows")
+    prints = fingerprints(rows, "r_row.doc_id", "r_row.text", words, "r_number")
+    first = F.min(F.struct(F.col("f_id").isNull().alias("unnamed"), F.col("f_id").alias("id"),
+                           F.col("f_row").alias("row")))
+    classes = written(prints.groupBy("f_print").agg(first.alias("c_first")), "simhash-classes")
+    roots = components(shard_links(classes.select("f_print"), radius, cap, target))
+    kept = written(classes.join(roots, F.col("f_print") == F.col("node"), "left")
+                   .groupBy(F.coalesce("root", "f_print").alias("k_root")).agg(F.min("c_first").alias("k_first"))
+                   .select(F.col("k_first.row").alias("k_number")), "simhash-kept")
+    unnamed = F.col("r_row.doc_id").isNull()
+    named = rows.where(~unnamed) if unnamed_stay else rows
+    left = named.join(kept.hint("merge"), F.col("r_number") == F.col("k_number"), "leftsemi").select("r_row.*")
+    return left.unionByName(rows.where(unnamed).select("r_row.*")) if unnamed_stay else left

@@ -6,6 +6,7 @@ import re
 import xxhash
 from helpers import docs, no_docs
 
+import corpus_pipeline
 from salesmart.llm import decontamination as D
 from salesmart.llm import licenses, simhash
 from salesmart.session import shared_dir
@@ -172,6 +173,20 @@ def test_near_duplicates_and_the_one_that_stays(spark):
     assert simhash.first_of_each(no_docs(spark)).count() == 0
 
 
+def test_the_one_that_stays_is_a_row(spark):
+    base, other = (" ".join(f"{c}{i}" for i in range(400)) for c in "wv")
+    rows = [(1, base, "en", "s", 1), (1, other, "en", "s", 1), (1, "quite another text under the same id", "en", "s", 1),
+            (1, base, "en", "s", 1), (2, base + " tail", "en", "s", 1), (0, other.upper(), "en", "s", 1),
+            (None, base, "en", "s", 1), (None, "only copies without an id hold this", "en", "s", 1),
+            (None, "only copies without an id hold this", "en", "s", 1), (9, None, "en", "s", 0)]
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs(spark, rows), "").collect()
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept))) == sorted(map(str, [
+        (1, base), (1, rows[2][1]), (0, other.upper()), (None, rows[7][1]), (9, None)]))
+    stay = simhash.first_of_each(docs(spark, rows)).collect()
+    assert len(stay) == 7 and sum(r["doc_id"] is None for r in stay) == 3
+    assert kept[0].asDict().keys() == set(docs(spark).columns)
+
+
 # --- license scans --------------------------------------------------------
 
 def brute_license(text):
