@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart import schemas as S
@@ -46,6 +46,8 @@ from salesmart.sources.testdata import raw_customers, raw_orders, raw_products,
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ROWS_PER_ARRAY = 20_000
+
 
 def rendered(df: DataFrame) -> DataFrame:
     """``Issues`` array as ``|``-joined text, in rule order."""
@@ -120,18 +122,31 @@ def csv_products_quoted(spark, sf):
         "Price per product", F.col("Price per product").try_cast("double"))
 
 
-def json_array_orders(spark, sf):
-    """Orders from files that each hold one indented top-level array, read by the default call.
+def write_json_arrays(orders: DataFrame, folder: str, rows: int = ROWS_PER_ARRAY) -> None:
+    """Files ``file=N`` of one indented top-level array each, of about ``rows`` rows, as many as the table needs.
 
-    An order's lines go to one of 64 files by a hash of its id, so a file is a bounded share.
+    Rows are dealt by their number, so equal rows spread over all files.  A row
+    is a text line of its own; no array is held as a whole.
     """
-    folder = shared_dir(spark, "orders-arrays")
-    orders = raw_orders(spark, sf)
+    count = orders.count()
+    if not count:
+        empty = orders.sparkSession.createDataFrame([(0, "[]")], "file int, value string")
+        return empty.write.partitionBy("file").text(folder)
+    files = -(-count // rows)
     record = F.to_json(F.struct(*[F.col(S.q(c)) for c in orders.columns]), {"pretty": "true"})
-    (orders.select(F.pmod(F.xxhash64(*[F.col(S.q(c)) for c in orders.columns]), F.lit(64)).alias("file"),
-                   record.alias("record"))
-     .groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value"))
-     .repartition(64, "file").write.partitionBy("file").text(folder))
+    dealt = (orders.select(F.monotonically_increasing_id().alias("at"), record.alias("record"))
+             .withColumn("file", F.pmod("at", F.lit(files)).cast("int")).repartition(files, "file"))
+    inside = Window.partitionBy("file").orderBy("at")
+    lines = dealt.select(
+        "file", "at", F.concat(F.when(F.row_number().over(inside) == 1, F.lit("[\n")).otherwise(F.lit("")), F.col("record"),
+                               F.when(F.lead("at").over(inside).isNull(), F.lit("\n]")).otherwise(F.lit(","))).alias("value"))
+    lines.sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(folder)
+
+
+def json_array_orders(spark, sf):
+    """Orders from files that each hold one indented top-level array, read by the default call."""
+    folder = shared_dir(spark, "orders-arrays")
+    write_json_arrays(raw_orders(spark, sf), folder)
     return read_orders(spark, f"{folder}/file=*")
 
 

@@ -5,6 +5,7 @@ import json
 import pandas as pd
 import pytest
 
+from salesmart.plans.catalog import write_json_arrays
 from salesmart.sources.excel import iter_sheet_rows, workbook_bytes, write_workbook_table
 from salesmart.sources.files import read_customers, read_orders, read_products
 
@@ -92,3 +93,19 @@ def test_workbook_extension_any_case(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("not a workbook")
     df = read_customers(spark, str(tmp_path))
     assert [r["Customer ID"] for r in df.collect()] == ["Z1"]
+
+
+def test_json_arrays_grow_in_number_not_in_size(spark, tmp_path):
+    """Equal rows, which a hash would put into one file, spread over files of a fixed size."""
+    columns = ("`Order ID` string, `Customer ID` string, `Product ID` string, Profit double, "
+               "`Order Date` string, `Ship Date` string")
+    hot = spark.createDataFrame([("1", "K", "T", 1.5, "1/1/2022", None)] * 900, columns).repartition(4)
+    orders = hot.union(spark.createDataFrame([(str(i), "K", "T", 0.5, None, "x\ny") for i in range(100)], columns))
+    write_json_arrays(orders, str(tmp_path / "arrays"), rows=50)
+    files = sorted((tmp_path / "arrays").glob("file=*/part-*"))
+    sizes = [len(json.loads(f.read_text())) for f in files]
+    assert len(files) == 20 and sum(sizes) == 1000 and max(sizes) <= 100
+    got = read_orders(spark, f"{tmp_path}/arrays/file=*").select(*orders.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, orders.collect()))
+    write_json_arrays(orders.where("false"), str(tmp_path / "none"), rows=50)
+    assert read_orders(spark, f"{tmp_path}/none/file=*").count() == 0
