@@ -200,14 +200,26 @@ class Kernel:
 
     def _parts(self, strings: list[str]):
         """(their numbers, the numbers and weights of their subsequences, the root of the own kernel) of strings of one length."""
-        sizes = np.array([len(s) for s in strings])
-        for size in np.unique(sizes).tolist():
+        sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+        order = np.argsort(sizes, kind="stable")
+        flat = np.frombuffer("".join([strings[i] for i in order.tolist()]).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
+        begin = at = 0
+        for size, many in zip(*(x.tolist() for x in np.unique(sizes, return_counts=True))):
             places, weights = _subsequences(size + 2)
-            every = np.nonzero(sizes == size)[0]
-            for at in range(0, len(every), step := max(1, 400_000 // len(places))):
-                rows = every[at:at + step]
-                codes = _codes(_marked([strings[i] for i in rows]), size + 2, -2)
-                yield rows, self._coded(codes, places), weights, np.sqrt(raw_kernel(codes, codes))
+            step, end = max(1, 400_000 // len(places)), at + many
+            for first in range(at, end, step):
+                rows = order[first:min(first + step, end)]
+                codes = np.empty((len(rows), size + 2), dtype=np.int32)
+                codes[:, 0], codes[:, -1] = 2, 3
+                codes[:, 1:-1] = flat[begin:begin + size * len(rows)].reshape(-1, size)
+                begin += size * len(rows)
+                # Where no character comes twice, only equal places match: the sum of the squared weights.
+                own = np.full(len(rows), (weights.astype(float) ** 2).sum())
+                letters = np.sort(codes, axis=1)
+                again = np.nonzero((letters[:, 1:] == letters[:, :-1]).any(axis=1))[0]
+                own[again] = raw_kernel(codes[again], codes[again])
+                yield rows, self._coded(codes, places), weights, np.sqrt(own)
+            at = end
 
     def values(self, strings: list[str]) -> np.ndarray:
         """One row per string (of at most LONGEST_UNIT characters), one column per landmark."""
@@ -257,15 +269,24 @@ class WordValues:
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > MOST_WORDS:
             self.known.clear()
-        windows, owner = [], []
-        for word in words - self.known.keys():
-            for piece in unit_windows(word.decode()):
-                if len(piece) >= ORDER:
-                    windows.append(piece)
-                    owner.append(word)
-        for word, strength in zip(owner, self._strengths(windows).tolist()):
-            if strength > self.known.get(word, -math.inf):
-                self.known[word] = strength
+        owner = list(words - self.known.keys())
+        windows = b" ".join(owner).decode().split(" ")  # a word has no blank
+        sizes = list(map(len, windows))
+        if max(sizes) > LONGEST_UNIT:
+            for at in [i for i, n in enumerate(sizes) if n > LONGEST_UNIT]:
+                pieces = unit_windows(windows[at])
+                windows[at], sizes[at] = pieces[0], LONGEST_UNIT
+                windows += pieces[1:]
+                owner += [owner[at]] * (len(pieces) - 1)
+                sizes += map(len, pieces[1:])
+        used = [n >= ORDER for n in sizes]
+        windows, owner = list(itertools.compress(windows, used)), list(itertools.compress(owner, used))
+        strengths = self._strengths(windows).tolist()
+        best = dict(zip(owner, strengths))
+        if len(best) < len(owner):
+            for word, strength in zip(owner, strengths):
+                best[word] = max(best[word], strength)
+        self.known.update(best)
 
     def sentences(self, text: str) -> list[bytes]:
         """The strongest unit of each sentence of a text that has one, by rising strength."""
