@@ -6,8 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from salesmart.session import build_session, checkpoint_root  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
+from tables import CUSTOMER_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -18,13 +17,6 @@ def spark():
     session.stop()
 
 
-CUSTOMER_COLUMNS = ("`Customer ID` string, `Customer Name` string, email string, phone string, "
-                    "`Postal Code` string, Region string, Country string")
-PRODUCT_COLUMNS = "`Product ID` string, `Product Name` string, Price string, Category string, `Sub-Category` string"
-ORDER_COLUMNS = ("`Order ID` string, `Customer ID` string, `Product ID` string, Profit double, "
-                 "`Order Date` string, `Ship Date` string")
-
-
 @pytest.fixture
 def customers_raw(spark):
     """Two sound rows, one of each kind of fault, a repeated and two unusable ids."""

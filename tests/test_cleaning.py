@@ -1,7 +1,7 @@
 """Cleaning steps on the hand-written fixtures (exact outcomes)."""
 
 import pytest
-from conftest import ORDER_COLUMNS
+from tables import ORDER_COLUMNS
 from pyspark.sql import functions as F
 
 from salesmart import clean_customers, clean_orders, clean_products

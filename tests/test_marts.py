@@ -1,7 +1,7 @@
 """Dimensions, enriched fact, profit mart and the four roll-ups."""
 
 import pytest
-from conftest import CUSTOMER_COLUMNS, ORDER_COLUMNS
+from tables import CUSTOMER_COLUMNS, ORDER_COLUMNS
 from pyspark.sql import functions as F
 
 from salesmart import (

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from salesmart.plans.catalog import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "

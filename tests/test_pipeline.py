@@ -16,7 +16,7 @@ from salesmart.session import checkpoint_root
 from salesmart.sources.excel import workbook_bytes
 from salesmart.sources.testdata import raw_tables
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 
 def local_path(uri):
