@@ -11,15 +11,28 @@ from pyspark.sql import functions as F
 MART_KEYS = ("Year", "Category", "SubCategory", "CustomerName")
 
 
+def exact_total(name: str) -> str:
+    """SQL of the sum of the double column ``name``, half up to cents, free of the order of rows.
+
+    Values add up as decimals of six places, so a total does not depend on
+    partitions, retries or merge order.  If a value has no such decimal (not
+    finite, or 1e22 and above) or the sum outgrows 38 digits, the total is
+    that of the doubles.
+    """
+    exact = f"try_cast({name} AS DECIMAL(28, 6))"
+    return (f"coalesce(CASE WHEN count({name}) = count({exact}) "
+            f"THEN CAST(round(try_sum({exact}), 2) AS DOUBLE) END, round(sum({name}), 2))")
+
+
 def aggregate_profit_by(enriched: DataFrame) -> DataFrame:
     """Total rounded profit per year, category, sub-category and customer
     name (null keys form their own groups; customers sharing a name merge)."""
     return (enriched.groupBy(*MART_KEYS)
-            .agg(F.round(F.sum("ProfitRounded"), 2).alias("TotalProfit")))
+            .agg(F.expr(exact_total("ProfitRounded")).alias("TotalProfit")))
 
 
 def _rollup(agg: DataFrame, keys: list[str], name: str) -> DataFrame:
-    return agg.groupBy(*keys).agg(F.round(F.sum("TotalProfit"), 2).alias(name))
+    return agg.groupBy(*keys).agg(F.expr(exact_total("TotalProfit")).alias(name))
 
 
 def profit_by_year(agg: DataFrame) -> DataFrame:
@@ -54,20 +67,22 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in df.columns]).limit(n)
 
 
+_TOTAL = exact_total("TotalProfit")
+
 # The same roll-ups as SQL text over the temp view ``aggregates``.
 ROLLUP_SQL = {
-    "profit_by_year": """
-        SELECT Year, ROUND(SUM(TotalProfit), 2) AS ProfitByYear
+    "profit_by_year": f"""
+        SELECT Year, {_TOTAL} AS ProfitByYear
         FROM aggregates GROUP BY Year ORDER BY Year""",
-    "profit_by_year_category": """
-        SELECT Year, Category, ROUND(SUM(TotalProfit), 2) AS ProfitByYearCategory
+    "profit_by_year_category": f"""
+        SELECT Year, Category, {_TOTAL} AS ProfitByYearCategory
         FROM aggregates GROUP BY Year, Category ORDER BY Year, Category""",
-    "profit_by_customer": """
-        SELECT CustomerName, ROUND(SUM(TotalProfit), 2) AS ProfitByCustomer
+    "profit_by_customer": f"""
+        SELECT CustomerName, {_TOTAL} AS ProfitByCustomer
         FROM aggregates GROUP BY CustomerName
         ORDER BY ProfitByCustomer DESC, CustomerName""",
-    "profit_by_customer_year": """
-        SELECT CustomerName, Year, ROUND(SUM(TotalProfit), 2) AS ProfitByCustomerYear
+    "profit_by_customer_year": f"""
+        SELECT CustomerName, Year, {_TOTAL} AS ProfitByCustomerYear
         FROM aggregates GROUP BY CustomerName, Year
         ORDER BY Year, CustomerName DESC""",
 }

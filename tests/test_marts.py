@@ -1,5 +1,8 @@
 """Dimensions, enriched fact, profit mart and the four roll-ups."""
 
+import math
+from decimal import Decimal
+
 import pytest
 from tables import CUSTOMER_COLUMNS, ORDER_COLUMNS
 from pyspark.sql import functions as F
@@ -141,3 +144,25 @@ def test_rollup_sql(spark, mart, name):
 def test_top_k(mart):
     top = first_rows(profit_by_customer(mart), 2)
     assert [r.CustomerName for r in top.collect()] == ["Eze", None]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_totals_do_not_depend_on_the_order_of_rows(spark, parts):
+    """Cents whose double sums differ in the last digits by order; the totals are the same bits."""
+    cents = [((i * 7919) % 100_003 - 50_000) / 100 for i in range(3000)] + [1e15 + 0.25, -1e15]
+    rows = [(2020 + i % 2, "Wood", "Desk", "Moss", c) for i, c in enumerate(cents)]
+    fact = spark.createDataFrame(rows, "Year int, Category string, SubCategory string, CustomerName string, "
+                                       "ProfitRounded double").repartition(parts, F.rand(parts))
+    want = {y: float(sum(Decimal(repr(c)) for i, c in enumerate(cents) if 2020 + i % 2 == y)) for y in (2020, 2021)}
+    agg = aggregate_profit_by(fact)
+    assert {r.Year: r.TotalProfit for r in agg.collect()} == want
+    assert {r.Year: r.ProfitByYear for r in profit_by_year(agg).collect()} == want
+
+
+def test_totals_of_values_without_a_decimal(spark):
+    mart = spark.createDataFrame(
+        [(2020, "a", "w", float("inf")), (2020, "b", "w", 1.0), (2021, "a", "w", 1e30), (2021, "b", "w", 1e30),
+         (2022, "a", "w", None), (2023, "a", "w", float("nan"))],
+        "Year int, CustomerName string, Category string, TotalProfit double")
+    got = {r.Year: r.ProfitByYear for r in profit_by_year(mart).collect()}
+    assert got[2020] == float("inf") and got[2021] == 2e30 and got[2022] is None and math.isnan(got[2023])
