@@ -12,17 +12,20 @@ signatures, 5.6 standard deviations below the threshold, and then on the full
 sets.  Components come from alternating large- and small-star steps.
 
 Scale: equal sets are one class from the start.  No bucket is expanded into
-pairs.  First every member of a bucket meets only the bucket's least class, and
-each class is verified against the best of these partners; this joins a family
-of near copies, however large, in one star.  Then only buckets that hold
-several components are left.  One with more than ``CAP`` members outside its
+pairs.  First every member of a bucket meets only the bucket's lead, the class
+with the most company in its bands, and each class is verified against the best
+of these partners; this joins a family of near copies, however large, in one
+star around its original.  Then only buckets that hold several components are
+left.  One with more than ``CAP`` members outside its
 largest component is split by the minima of further bands, which drives apart
 sets that share a passage only.  What is left is cut into parts of at most
 ``CAP`` members; the parts outside the largest component meet each other and
-the parts of it, a task at a time, and yield the pairs of different components
-whose signatures agree.  Parts always complete the work: nothing is capped.
-Joins on hot classes are plain equi-joins, which AQE splits.  All steps are
-written to the shared folder; the driver sees counts only.
+the parts of it, a task at a time.  The signatures show which members of a
+meeting have a partner there, the full sets of those are fetched, and the task
+returns links that join components, at most one less than its members.  Parts
+always complete the work: nothing is capped.  Joins on hot classes are plain
+equi-joins, which AQE splits.  All steps are written to the shared folder; the
+driver sees counts only.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a null or
 wordless text has the empty set, links with nothing and is its own component.
@@ -36,6 +39,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -142,8 +146,8 @@ def _equal_minima(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame
     return sized.select("a", "b", "a_sig", "b_sig").mapInArrow(run, "a bigint, b bigint, equal bigint")
 
 
-def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, words: int, share: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets overlap enough, written."""
+def class_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, text: str, words: int) -> DataFrame:
+    """(s, s_set), written: the shingle hashes of the classes ``c`` of ``wanted``, from one text of each."""
     def run(batches):
         for batch in batches:
             sets = [shingle_hashes(value, words).view(np.int64) for value in batch.column(1).to_pylist()]
@@ -153,12 +157,15 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, wor
                 [batch.column(0), pa.LargeListArray.from_arrays(pa.array(ends, type=pa.int64()), values)
                  .cast(pa.list_(pa.int64()))], names=["s", "s_set"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(
-        classes.select("c", "c_text"), "c")
+    named = wanted.distinct().join(classes.select("c", "c_text"), "c")
     bodies = docs.select(F.md5(F.col(text).cast("binary")).alias("b_text"), F.col(text).cast("binary").alias("b_body"))
-    one_each = (bodies.join(wanted, F.col("b_text") == F.col("c_text")).groupBy("c")
+    one_each = (bodies.join(named, F.col("b_text") == F.col("c_text")).groupBy("c")
                 .agg(F.first("b_body").alias("b_body")))
-    sets = written(one_each.mapInArrow(run, "s bigint, s_set array<bigint>"), "minhash-sets")
+    return written(one_each.mapInArrow(run, "s bigint, s_set array<bigint>"), "minhash-sets")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets overlap enough, written."""
     found = (pairs.join(sets.select(F.col("s").alias("b"), F.col("s_set").alias("b_set")), "b")
              .join(sets.select(F.col("s").alias("a"), F.col("s_set").alias("a_set")), "a")
              .select("a", "b", F.size("a_set").alias("a_n"), F.size("b_set").alias("b_n"),
@@ -167,7 +174,7 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str, wor
                    .select("a", "b"), "minhash-links")
 
 
-def _open_buckets(members: DataFrame, cap: int) -> DataFrame:
+def _open_buckets(members: DataFrame) -> DataFrame:
     """``members`` (band, key, c, comp) of the buckets with several components, with ``big``, the largest
     component, and the rows in and outside it: ``inside``, ``outside``."""
     by_comp = members.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("rows"))
@@ -179,9 +186,16 @@ def _open_buckets(members: DataFrame, cap: int) -> DataFrame:
     return members.join(stats, (F.col("band") == F.col("o_band")) & (F.col("key") == F.col("o_key"))).drop("o_band", "o_key")
 
 
-def _meeting_pairs(state: DataFrame, classes: DataFrame, cap: int, share: int) -> DataFrame:
-    """(a, b) of different components that meet in a bucket of ``state`` and whose signatures agree."""
-    least = least_equal(share)
+_GROUP = ["band", "key", "t", "q"]
+
+
+def _dealt(state: DataFrame, cap: int) -> DataFrame:
+    """The members of ``state`` in the groups in which parts of their buckets meet: (band, key, t, q, side, c, comp).
+
+    A bucket of at most ``cap`` rows is one part.  In a larger one the largest
+    component and the others have parts of their own; parts of the largest
+    component need not meet each other.
+    """
     small = F.col("inside") + F.col("outside") <= cap
     free = F.when(small, F.lit(1)).otherwise(F.ceil(F.col("outside") / cap)).cast("int")
     bound = F.when(small, F.lit(0)).otherwise(F.ceil(F.col("inside") / cap)).cast("int")
@@ -192,26 +206,20 @@ def _meeting_pairs(state: DataFrame, classes: DataFrame, cap: int, share: int) -
     meets = F.transform(partners, lambda other: F.struct(
         F.least(other, F.col("own")).alias("t"), F.greatest(other, F.col("own")).alias("q"),
         (other < F.col("own")).cast("int").alias("side")))
-    group = ["band", "key", "t", "q"]
-    dealt = (state.withColumns({"free": free, "bound": bound}).withColumn("own", own)
-             .select("band", "key", "c", "comp", F.explode(meets).alias("m"))
-             .select("band", "key", "m.t", "m.q", "m.side", "c", "comp")
-             .join(classes.select("c", "c_n", "c_sig"), "c")
-             .select(*group, "side", "c", "comp", "c_n", "c_sig")
-             .repartition(*group).sortWithinPartitions(*group, "side"))
-
-    def pairs_of(rows):
-        side, c, comp, n = (np.array(column, dtype=np.int64) for column in zip(*[r[:4] for r in rows]))
-        sigs = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint32).reshape(-1, HASHES)
-        first = int((side == 0).sum())
-        apart = first < len(rows)
-        for at in range(first if apart else 1, len(rows)):
-            until = first if apart else at
-            maybe = np.flatnonzero((comp[:until] != comp[at])
-                                   & (np.minimum(n[:until], n[at]) * 100 >= np.maximum(n[:until], n[at]) * share))
-            if len(maybe):
-                hits = maybe[(sigs[maybe] == sigs[at]).sum(axis=1) >= least]
-                yield from ((min(c[at], c[h]), max(c[at], c[h])) for h in hits)
+    return (state.withColumns({"free": free, "bound": bound}).withColumn("own", own)
+            .select("band", "key", "c", "comp", F.explode(meets).alias("m"))
+            .select("band", "key", "m.t", "m.q", "m.side", "c", "comp"))
+
+
+def _by_group(dealt: DataFrame, work, schema: str) -> DataFrame:
+    """``work(rows)`` of every group of ``dealt``: rows without the group's key, those of side 0 first."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    types = {"byte": pa.int8(), "int": pa.int32(), "bigint": pa.int64()}
+    kinds = [types[field.split()[1]] for field in schema.split(", ")]
+
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(row[i]) for row in out], type=kind) for i, kind in enumerate(kinds)], names=names)
 
     def run(batches):
         now, rows, out = None, [], []
@@ -219,22 +227,87 @@ def _meeting_pairs(state: DataFrame, classes: DataFrame, cap: int, share: int) -
             for row in zip(*(column.to_pylist() for column in batch.columns)):
                 if row[:4] != now:
                     if len(rows) > 1:
-                        out.extend(pairs_of(rows))
+                        out.extend(work(now, rows))
                     now, rows = row[:4], []
                 rows.append(row[4:])
             if len(out) > 20000:
-                yield _batch(out)
+                yield batch_of(out)
                 out = []
         if len(rows) > 1:
-            out.extend(pairs_of(rows))
-        yield _batch(out)
+            out.extend(work(now, rows))
+        yield batch_of(out)
+
+    return (dealt.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "side")).mapInArrow(run, schema)
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
+def _hits(rows, band: int, level: int, share: int, apart):
+    """(row, rows before it) that meet, are ``apart(row, rows)`` and have signatures and sizes that allow a link.
 
-def _batch(pairs):
-    return pa.RecordBatch.from_arrays(
-        [pa.array([int(p[i]) for p in pairs], type=pa.int64()) for i in (0, 1)], names=["a", "b"])
+    Two classes share many buckets; they meet in the one of the first bands on which they agree.
+    """
+    least = least_equal(share)
+    side, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in (0, 3))
+    sigs = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint32).reshape(-1, HASHES)
+    first = int((side == 0).sum())
+    two_sides = first < len(rows)
+    for at in range(first if two_sides else 1, len(rows)):
+        until = first if two_sides else at
+        sized = np.minimum(n[:until], n[at]) * 100 >= np.maximum(n[:until], n[at]) * share
+        maybe = np.flatnonzero(sized & apart(at, until))
+        if len(maybe):
+            same = sigs[maybe] == sigs[at]
+            agree = same.reshape(-1, BANDS, ROWS).all(axis=2)[:, :band + 1].sum(axis=1)
+            maybe = maybe[(same.sum(axis=1) >= least) & (agree == level)]
+            if len(maybe):
+                yield at, maybe
+
+
+def _crossing_links(state: DataFrame, classes: DataFrame, sets_of, cap: int, level: int, share: int) -> DataFrame:
+    """(a, b) links that join the components of ``state``'s buckets, written; a forest for each meeting of parts.
+
+    First the signatures alone show which members of a meeting have a partner
+    in it; only their full sets are fetched, and compared within the task.
+    """
+    def members_with_partners(group, rows):
+        comp = np.array([r[2] for r in rows], dtype=np.int64)
+        found = np.zeros(len(rows), dtype=bool)
+        for at, hits in _hits(rows, group[0], level, share, lambda at, until: comp[:until] != comp[at]):
+            found[at] = True
+            found[hits] = True
+        yield from ((*group, *rows[i][:3]) for i in np.flatnonzero(found))
+
+    def links(group, rows):
+        parent = {r[2]: r[2] for r in rows}
+        sets = [np.array(r[5], dtype=np.int64).view(np.uint64) for r in rows]
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        def apart(at, until):
+            own = root(rows[at][2])
+            return np.fromiter((root(r[2]) != own for r in rows[:until]), dtype=bool, count=until)
+
+        for at, hits in _hits(rows, group[0], level, share, apart):
+            joined = np.concatenate([sets[h] for h in hits])
+            place = np.searchsorted(sets[at], joined)
+            inside = sets[at].take(place, mode="clip") == joined
+            sizes = np.array([len(sets[h]) for h in hits])
+            both = np.add.reduceat(inside.astype(np.int64), np.cumsum(sizes) - sizes)
+            for h in hits[both * 100 >= (sizes + len(sets[at]) - both) * share]:
+                a, b = root(rows[at][2]), root(rows[h][2])
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    yield min(rows[at][1], rows[h][1]), max(rows[at][1], rows[h][1])
+
+    signed = classes.select("c", "c_n", "c_sig")
+    columns = [*_GROUP, "side", "c", "comp", "c_n", "c_sig"]
+    chosen = written(_by_group(_dealt(state, cap).join(signed, "c").select(*columns), members_with_partners,
+                               "band byte, key bigint, t int, q int, side int, c bigint, comp bigint"), "minhash-meetings")
+    full = chosen.join(signed, "c").join(sets_of(chosen.select("c")), F.col("c") == F.col("s")).select(*columns, "s_set")
+    return written(_by_group(full, links, "a bigint, b bigint").distinct(), "minhash-crossing")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS,
@@ -248,21 +321,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     members = classes.select(F.explode(_band_keys(F.lit(0), F.lit(0))).alias("m"), "c").select("m.band", "m.key", "c")
     shared = members.groupBy(F.col("band").alias("s_band"), F.col("key").alias("s_key")).agg(
-        F.min("c").alias("pivot"), F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+        F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
     crowded = written(members.join(shared, (F.col("band") == F.col("s_band")) & (F.col("key") == F.col("s_key")))
-                      .select("band", "key", "c", "pivot"), "minhash-buckets")
+                      .select("band", "key", "c", "rows"), "minhash-buckets")
+    # The original of a family shares more of its bands with the family than any of its copies does.
+    company = crowded.groupBy(F.col("c").alias("w_c")).agg(F.sum("rows").alias("company"))
+    leads = (crowded.join(company, F.col("c") == F.col("w_c")).groupBy(F.col("band").alias("l_band"), F.col("key").alias("l_key"))
+             .agg(F.max_by("c", F.struct("company", -F.col("c"))).alias("pivot")))
+    crowded = crowded.join(leads, (F.col("band") == F.col("l_band")) & (F.col("key") == F.col("l_key"))).select(
+        "band", "key", "c", "pivot")
 
     stars = crowded.where(F.col("c") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("c").alias("b")).distinct()
     best = written(_equal_minima(stars, classes, share).groupBy("b").agg(F.max(F.struct("equal", "a")).alias("best"))
                    .select("best.a", "b"), "minhash-stars")
-    links = linked(best, classes, docs, text, words, share)
-    state = _open_buckets(_labelled(crowded.select("band", "key", "c"), components(links)), cap)
+    def sets_of(wanted):
+        return class_sets(wanted, classes, docs, text, words)
 
+    links = linked(best, sets_of(best.select(F.explode(F.array("a", "b")).alias("c"))), share)
+    state = _open_buckets(_labelled(crowded.select("band", "key", "c"), components(links)))
+
+    found = [links]
     for level in range(1, depth + 1):
         state = written(state, "minhash-open")
         ready = state if level == depth else state.where(F.col("outside") <= cap)
-        pairs = _meeting_pairs(ready, classes, cap, share)
-        found = pairs if level == 1 else found.union(pairs)
+        found.append(_crossing_links(ready, classes, sets_of, cap, level, share))
         split = state.where(F.col("outside") > cap)
         if level == depth or split.isEmpty():
             break
@@ -270,11 +352,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             classes.select("c", "c_sig"), "c")
         state = _open_buckets(
             split.select(F.explode(_band_keys(F.col("band").cast("int") + 1, F.col("key"))).alias("m"), "c", "comp")
-            .select("m.band", "m.key", "c", "comp"), cap)
-    crossing = written(found.distinct(), "minhash-crossing")
-    links = links.union(linked(crossing, classes, docs, text, words, share))
-
-    named = written(_labelled(classes.select("c", "c_id", "p_key"), components(links)), "minhash-named")
+            .select("m.band", "m.key", "c", "comp"))
+    named = written(_labelled(classes.select("c", "c_id", "p_key"), components(reduce(DataFrame.union, found))), "minhash-named")
     least = named.groupBy(F.col("comp").alias("l_comp")).agg(F.min("c_id").alias("l_id"))
     named = named.join(least, F.col("comp") == F.col("l_comp")).select(F.col("p_key").alias("n_key"), F.col("l_id"))
     return rows.join(named, F.col("p_key") == F.col("n_key"), "left").select(
