@@ -150,6 +150,13 @@ def json_array_orders(spark, sf):
     return read_orders(spark, f"{folder}/file=*")
 
 
+def json_array_orders_split(spark, sf):
+    """Orders from files of one indented top-level array each, every one split into its objects."""
+    folder = shared_dir(spark, "orders-split")
+    write_json_arrays(raw_orders(spark, sf), folder)
+    return read_orders(spark, f"{folder}/file=*", whole_bytes=0)
+
+
 def csv_roundtrip(spark, sf):
     df = _csv_products(spark, sf)
     return df.withColumn("Price per product", F.col("Price per product").try_cast("double"))
@@ -284,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_products_quoted": csv_products_quoted,
     "json_array_orders": json_array_orders,
+    "json_array_orders_split": json_array_orders_split,
     "json_roundtrip": json_roundtrip,
     "xlsx_ingest": xlsx_ingest,
     "xlsx_alias_customers": xlsx_alias_customers,

@@ -272,6 +272,7 @@ SELECT * REPLACE (CASE length("Product Name") % 5
     WHEN 2 THEN '"' || "Product Name" ELSE "Product Name" END AS "Product Name")
 FROM raw_products""",
     "json_array_orders": "SELECT * FROM raw_orders",
+    "json_array_orders_split": "SELECT * FROM raw_orders",
     "json_roundtrip": "SELECT * FROM raw_orders",
     "xlsx_ingest": "SELECT * FROM raw_customers",
     "xlsx_alias_customers": """

@@ -15,7 +15,6 @@ to the requested schema by name, absent ones are null and others dropped.
 from __future__ import annotations
 
 import io
-import os
 import posixpath
 import sys
 import zipfile
@@ -28,6 +27,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from salesmart.sources.store import open_store
+
 # The task functions below are shipped by value, so executors need only the
 # standard library and pandas, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -234,16 +235,6 @@ def workbook_bytes(header: list[str], rows) -> bytes:
     return buf.getvalue()
 
 
-def _store(folder: str):
-    """(file system, path) of a folder given as a path or a URI; an unknown scheme raises."""
-    from pyarrow import fs
-
-    if "://" in folder or folder.startswith("file:"):
-        uri = folder if "://" in folder else "file://" + folder[len("file:"):]
-        return fs.FileSystem.from_uri(uri)
-    return fs.LocalFileSystem(), os.path.abspath(folder)
-
-
 def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = 100_000) -> DataFrame:
     """Write each partition of ``df`` as workbooks of at most
     ``rows_per_workbook`` rows (a sheet holds about a million rows at most),
@@ -259,7 +250,7 @@ def write_workbooks(df: DataFrame, folder: str, rows_per_workbook: int = 100_000
         from pyspark import TaskContext
 
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        store, out = _store(folder)
+        store, out = open_store(folder)
         store.create_dir(out, recursive=True)
         files, counts, chunk = [], [], []
 

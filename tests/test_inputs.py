@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from salesmart.operators.skew import hot_keys, left_lookup
 from salesmart.session import checkpoint_root
-from salesmart.sources.excel import _store, workbook_bytes
-from salesmart.sources.files import read_customers, read_orders, read_products
+from salesmart.sources.excel import workbook_bytes
+from salesmart.sources.files import json_layout, read_customers, read_orders, read_products
+from salesmart.sources.store import first_mark, open_store
 
 RECORDS = [{"Order ID": str(i), "Customer ID": "K1", "Profit": i / 4} for i in range(7)]
 
@@ -32,7 +33,7 @@ def test_orders_of_a_wrong_or_mixed_layout_raise(spark, tmp_path):
 
 def test_csv_line_breaks_quotes_dots_and_missing_tokens(spark, tmp_path):
     (tmp_path / "p.csv").write_text('Product ID,Name.short,Price\nT1,"a, ""b""\nc",1\nT2,N/A,nan\n')
-    got = [tuple(r) for r in read_products(spark, str(tmp_path / "p.csv")).collect()]
+    got = sorted(tuple(r) for r in read_products(spark, str(tmp_path / "p.csv")).collect())
     assert got == [("T1", 'a, "b"\nc', "1"), ("T2", None, None)]
     with pytest.raises(Exception):
         read_products(spark, str(tmp_path / "p.csv"), multiline=False).collect()
@@ -61,10 +62,10 @@ def test_workbook_aliases_and_missing_tokens(spark, tmp_path):
 
 def test_stores_by_scheme(tmp_path):
     for folder in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
-        store, path = _store(folder)
+        store, path = open_store(folder)
         assert path.rstrip("/") == str(tmp_path)
     with pytest.raises(Exception):
-        _store("nosuch://host/x")
+        open_store("nosuch://host/x")
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster():
