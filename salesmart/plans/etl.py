@@ -17,13 +17,16 @@ reads the tables the earlier one wrote, which cuts the lineage.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from salesmart import schemas as S
 from salesmart.operators.dims import build_customer_dim, build_product_dim
 from salesmart.operators.facts import build_orders_enriched, enriched_from_annotated
-from salesmart.operators.marts import aggregate_profit_by
+from salesmart.operators.marts import MART_KEYS, aggregate_profit_by
 from salesmart.operators.quality import (
     annotate_customers,
     annotate_products,
@@ -38,7 +41,7 @@ from salesmart.operators.refs import (
     clean_orders,
     order_issue_report,
 )
-from salesmart.plans.sinks import publish, read_published, write_parquet
+from salesmart.plans.sinks import Run, read_published, write_parquet
 from salesmart.session import drop_shared, shared_dir
 from salesmart.sources.files import read_customers, read_orders, read_products
 
@@ -94,7 +97,8 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
                    persist: bool = True,
                    hot_share: float | None = None) -> dict[str, DataFrame]:
     """Write the seven tables in three steps, each reading what the previous
-    one wrote, and return them re-read from the files.
+    one wrote, and return them re-read from the files.  They become visible
+    together (``sinks.Run``): a run that fails leaves the former tables.
 
     1. customers and products: the annotated tables are persisted while their
        issue report and dimension are written;
@@ -105,6 +109,19 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
        are written; the folder is then deleted;
     3. the mart, aggregated from the written fact.
     """
+    run = Run(spark, output_base)
+    try:
+        _write_tables(spark, run, customers_raw, products_raw, orders_raw, order_key, dedup, persist, hot_share)
+    except BaseException:
+        run.abort()
+        raise
+    run.commit()
+    return read_published(spark, output_base, OUTPUT_TABLES, run.schemas)
+
+
+def _write_tables(spark: SparkSession, run: Run, customers_raw: DataFrame, products_raw: DataFrame,
+                  orders_raw: DataFrame, order_key: Sequence[str] | None, dedup: str, persist: bool,
+                  hot_share: float | None) -> None:
     level = StorageLevel.MEMORY_AND_DISK
     customers = annotate_customers(customers_raw, dedup)
     products = annotate_products(products_raw, dedup)
@@ -112,32 +129,56 @@ def publish_tables(spark: SparkSession, customers_raw: DataFrame, products_raw:
         customers.persist(level)
         products.persist(level)
     try:
-        written = publish({"customer_data_issues": customer_issue_report(customers),
-                           "customers": build_customer_dim(impute_customer_names(customers)),
-                           "product_data_issues": product_issue_report(products),
-                           "products": build_product_dim(valid_products(products))},
-                          output_base)
+        run.write({"customer_data_issues": customer_issue_report(customers),
+                   "customers": build_customer_dim(impute_customer_names(customers)),
+                   "product_data_issues": product_issue_report(products),
+                   "products": build_product_dim(valid_products(products))})
     finally:
         if persist:
             customers.unpersist()
             products.unpersist()
 
-    dims = read_published(spark, output_base, ["customers", "products"], written)
-    orders = annotate_orders(orders_raw, dims["customers"], dims["products"], order_key, dedup,
+    def table(name: str) -> DataFrame:
+        return spark.read.schema(run.schemas[name]).parquet(f"{run.folder}/{name}")
+
+    orders = annotate_orders(orders_raw, table("customers"), table("products"), order_key, dedup,
                              hot_share=hot_share, rebalance_dims=False)
     staging = shared_dir(spark, "staging")
     try:
         write_parquet(orders, staging)
         staged = spark.read.schema(orders.schema).parquet(staging)
-        written.update(publish({"order_data_issues": order_issue_report(staged),
-                                "orders_enriched": enriched_from_annotated(staged)},
-                               output_base))
+        run.write({"order_data_issues": order_issue_report(staged),
+                   "orders_enriched": enriched_from_annotated(staged)})
     finally:
         drop_shared(spark, staging)
+    run.write({"aggregates": aggregate_profit_by(table("orders_enriched"))})
+
 
-    fact = read_published(spark, output_base, ["orders_enriched"], written)["orders_enriched"]
-    written.update(publish({"aggregates": aggregate_profit_by(fact)}, output_base))
-    return read_published(spark, output_base, OUTPUT_TABLES, written)
+def output_counts(customers_raw: DataFrame, products_raw: DataFrame, orders_raw: DataFrame,
+                  order_key: Sequence[str] | None = DEFAULT_ORDER_KEY, dedup: str = "aggregate",
+                  hot_share: float | None = None) -> DataFrame:
+    """(table_name, row_count) of the seven outputs, without writing them.
+
+    Each input is cleaned once: the orders path ends in one aggregate that
+    counts reports, facts and mart rows, and the dimensions it joins share
+    their dedup shuffle with the counts of customers and products.
+    """
+    customers = annotate_customers(customers_raw, dedup)
+    products = annotate_products(products_raw, dedup)
+    orders = annotate_orders(orders_raw, build_customer_dim(impute_customer_names(customers)),
+                             build_product_dim(valid_products(products)), order_key, dedup, hot_share=hot_share)
+    price = F.col(S.UNIT_PRICE)
+    groups = (orders.withColumns({"Year": F.year("OrderDate"), "reported": F.size("Issues") > 0})
+              .groupBy(*MART_KEYS, "reported").agg(F.count(F.lit(1)).alias("lines")))
+    reported = F.col("reported")
+    counts = [
+        customers.agg(F.count_if(F.size("Issues") > 0).alias("customer_data_issues"),
+                      F.count(F.lit(1)).alias("customers")),
+        products.agg(F.count_if(price < 0).alias("product_data_issues"), F.count_if(price >= 0).alias("products")),
+        groups.agg(F.coalesce(F.sum(F.when(reported, F.col("lines"))), F.lit(0)).alias("order_data_issues"),
+                   F.coalesce(F.sum(F.when(~reported, F.col("lines"))), F.lit(0)).alias("orders_enriched"),
+                   F.count_if(~reported).alias("aggregates"))]
+    return reduce(DataFrame.unionByName, [c.unpivot([], c.columns, "table_name", "row_count") for c in counts])
 
 
 def run_etl(spark: SparkSession, customers_path: str, products_path: str, orders_path: str,

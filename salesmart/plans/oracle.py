@@ -283,6 +283,7 @@ FROM raw_customers""",
     "csv_product_issues": "SELECT * FROM product_issues",
     "json_order_issues": "SELECT * FROM order_issues",
     "parquet_publish": _TABLE_COUNTS,
+    "published_rows": _TABLE_COUNTS,
     "run_etl_aggregates": "SELECT * FROM mart",
 }
 
