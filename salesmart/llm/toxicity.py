@@ -19,25 +19,31 @@ model ranks highest.  The score is a logistic curve, fitted to the training
 documents, of the three highest decision values of a document's units and the
 logarithm of their number.
 
-Scale: training uses a bounded sample, at most ``TRAIN_DOCS`` documents of
-either label (those of the lowest seeded hash); their texts are never
-collected, only the landmarks and at most ``SENTENCES`` kernel vectors per
-document.  Scoring reads each whole text where it is, without any shuffle;
+Scale: training uses a bounded sample, at most ``TRAIN_DOCS`` documents and as
+many texts of either label (those of the lowest seeded hash); the texts are
+never collected, only the landmarks and at most ``SENTENCES`` kernel vectors
+per text.  Scoring reads each whole text where it is, without any shuffle;
 the model is a few thousand numbers.  Kernel values are computed per distinct
 word in numpy and kept, in bounded number, for a worker's later tasks.  No
 value is cut off: a unit's subsequences of ``ORDER`` characters are looked up
 in a table of those of all landmarks, so one that no landmark has adds exactly
 zero.  Where only the decision value is asked for, the table holds one number
-per subsequence, the weighted sum over the landmarks.
+per subsequence, the weighted sum over the landmarks, and only the units that
+may be among a document's three highest are normalised (``highest``), with the
+same result.
 
 Defined cases: null and empty texts score as a sentence without units.
-Documents with several labels are toxic if one says so; null labels are
-ignored.  With no or only one label the score of all is the share of toxic
-labels (0 if none).  Repeated rows keep their rows.
+Documents with several labels, and equal texts, are toxic if one label says
+so; null labels are ignored.  With no or only one label, or without any unit of
+``ORDER`` characters in the training texts, the score of all is the share of
+toxic labels (0 if none).  Repeated rows keep their rows, an empty table gives
+an empty result.  ``scored`` replaces a column that has the name of the score
+(in any case); ``without_toxic`` keeps every column as it is.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import itertools
 import math
@@ -77,28 +83,45 @@ _SPELLED = re.compile(r"(?<!\w)[^\W\d_](?:[\W_]+[^\W\d_]){2,}(?!\w)")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def _folded(text: str) -> bytes:
+    return text.lower().encode().translate(_FOLDED, _PUNCTUATION)
+
+
+def _spelled(folded: str) -> list[bytes]:
+    return ["".join(_LETTER.findall(m)).encode() for m in _SPELLED.findall(folded)]
+
+
 def units_of(text: str) -> list[bytes]:
     """The folded words of a text (UTF-8, no ASCII punctuation) and the runs of letters spelled out."""
-    folded = text.lower().encode().translate(_FOLDED, _PUNCTUATION)
-    return folded.split() + ["".join(_LETTER.findall(m)).encode() for m in _SPELLED.findall(folded.decode())]
-
-
-def joined_of(words: list[bytes]) -> set[bytes]:
-    """Neighbouring words joined: two of at most JOINED bytes together, or three or four of at most SHORT each."""
-    sizes = list(map(len, words))
-    found = {a + b for a, b, m, n in zip(words, words[1:], sizes, sizes[1:]) if m + n <= JOINED}
-    short = [n <= SHORT for n in sizes]
-    for many in (3, 4):
-        for at, whole in enumerate(zip(*(short[i:] for i in range(many)))):
-            if all(whole):
-                found.add(b"".join(words[at:at + many]))
+    folded = _folded(text)
+    return folded.split() + _spelled(folded.decode())
+
+
+def joined_of(words: list[bytes], most: int = JOINED, sizes: list[int] | None = None) -> set[bytes]:
+    """Neighbouring words joined: two of at most ``most`` characters together, or three or four of at most SHORT each.
+
+    ``sizes`` are the words' lengths in characters, if they are known.
+    """
+    if sizes is None:
+        sizes = [len(w.decode()) for w in words]
+    found = {a + b for a, b, m, n in zip(words, words[1:], sizes, sizes[1:]) if m + n <= most}
+    short = [at for at, n in enumerate(sizes) if n <= SHORT]
+    for at, third in zip(short, short[2:]):
+        if third == at + 2:
+            found.add(b"".join(words[at:at + 3]))
+    for at, fourth in zip(short, short[3:]):
+        if fourth == at + 3:
+            found.add(b"".join(words[at:at + 4]))
     return found
 
 
-def every_unit(text: str) -> set[bytes]:
+def every_unit(text: str, most: int = JOINED) -> set[bytes]:
     """All units of a text: its words, the runs spelled out and neighbouring short words joined."""
-    folded = text.lower().encode().translate(_FOLDED, _PUNCTUATION)
-    return {*units_of(text), *joined_of(folded.split())}
+    folded = _folded(text)
+    words, whole = folded.split(), folded.decode()
+    sizes = list(map(len, whole.split()))
+    # A blank outside ASCII is part of a word here.
+    return {*words, *_spelled(whole), *joined_of(words, most, sizes if len(sizes) == len(words) else None)}
 
 
 def unit_windows(folded: str) -> list[str]:
@@ -147,6 +170,7 @@ def _marked(strings: list[str]) -> list[str]:
     return [f"\x02{s}\x03" for s in strings]
 
 
+@functools.cache
 def _subsequences(length: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of every subsequence of ORDER characters of a string, one per row, and DECAY to the power of their spans."""
     places = np.array(list(itertools.combinations(range(length), ORDER)), dtype=np.int64).reshape(-1, ORDER)
@@ -198,56 +222,96 @@ class Kernel:
         at = np.minimum(np.searchsorted(self.found, coded), len(self.found) - 1)
         return np.where(self.found[at] == coded, at + 1, 0)
 
-    def _parts(self, strings: list[str]):
-        """(their numbers, the numbers and weights of their subsequences, the root of the own kernel) of strings of one length."""
+    def _lengths(self, strings: list[str], cost):
+        """(their numbers, the codes of the marked strings) in runs of strings of one length; ``cost(length)`` per string."""
         sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
         order = np.argsort(sizes, kind="stable")
         flat = np.frombuffer("".join([strings[i] for i in order.tolist()]).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
         begin = at = 0
         for size, many in zip(*(x.tolist() for x in np.unique(sizes, return_counts=True))):
-            places, weights = _subsequences(size + 2)
-            step, end = max(1, 400_000 // len(places)), at + many
+            step, end = max(1, 400_000 // max(1, cost(size + 2))), at + many
             for first in range(at, end, step):
                 rows = order[first:min(first + step, end)]
                 codes = np.empty((len(rows), size + 2), dtype=np.int32)
                 codes[:, 0], codes[:, -1] = 2, 3
                 codes[:, 1:-1] = flat[begin:begin + size * len(rows)].reshape(-1, size)
                 begin += size * len(rows)
-                # Where no character comes twice, only equal places match: the sum of the squared weights.
-                own = np.full(len(rows), (weights.astype(float) ** 2).sum())
-                letters = np.sort(codes, axis=1)
-                again = np.nonzero((letters[:, 1:] == letters[:, :-1]).any(axis=1))[0]
-                own[again] = raw_kernel(codes[again], codes[again])
-                yield rows, self._coded(codes, places), weights, np.sqrt(own)
+                yield rows, codes
             at = end
 
+    @staticmethod
+    def _least_own(codes: np.ndarray) -> tuple[float, np.ndarray]:
+        """The root of the own kernel where no character comes twice: only equal places match.
+
+        It is the least for the length.  Also the rows with a repeated character, whose own kernel is larger.
+        """
+        weights = _subsequences(codes.shape[1])[1]
+        letters = np.sort(codes, axis=1)
+        return math.sqrt((weights.astype(float) ** 2).sum()), np.nonzero((letters[:, 1:] == letters[:, :-1]).any(axis=1))[0]
+
+    def owns(self, strings: list[str]) -> np.ndarray:
+        """The root of the own kernel of each string."""
+        out = np.zeros(len(strings))
+        for rows, codes in self._lengths(strings, lambda n: n ** ORDER // 6):
+            least, again = self._least_own(codes)
+            own = np.full(len(rows), least ** 2)
+            own[again] = raw_kernel(codes[again], codes[again])
+            out[rows] = np.sqrt(own)
+        return out
+
     def values(self, strings: list[str]) -> np.ndarray:
         """One row per string (of at most LONGEST_UNIT characters), one column per landmark."""
         out = np.zeros((len(strings), len(self.landmarks)), dtype=np.float32)
         if not strings or not self.landmarks:
             return out
-        for rows, coded, weights, own in self._parts(strings):
-            held = self._rows(coded).T
+        own = self.owns(strings)
+        for rows, codes in self._lengths(strings, lambda n: n ** ORDER // 6):
+            places, weights = _subsequences(codes.shape[1])
+            held = self._rows(self._coded(codes, places)).T
             some, at = np.nonzero(held)
             ends = np.searchsorted(some, np.arange(1, len(rows) + 1))
             begin = 0
             for i, end in enumerate(ends.tolist()):
                 out[rows[i]] = weights[at[begin:end]] @ self.weights[held[i, at[begin:end]]]
                 begin = end
-            out[rows] /= np.where(own > 0, own, 1).astype(np.float32)[:, None]
+        out /= np.where(own > 0, own, 1).astype(np.float32)[:, None]
         return out
 
+    def sums(self, strings: list[str], w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(s, l, exact): ``values(strings) @ w`` is s over the root of the own kernel, which is at least l; l itself if exact."""
+        out, least, exact = np.zeros(len(strings)), np.ones(len(strings)), np.ones(len(strings), dtype=bool)
+        if not strings or not self.landmarks:
+            return out, least, exact
+        table = (self.weights @ np.asarray(w, dtype=float)).astype(np.float32)
+        every = table[self.place] if self.place is not None else None
+        for rows, codes in self._lengths(strings, lambda n: n * n * 3):
+            own, again = self._least_own(codes)
+            least[rows] = own if own > 0 else 1
+            exact[rows[again]] = False
+            if every is None:
+                places, weights = _subsequences(codes.shape[1])
+                out[rows] = weights @ table[self._rows(self._coded(codes, places))]
+                continue
+            # For each first place: its letter with all later pairs, which stand together.
+            letters = np.ascontiguousarray(self.letter[codes].T).astype(np.intp)
+            size = len(letters)
+            second, third = np.triu_indices(size, 1)
+            pairs = letters[second] * self.letters + letters[third]
+            high = letters * self.letters ** 2
+            total = np.zeros(len(rows))
+            for first in range(size - 2):
+                later = np.searchsorted(second, first + 1)
+                weights = (DECAY ** (third[later:] - first + 1)).astype(np.float32)
+                total += weights @ every.take(pairs[later:] + high[first])
+            out[rows] = total
+        return out, least, exact
+
     def weighed(self, strings: list[str], w: np.ndarray) -> np.ndarray:
         """``values(strings) @ w``, without the values."""
-        out = np.zeros(len(strings))
-        if not strings or not self.landmarks:
-            return out
-        sums = (self.weights @ np.asarray(w, dtype=float)).astype(np.float32)
-        every = sums[self.place] if self.place is not None else None
-        for rows, coded, weights, own in self._parts(strings):
-            held = every[coded] if every is not None else sums[self._rows(coded)]
-            out[rows] = (weights @ held) / np.where(own > 0, own, 1)
-        return out
+        total, least, exact = self.sums(strings, w)
+        rest = np.nonzero(~exact)[0]
+        least[rest] = self.owns([strings[i] for i in rest.tolist()])
+        return total / np.where(least > 0, least, 1)
 
 
 class WordValues:
@@ -258,7 +322,15 @@ class WordValues:
 
     def __init__(self, landmarks: list[str], weights: list[float], kind: str):
         self.kernel, self.weights, self.kind = Kernel(landmarks), np.array(weights), kind
+        self.most = max(JOINED, *map(len, landmarks))
         self.known: dict[bytes, float] = {}
+        #: The number of each word met by ``highest``; 0 stands for all without a window.
+        self.number: dict[bytes, int] = {}
+        self.words: list[bytes] = [b""]
+        self.rows = np.array([[-np.inf, -np.inf, -np.inf]])  # sum, value (nan: not known yet), upper bound of the value
+
+    def units(self, text: str) -> set[bytes]:
+        return every_unit(text, self.most)
 
     def _strengths(self, windows: list[str]) -> np.ndarray:
         if self.kind == "value":
@@ -266,11 +338,12 @@ class WordValues:
         return np.concatenate([(self.kernel.values(windows[at:at + 20000]) ** 2 * self.weights).max(axis=1, initial=0)
                                for at in range(0, max(len(windows), 1), 20000)])
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > MOST_WORDS:
-            self.known.clear()
-        owner = list(words - self.known.keys())
-        windows = b" ".join(owner).decode().split(" ")  # a word has no blank
+    @staticmethod
+    def _windows(words: list[bytes]) -> tuple[list[bytes], list[str]]:
+        """(word, window) of every window of ORDER characters or more of the words."""
+        if not words:
+            return [], []
+        owner, windows = list(words), b" ".join(words).decode().split(" ")  # a word has no blank
         sizes = list(map(len, windows))
         if max(sizes) > LONGEST_UNIT:
             for at in [i for i, n in enumerate(sizes) if n > LONGEST_UNIT]:
@@ -280,19 +353,87 @@ class WordValues:
                 owner += [owner[at]] * (len(pieces) - 1)
                 sizes += map(len, pieces[1:])
         used = [n >= ORDER for n in sizes]
-        windows, owner = list(itertools.compress(windows, used)), list(itertools.compress(owner, used))
-        strengths = self._strengths(windows).tolist()
+        return list(itertools.compress(owner, used)), list(itertools.compress(windows, used))
+
+    @staticmethod
+    def _best(owner: list[bytes], strengths: list[float]) -> dict[bytes, float]:
         best = dict(zip(owner, strengths))
         if len(best) < len(owner):
             for word, strength in zip(owner, strengths):
                 best[word] = max(best[word], strength)
-        self.known.update(best)
+        return best
+
+    def learn(self, words: set[bytes]) -> None:
+        """All words of ``words`` become known."""
+        if len(self.known) > MOST_WORDS:
+            self.known.clear()
+        owner, windows = self._windows(list(words - self.known.keys()))
+        self.known.update(self._best(owner, self._strengths(windows).tolist()))
+
+    def _number(self, words: set[bytes]) -> None:
+        """Numbers for ``words``, with what is cheap to know about their values."""
+        best = {}
+        if longer := [w for w in words if len(w) > LONGEST_UNIT]:  # these may have several windows; valued at once
+            owner, windows = self._windows(longer)
+            best = self._best(owner, self._strengths(windows).tolist())
+        owner, windows = self._windows([w for w in words if len(w) <= LONGEST_UNIT])
+        total, least, exact = self.kernel.sums(windows, self.weights)
+        rows = np.stack([total, np.where(exact, total / least, np.nan), np.maximum(total, 0) / least * (1 + 1e-12)], axis=1)
+        rows[exact, 2] = rows[exact, 1]
+        valued = np.array([[v, v, v] for v in best.values()]).reshape(-1, 3)
+        new = [*owner, *best]
+        self.number.update(dict.fromkeys(words, 0))
+        self.number.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        self.words += new
+        self.rows = np.concatenate([self.rows, rows, valued])
+
+    def _value(self, numbers: np.ndarray) -> None:
+        """The values of the words ``numbers`` that have only a bound."""
+        numbers = np.unique(numbers)
+        owns = self.kernel.owns(b" ".join([self.words[i] for i in numbers.tolist()]).decode().split(" ") if len(numbers) else [])
+        self.rows[numbers, 1] = self.rows[numbers, 0] / np.where(owns > 0, owns, 1)
+        self.rows[numbers, 2] = self.rows[numbers, 1]
+
+    def highest(self, documents: list[set[bytes]], many: int) -> list[list[float]]:
+        """The ``many`` highest values of the words of each document, the highest first.
+
+        A word's sum over its subsequences is cheap; its own kernel is not, and
+        is not less than that of a word without repeated characters.  So every
+        word is bounded, and only those that may be among the highest are
+        valued: the result is that of valuing all.
+        """
+        if len(self.words) > MOST_WORDS:
+            self.number.clear()
+            self.words, self.rows = [b""], self.rows[:1]
+        self._number(set().union(*documents) - self.number.keys())
+        held = [np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words)) for words in documents]
+
+        def of(column, numbers):
+            found = self.rows[numbers, column]
+            return np.where(np.isnan(found), -np.inf, found)
+
+        def top(column, numbers):
+            found = of(column, numbers)
+            return numbers[np.argpartition(-found, many - 1)[:many]] if len(numbers) > many else numbers
+
+        def unknown(numbers):
+            return numbers[np.isnan(self.rows[numbers, 1])]
+
+        self._value(np.concatenate([unknown(top(2, numbers)) for numbers in held] or [np.empty(0, dtype=np.int64)]))
+        open_numbers = []
+        for numbers in held:
+            floor = of(1, top(1, numbers)).min() if len(numbers) >= many else -np.inf
+            rest = unknown(numbers)
+            open_numbers.append(rest[self.rows[rest, 2] > floor])
+        self._value(np.concatenate(open_numbers or [np.empty(0, dtype=np.int64)]))
+        best = [np.sort(of(1, top(1, numbers)))[::-1] for numbers in held]
+        return [values[values > -np.inf].tolist() for values in best]
 
     def sentences(self, text: str) -> list[bytes]:
         """The strongest unit of each sentence of a text that has one, by rising strength."""
         found = []
         for sentence in _SENTENCE.split(text):
-            held = [(self.known[w], w) for w in every_unit(sentence) if w in self.known]
+            held = [(self.known[w], w) for w in self.units(sentence) if w in self.known]
             if held:
                 found.append(max(held))
         return [w for _, w in sorted(found)]
@@ -318,10 +459,10 @@ def _word_values(landmarks: list[str], weights: list[float], kind: str) -> WordV
     return _KEPT[mark]
 
 
-def _slices(texts: list[str | None], size: int = 500):
+def _slices(values: WordValues, texts: list[str | None], size: int = 500):
     """(text, its units) in slices of texts."""
     for at in range(0, len(texts), size):
-        yield [(t or "", every_unit(t or "")) for t in texts[at:at + size]]
+        yield [(t or "", values.units(t or "")) for t in texts[at:at + size]]
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1000.0, rounds: int = 30) -> np.ndarray:
@@ -358,9 +499,8 @@ def logistic_curve(x: np.ndarray, y: np.ndarray, rounds: int = 100) -> np.ndarra
     return w
 
 
-def document_features(values: list[float], units: int) -> list[float]:
+def document_features(best: list[float], units: int) -> list[float]:
     """The three highest decision values of a document's units and the logarithm of their number."""
-    best = heapq.nlargest(3, values)
     return best + [0.0] * (3 - len(best)) + [math.log1p(units)]
 
 
@@ -392,7 +532,7 @@ def held_out(key: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, seed: int = 5) -> DataFrame:
-    """(label, text) of at most ``most`` labelled documents of either label that are not held out."""
+    """(row number, label, text) of at most ``most`` texts of either label, of at most ``most`` ids that are not held out."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").alias("s_id")).agg(F.max("toxic").cast("int").alias("s_label")))
     by_hash = [F.xxhash64(F.lit(seed), F.col("s_id")), F.col("s_id")]
@@ -401,10 +541,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS,
         part = known.where((F.col("s_label") > 0) == F.lit(bool(label))).orderBy(*by_hash).limit(most)
         picked = part if picked is None else picked.union(part)
     # At most 2 * most rows of two numbers: a proven bound for the broadcast.
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("s_id"))
-    return written(sample.select("s_id", (F.col("s_label") > 0).cast("int").alias("s_label"),
-                                 F.coalesce("text", F.lit("")).alias("s_text"))
-                   .dropDuplicates(["s_text"]), "toxicity-sample")
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("s_text")).join(
+        F.broadcast(picked), F.col("doc_id") == F.col("s_id"))
+    # Equal texts are one row, toxic if one of them is; an id may have many texts, so rows are bounded too.
+    texts = sample.groupBy("s_text").agg(F.min("s_id").alias("s_id"), F.max("s_label").alias("s_label"))
+    rows = None
+    for label in (0, 1):
+        part = (texts.where((F.col("s_label") > 0) == F.lit(bool(label)))
+                .orderBy(F.xxhash64(F.lit(seed), F.col("s_id")), F.xxhash64("s_text"), "s_text").limit(most))
+        rows = part if rows is None else rows.union(part)
+    return written(rows.select(F.monotonically_increasing_id().alias("s_id"),
+                               (F.col("s_label") > 0).cast("int").alias("s_label"), "s_text"), "toxicity-sample")
 
 
 def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, most_clean: int = CLEAN_LANDMARKS) -> list[tuple[str, float]]:
@@ -431,6 +578,8 @@ def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, most_clean: int =
     counts = written(sample.mapInArrow(run, "u string, clean bigint, toxic bigint")
                      .groupBy("u").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-units")
     ranked = counts.select("u", z.alias("z")).orderBy(F.col("z").desc(), "u").limit(most * 4).collect()
+    if not ranked:
+        return []
     likeness = Kernel([r["u"] for r in ranked]).values([r["u"] for r in ranked])
     picked: list[int] = []
     for i in range(len(ranked)):  # a unit much like one picked before adds little
@@ -452,14 +601,17 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
     share = {r["s_label"]: r["n"] for r in sample.groupBy("s_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(share) < 2:
         return {"constant": float(share.get(1, 0) > 0)}
-    landmarks, worth = map(list, zip(*choose_landmarks(sample)))
+    chosen = choose_landmarks(sample)
+    if not chosen:  # no text has a unit: nothing tells the labels apart
+        return {"constant": share[1] / (share[0] + share[1])}
+    landmarks, worth = map(list, zip(*chosen))
 
     def sentences(weights, kind):
         def run(batches):
             values = _word_values(landmarks, weights, kind)
             for batch in batches:
                 rows = []
-                for part in _slices(batch.column(2).to_pylist()):
+                for part in _slices(values, batch.column(2).to_pylist()):
                     values.learn(set().union(*(w for _, w in part)))
                     rows += [values.vectors(values.sentences(text)[-SENTENCES:]).tobytes() for text, _ in part]
                 yield pa.RecordBatch.from_arrays(
@@ -485,12 +637,11 @@ def _featured(landmarks: list[str], weights: list[float], at: int, kept: list[in
     """Function over Arrow batches: the columns ``kept`` and the document features of the texts in column ``at``."""
     def run(batches):
         values = _word_values(landmarks, weights, "value")
-        known = values.known
         for batch in batches:
             rows = []
-            for part in _slices(batch.column(at).to_pylist()):
-                values.learn(set().union(*(w for _, w in part)))
-                rows += [document_features([known[w] for w in known.keys() & words], len(words)) for _, words in part]
+            for part in _slices(values, batch.column(at).to_pylist()):
+                units = [words for _, words in part]
+                rows += [document_features(best, len(words)) for best, words in zip(values.highest(units, 3), units)]
             last = pa.array(rows, type=pa.list_(pa.float64())) if finish is None else finish(rows)
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], last],
                                              names=[*[batch.schema.names[i] for i in kept], "features"])
@@ -524,5 +675,7 @@ def scored(docs: DataFrame, model: dict, text: str = "text", score: str = "score
 
 def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """``docs`` without those whose score is at least ``cut``."""
-    model = train(docs, labels)
-    return scored(docs, model, score="tox_score").where(F.col("tox_score") < cut).select(*docs.columns)
+    model, score = train(docs, labels), "tox_score"
+    while score in {c.lower() for c in docs.columns}:
+        score += "_"
+    return scored(docs, model, score=score).where(F.col(score) < cut).drop(score)

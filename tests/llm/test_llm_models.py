@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -239,3 +240,48 @@ def test_split_insults_count(spark, labelled):
     model = toxicity.train(docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
     score = {r["doc_id"]: r["score"] for r in toxicity.scored(docs(spark, split), model).collect()}
     assert min(score[3000], score[3001], score[3002]) > 0.5 > score[3003], score
+
+
+def test_highest_values_are_those_of_valuing_every_unit():
+    draw = random.Random(4)
+    landmarks = ["idiot", "moron", "table", "window", "aabbaabb", "éclair"]
+    weights = [1.5, 2.0, -1.0, -0.5, 0.7, 0.3]
+    values = toxicity.WordValues(landmarks, weights, "value")
+    plain = toxicity.WordValues(landmarks, weights, "value")
+    word = lambda: "".join(draw.choice("abdeilmnorstwé") for _ in range(draw.randrange(1, 14)))
+    texts = ["", "a b", "x" * 95 + " idiot", "idioot " * 3, "aaa bbb"] + [
+        " ".join(word() for _ in range(draw.randrange(1, 60))) for _ in range(150)]
+    for part in toxicity._slices(values, texts, 40):
+        units = [words for _, words in part]
+        plain.learn(set().union(*units))
+        want = [sorted((plain.known[w] for w in words if w in plain.known), reverse=True)[:3] for words in units]
+        assert [len(x) for x in values.highest(units, 3)] == [len(x) for x in want]
+        for a, b in zip(values.highest(units, 3), want):
+            assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_toxicity_of_texts_without_units(spark):
+    rows = [(i, "a b" if i % 2 else "c d", "en", "a", 3) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    scores = {r.score for r in toxicity.scored(docs(spark, rows), toxicity.train(docs(spark, rows), labels)).collect()}
+    assert scores == {0.5}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_training_sample_is_bounded_and_the_same(spark, parts):
+    rows = [(8, f"text {i} of one id", "en", "a", 1) for i in range(300)] + [(2, "both", "en", "a", 1), (5, "both", "en", "a", 1)]
+    labels = spark.createDataFrame([(8, 1, 0), (2, 1, 1), (5, 1, 0), (9, 1, 1)], "doc_id bigint, quality int, toxic int")
+    kept = [i for i in (2, 5, 8) if zlib.crc32(str(i).encode()) % 3 != 1]
+    got = toxicity.training_sample(docs(spark, rows).repartition(parts), labels, most=5).collect()
+    assert len(got) == 5 * (8 in kept) + (2 in kept or 5 in kept)
+    assert {r.s_label for r in got if r.s_text == "both"} <= {1 if 2 in kept else 0}
+    again = toxicity.training_sample(docs(spark, rows).repartition(3), labels, most=5).collect()
+    assert [tuple(r) for r in sorted(got)] == [tuple(r) for r in sorted(again)]
+
+
+def test_without_toxic_keeps_columns_that_clash(spark, labelled):
+    rows, labels = labelled
+    frame = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    kept = toxicity.without_toxic(docs(spark, rows, ["tox_score", "score"]), frame)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "tox_score", "score"]
+    assert {(r.tox_score, r.score) for r in kept.collect()} == {("clash", "clash")}
