@@ -66,6 +66,7 @@ ALIKE = 0.7
 SURE = 8.0  # z-scores from here on count alike
 LONGEST_UNIT = 40
 TRAIN_DOCS = 2000
+SAMPLE_PARTS = 24
 SENTENCES = 6
 MOST_WORDS = 300_000
 CUT = 0.7
@@ -177,6 +178,12 @@ def _subsequences(length: int) -> tuple[np.ndarray, np.ndarray]:
     return places, (DECAY ** (places[:, -1] - places[:, 0] + 1)).astype(np.float32)
 
 
+@functools.cache
+def _least_own(length: int) -> float:
+    """The root of the own kernel of a string without repeated characters, the least of its length."""
+    return math.sqrt((_subsequences(length)[1].astype(float) ** 2).sum())
+
+
 class Kernel:
     """Normalised kernel values of units with fixed landmarks."""
 
@@ -239,22 +246,14 @@ class Kernel:
                 yield rows, codes
             at = end
 
-    @staticmethod
-    def _least_own(codes: np.ndarray) -> tuple[float, np.ndarray]:
-        """The root of the own kernel where no character comes twice: only equal places match.
-
-        It is the least for the length.  Also the rows with a repeated character, whose own kernel is larger.
-        """
-        weights = _subsequences(codes.shape[1])[1]
-        letters = np.sort(codes, axis=1)
-        return math.sqrt((weights.astype(float) ** 2).sum()), np.nonzero((letters[:, 1:] == letters[:, :-1]).any(axis=1))[0]
-
     def owns(self, strings: list[str]) -> np.ndarray:
         """The root of the own kernel of each string."""
         out = np.zeros(len(strings))
         for rows, codes in self._lengths(strings, lambda n: n ** ORDER // 6):
-            least, again = self._least_own(codes)
-            own = np.full(len(rows), least ** 2)
+            # Where no character comes twice, only equal places match: the sum of the squared weights.
+            own = np.full(len(rows), _least_own(codes.shape[1]) ** 2)
+            letters = np.sort(codes, axis=1)
+            again = np.nonzero((letters[:, 1:] == letters[:, :-1]).any(axis=1))[0]
             own[again] = raw_kernel(codes[again], codes[again])
             out[rows] = np.sqrt(own)
         return out
@@ -277,17 +276,15 @@ class Kernel:
         out /= np.where(own > 0, own, 1).astype(np.float32)[:, None]
         return out
 
-    def sums(self, strings: list[str], w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(s, l, exact): ``values(strings) @ w`` is s over the root of the own kernel, which is at least l; l itself if exact."""
-        out, least, exact = np.zeros(len(strings)), np.ones(len(strings)), np.ones(len(strings), dtype=bool)
+    def sums(self, strings: list[str], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(s, l): ``values(strings) @ w`` is s over the root of the own kernel, which is at least l."""
+        out, least = np.zeros(len(strings)), np.ones(len(strings))
         if not strings or not self.landmarks:
-            return out, least, exact
+            return out, least
         table = (self.weights @ np.asarray(w, dtype=float)).astype(np.float32)
         every = table[self.place] if self.place is not None else None
         for rows, codes in self._lengths(strings, lambda n: n * n * 3):
-            own, again = self._least_own(codes)
-            least[rows] = own if own > 0 else 1
-            exact[rows[again]] = False
+            least[rows] = _least_own(codes.shape[1])
             if every is None:
                 places, weights = _subsequences(codes.shape[1])
                 out[rows] = weights @ table[self._rows(self._coded(codes, places))]
@@ -304,14 +301,12 @@ class Kernel:
                 weights = (DECAY ** (third[later:] - first + 1)).astype(np.float32)
                 total += weights @ every.take(pairs[later:] + high[first])
             out[rows] = total
-        return out, least, exact
+        return out, least
 
     def weighed(self, strings: list[str], w: np.ndarray) -> np.ndarray:
         """``values(strings) @ w``, without the values."""
-        total, least, exact = self.sums(strings, w)
-        rest = np.nonzero(~exact)[0]
-        least[rest] = self.owns([strings[i] for i in rest.tolist()])
-        return total / np.where(least > 0, least, 1)
+        own = self.owns(strings)
+        return self.sums(strings, w)[0] / np.where(own > 0, own, 1)
 
 
 class WordValues:
@@ -377,9 +372,8 @@ class WordValues:
             owner, windows = self._windows(longer)
             best = self._best(owner, self._strengths(windows).tolist())
         owner, windows = self._windows([w for w in words if len(w) <= LONGEST_UNIT])
-        total, least, exact = self.kernel.sums(windows, self.weights)
-        rows = np.stack([total, np.where(exact, total / least, np.nan), np.maximum(total, 0) / least * (1 + 1e-12)], axis=1)
-        rows[exact, 2] = rows[exact, 1]
+        total, least = self.kernel.sums(windows, self.weights)
+        rows = np.stack([total, np.full(len(total), np.nan), np.maximum(total, 0) / least * (1 + 1e-12)], axis=1)
         valued = np.array([[v, v, v] for v in best.values()]).reshape(-1, 3)
         new = [*owner, *best]
         self.number.update(dict.fromkeys(words, 0))
@@ -550,8 +544,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS,
         part = (texts.where((F.col("s_label") > 0) == F.lit(bool(label)))
                 .orderBy(F.xxhash64(F.lit(seed), F.col("s_id")), F.xxhash64("s_text"), "s_text").limit(most))
         rows = part if rows is None else rows.union(part)
-    return written(rows.select(F.monotonically_increasing_id().alias("s_id"),
-                               (F.col("s_label") > 0).cast("int").alias("s_label"), "s_text"), "toxicity-sample")
+    numbered = rows.select(F.monotonically_increasing_id().alias("s_id"),
+                           (F.col("s_label") > 0).cast("int").alias("s_label"), "s_text")
+    # A limit leaves one partition for each label; the sample is worked on in more.
+    return written(numbered.repartition(SAMPLE_PARTS, "s_id"), "toxicity-sample")
 
 
 def choose_landmarks(sample: DataFrame, most: int = LANDMARKS, most_clean: int = CLEAN_LANDMARKS) -> list[tuple[str, float]]:
