@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesmart.session import shared_dir
@@ -35,6 +36,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_place(df: DataFrame) -> tuple[Column, Column]:
+    """(file, position) of each row, both longs, to tell equal rows apart.
+
+    Rows read from Parquet have the same place at every reading, however the
+    files are split.  Rows of other frames are numbered by partition, which is
+    the same in every run only if the frame's own order is.
+    """
+    try:
+        place = df.metadataColumn("_metadata")
+        file, position = F.xxhash64(place["file_path"]), place["row_index"]
+        df.select(file, position)
+    except AnalysisException:  # the frame has no files, or not of Parquet
+        return F.lit(0).cast("long"), F.monotonically_increasing_id()
+    return file, position
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     _workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
