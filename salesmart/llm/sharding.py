@@ -1,7 +1,9 @@
 """Sharding: a two-pass external shuffle.
 
-Pass one scatters the records into buckets of about ``bucket_bytes`` by a
-seeded hash of the record's id and text.  Pass two loads one bucket at a
+Pass one scatters the records into buckets of about ``bucket_bytes``, counted
+over all columns, by a seeded hash of the record's id and text.  Records equal
+in both that make up more than ``HOT_SHARE`` of a bucket are scattered by
+their places in the files as well, so that no bucket gathers them.  Pass two loads one bucket at a
 time, orders it by that hash, shuffles it with Spark's ``shuffle`` (a seeded
 Fisher-Yates shuffle of an array) and writes it out.  The buckets in order
 form one permutation of all records, which is cut into ``n_shards`` runs
@@ -17,19 +19,23 @@ all buckets.
 
 Defined cases: a null text counts no bytes and has the checksum of the empty
 text; a null id is hashed as null.  Rows equal in id and text stay apart as
-rows but share a bucket.  An empty table gives an empty result.  Input columns
-named as an output column are replaced by it.
+rows.  An empty table gives an empty result.  Input columns
+named as an output column are replaced by it.  Where only some rows equal in id
+and text are alike in all columns, which of them has which slot depends on
+their places in the files if they are scattered by these, else on their values.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-from salesmart.llm.common import with_columns_last, written
+from salesmart.llm.common import row_place, with_columns_last, written
 
 N_SHARDS = 40
 BUCKET_BYTES = 16 << 20
 ROW_BYTES = 16
+HOT_SHARE = 0.25
 
 
 def record_size(text: Column) -> Column:
@@ -37,15 +43,42 @@ def record_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(ROW_BYTES)).cast("long")
 
 
+def held_bytes(docs: DataFrame) -> Column:
+    """About the bytes of a whole row: those of its texts and nested values, 8 for every other value."""
+    total = F.lit(ROW_BYTES)
+    for field in docs.schema.fields:
+        column = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size = F.octet_length(column)
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            size = F.octet_length(F.to_json(F.struct(column)))
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size, F.lit(0))
+    return total.cast("long")
+
+
+def scattered(docs: DataFrame, seed: int, key: str, text: str, bucket_bytes: int) -> tuple[DataFrame, int]:
+    """(s_bucket, s_row) of every record, and the number of buckets."""
+    mark, (file, position) = F.xxhash64(F.lit(seed), F.col(key), F.col(text)), row_place(docs)
+    total = docs.agg(F.sum(held_bytes(docs)).alias("b")).first()["b"] or 0
+    n_buckets = max(1, -(-total // bucket_bytes))
+    hot = written(docs.select(mark.alias("h_mark"), held_bytes(docs).alias("h_bytes")).groupBy("h_mark")
+                  .agg(F.sum("h_bytes").alias("h_bytes"), F.count(F.lit(1)).alias("h_rows"))
+                  .where((F.col("h_rows") > 1) & (F.col("h_bytes") > bucket_bytes * HOT_SHARE))
+                  .select("h_mark"), "shard-hot")
+    rows = docs.select(mark.alias("s_mark"), F.xxhash64(F.lit(seed), mark, file, position).alias("s_own"),
+                       F.struct(mark.alias("mark"), F.col(key).alias("id"), F.struct("*").alias("record"))
+                       .alias("s_row"))
+    by = F.when(F.col("h_mark").isNull(), F.col("s_mark")).otherwise(F.col("s_own"))
+    return rows.join(hot, F.col("s_mark") == F.col("h_mark"), "left").select(
+        F.pmod(by, F.lit(n_buckets)).cast("int").alias("s_bucket"), "s_row"), n_buckets
+
+
 def shard_records(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = 20, key: str = "doc_id",
                   text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` in shuffled order with shard (0..n_shards-1) and slot (0.. in each shard)."""
-    total = docs.agg(F.sum(record_size(F.col(text))).alias("b")).first()["b"] or 0
-    n_buckets = max(1, -(-total // bucket_bytes))
-    mark = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
-    tagged = docs.select(F.pmod(mark, F.lit(n_buckets)).cast("int").alias("s_bucket"),
-                         F.struct(mark.alias("mark"), F.col(key).alias("id"),
-                                  F.struct("*").alias("record")).alias("s_row"))
+    tagged, n_buckets = scattered(docs, seed, key, text, bucket_bytes)
     ahead = Window.orderBy("s_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = tagged.groupBy("s_bucket").agg(F.count(F.lit(1)).alias("s_count"))
     offsets = written(
