@@ -19,7 +19,11 @@ until its pieces are that long.
 
 Defined cases: null and empty items match nothing, null texts hold nothing;
 items shorter than ``MIN_PIECE`` must stand as whole words.  Repeated items and
-documents each give their own rows.  Texts are searched whole.
+documents each give their own rows; an item without an id, or with a negative
+one, is an item like any other.  Of stretches at equal distance the first found
+counts.  Without documents or items the result is empty (no document is
+dropped).  Extra columns pass unchanged, whatever their names.  Texts are
+searched whole.
 """
 
 from __future__ import annotations
@@ -92,7 +96,8 @@ def myers_search(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
 class PieceIndex:
     """The pieces of a block of items, and the search of a text for the items."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE, min_piece: int = MIN_PIECE):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float = ERROR_RATE,
+                 min_piece: int = MIN_PIECE):
         self.items, self.min_piece = [], min_piece
         owners: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
@@ -109,10 +114,10 @@ class PieceIndex:
         if owners:
             self.automaton.make_automaton()
 
-    def search(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def search(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item id, distance, start, stop) of each item in the text, at its best stretch.
 
-        Start and stop count characters of the normalised text.
+        Start and stop count characters of the normalised text.  Rows come by id, those without one last.
         """
         if not self.items or not text:
             return []
@@ -142,7 +147,8 @@ class PieceIndex:
                 if distance <= k and (at not in best or distance < best[at][0]):
                     _, length = myers_search_from_end(backward, len(item), stretch[:stop], distance)
                     best[at] = (distance, low + stop - length, low + stop)
-        return sorted((self.items[at][0], *found) for at, found in best.items())
+        found = [(self.items[at][0], *where) for at, where in best.items()]
+        return sorted(found, key=lambda hit: (hit[0] is None, hit[0] or 0, *hit[1:]))
 
 
 def myers_search_from_end(backward: dict[str, int], m: int, stretch: str, distance: int) -> tuple[int, int]:
@@ -150,7 +156,8 @@ def myers_search_from_end(backward: dict[str, int], m: int, stretch: str, distan
     return myers_search(backward, m, stretch[::-1])
 
 
-def item_blocks(benchmark: DataFrame, key: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, key: str, text: str,
+                block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of at most ``block_chars`` characters (or one item)."""
     block, used = [], 0
     rows = benchmark.where(F.col(text).isNotNull()).select(F.col(key).cast("long"), text)
@@ -158,18 +165,18 @@ def item_blocks(benchmark: DataFrame, key: str, text: str, block_chars: int) ->
         if block and used + len(item) > block_chars:
             yield block
             block, used = [], 0
-        block.append((-1 if item_id is None else item_id, item))
+        block.append((item_id, item))
         used += len(item)
     if block:
         yield block
 
 
-def scanned(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", rate: float = ERROR_RATE,
-            min_piece: int = MIN_PIECE) -> DataFrame:
-    """``docs`` with the column ``d_hits``: what of ``items`` each text holds."""
+def scanned(docs: DataFrame, items: list[tuple[int | None, str]], text: str = "text", rate: float = ERROR_RATE,
+            min_piece: int = MIN_PIECE, hits_name: str = "d_hits") -> DataFrame:
+    """``docs`` with the column ``hits_name``: what of ``items`` each text holds."""
     held = docs.sparkSession.sparkContext.broadcast(items)  # one block, of bounded size
     at = docs.columns.index(text)
-    schema = StructType([*docs.schema.fields, StructField("d_hits", ArrayType(StructType([
+    schema = StructType([*docs.schema.fields, StructField(hits_name, ArrayType(StructType([
         StructField("item_id", LongType()), StructField("distance", IntegerType()),
         StructField("start", LongType()), StructField("stop", LongType())])))])
     hit_type = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()),
@@ -181,7 +188,7 @@ def scanned(docs: DataFrame, items: list[tuple[int, str]], text: str = "text", r
             hits = [[dict(zip(("item_id", "distance", "start", "stop"), h)) for h in index.search(t)]
                     for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hits, type=hit_type)],
-                                             names=[*batch.schema.names, "d_hits"])
+                                             names=[*batch.schema.names, hits_name])
 
     return docs.mapInArrow(run, schema)
 
@@ -194,9 +201,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     found = None
     for items in item_blocks(benchmark, item_key, item_text, block_chars):
         part = (scanned(rows, items, "d_text", rate).select("doc_id", F.explode("d_hits").alias("h"))
-                .select("doc_id", F.when(F.col("h.item_id") >= 0, F.col("h.item_id")).alias("item_id"),
-                        F.col("h.distance").alias("distance"), F.col("h.start").alias("start"),
-                        F.col("h.stop").alias("stop")))
+                .select("doc_id", "h.item_id", "h.distance", "h.start", "h.stop"))
         found = part if found is None else found.unionByName(part)
     if found is None:
         return rows.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("distance"),
@@ -208,7 +213,9 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
                     item_text: str = "text", rate: float = ERROR_RATE,
                     block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without those that hold an item; columns and other rows unchanged."""
-    names = docs.columns
+    hits = "d_hits"
+    while hits in {name.lower() for name in docs.columns}:
+        hits += "_"
     for items in item_blocks(benchmark, item_key, item_text, block_chars):
-        docs = scanned(docs, items, text, rate).where(F.size("d_hits") == 0).select(*names)
+        docs = scanned(docs, items, text, rate, hits_name=hits).where(F.size(hits) == 0).drop(hits)
     return docs
