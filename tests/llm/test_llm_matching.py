@@ -56,6 +56,28 @@ def test_pieces_meet_the_budget():
         assert k == 0 or min(len(p) for _, p in cut) >= D.MIN_PIECE
 
 
+def test_decontamination_of_odd_ids_and_names(spark):
+    item = "a benchmark item with several words in it"
+    benchmark = spark.createDataFrame(
+        [(-7, item), (None, item), (-1, "another item that stands nowhere"), (3, None), (4, "")],
+        "item_id bigint, text string")
+    rows = [(1, f"before {item} after", "en", "s", 1), (None, item, "en", "s", 1), (2, "clean", "en", "s", 1),
+            (3, None, None, None, None), (3, None, None, None, None)]
+    df = docs(spark, rows, ["d_hits", "item_id", "D_HITS_"])
+    got = D.contaminated(df, benchmark).collect()
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == sorted(
+        [(1, -7), (1, None), (None, -7), (None, None)], key=str)
+    kept = D.clean_documents(df, benchmark)
+    assert kept.columns == df.columns
+    assert [(r["doc_id"], r["d_hits"], r["D_HITS_"]) for r in kept.orderBy("doc_id").collect()] == [
+        (2, "clash", "clash"), (3, "clash", "clash"), (3, "clash", "clash")]
+    # Every block of items is searched for, also when each item is a block of its own.
+    assert sorted(map(str, D.contaminated(df, benchmark, block_chars=1).collect())) == sorted(map(str, got))
+    assert D.clean_documents(df, benchmark, block_chars=1).count() == 3
+    assert D.contaminated(no_docs(spark), benchmark).count() == 0
+    assert D.clean_documents(df, benchmark.limit(0)).count() == 5
+
+
 def test_decontamination_matches_brute_force(spark):
     rng = random.Random(2)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(400)]

@@ -151,6 +151,27 @@ def test_sharding_of_odd_rows(spark):
     assert sharded(no_docs(spark)).count() == 0
 
 
+def test_equal_records_spread_over_buckets(spark, tmp_path):
+    spark.range(0, 6000).selectExpr(
+        "if(id % 3 = 0, NULL, id) AS doc_id", "if(id % 3 = 0, 'the same text', concat('text ', id)) AS text",
+        "id AS own", "repeat('x', 40) AS `odd.na``me`").repartition(4).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    tagged, n_buckets = sharding.scattered(df, 20, "doc_id", "text", 8000)
+    sizes = sorted(r["count"] for r in tagged.groupBy("s_bucket").count().collect())
+    assert 60 < n_buckets < 120 and sizes[-1] < 2.2 * 6000 / n_buckets
+    got = sharding.shard_records(df, n_shards=7, bucket_bytes=8000).collect()
+    assert sorted(r["own"] for r in got) == list(range(6000))
+    assert sorted((r["shard"], r["slot"]) for r in got) == [
+        (s, i) for s in range(7) for i in range((s + 1) * 6000 // 7 - s * 6000 // 7)]
+    with_small_files = sharding.shard_records(df, n_shards=7, bucket_bytes=8000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:  # files are split otherwise: the same shards
+        again = sharding.shard_records(spark.read.parquet(str(tmp_path / "d")), n_shards=7, bucket_bytes=8000)
+        assert sorted(map(str, again.collect())) == sorted(map(str, with_small_files.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 # --- mixing ---------------------------------------------------------------
 
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, epochs=2):
@@ -193,6 +214,60 @@ def test_mix_meets_targets(spark):
         r["doc_id"]: r["taken"] // r["size"] for r in got if r["taken"]}
 
 
+def brute_mix(rows, labels, seed, share):
+    """Target of each source and words taken of each (source, id, text), from the draws that Spark makes."""
+    sizes = {}
+    for _, _, source, size, _ in rows:
+        sizes[source] = sizes.get(source, 0) + size
+    targets, taken = brute_targets(sizes, share=share), {}
+    for source, target in targets.items():
+        epochs = int(target // sizes[source]) if sizes[source] else 0
+        rest, total = target - epochs * sizes[source], 0
+        for key, i, text, size in sorted(
+                ((draw / labels.get(i, 0.5), i, text, size) for i, text, s, size, draw in rows if s == source),
+                key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+            extra = total + size / 2 <= rest
+            total += size
+            at = (source, i, text)
+            taken[at] = taken.get(at, 0) + size * (epochs + extra)
+    return targets, taken
+
+
+@pytest.mark.parametrize("share, seed", [(1.3, 7), (0.6, 1), (1.5, 3), (0.9, 4)])
+def test_mix_with_hot_rows_matches_brute_force(spark, tmp_path, share, seed):
+    spark.range(0, 3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 30 = 1 THEN 11 ELSE id END AS doc_id",
+        "CASE WHEN id % 3 = 0 THEN 'a b' WHEN id % 30 = 1 THEN 'five words are in here' "
+        "ELSE repeat('w ', cast(id % 4 AS int)) END AS text",
+        "CASE WHEN id % 3 = 0 OR id % 5 = 1 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE 'cold' END AS source",
+        "id AS m_at", "'x' AS c_last", "'y' AS size").repartition(5).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    labels = spark.range(0, 3000, 2).selectExpr("id AS doc_id", "cast(id % 4 = 0 AS int) AS quality")
+    weight = {i: 1.0 if i % 4 == 0 else 0.25 for i in range(0, 3000, 2)}
+    draws = df.select("doc_id", "text", "source", mixing.word_count(F.col("text")),
+                      mixing.exponential(seed, F.col("doc_id"), F.col("text"))).collect()
+    targets, taken = brute_mix(list(map(tuple, draws)), weight, seed, share)
+    got = mixing.mix(df.select("*"), labels, seed, share=share).collect()
+    assert len(got) == 3000 and all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in got)
+    picked = mixing.mixed_documents(df, labels, seed, share=share)
+    assert picked.columns == df.columns
+    found = {}
+    for r in picked.collect():
+        at = (r["source"], r["doc_id"], r["text"])
+        found[at] = found.get(at, 0) + len(r["text"].split())
+    assert {k: v for k, v in found.items() if v} == {k: v for k, v in taken.items() if v}
+    assert sum(r["taken"] for r in got) == sum(taken.values())
+    for source, target in targets.items():
+        assert abs(sum(v for k, v in found.items() if k[0] == source) - target) <= 2.5
+
+
+def test_key_ranges_are_even_for_every_quality(spark):
+    rows = spark.range(0, 200000).select(mixing.exponential(7, F.col("id"), F.lit("t")).alias("e"))
+    for quality in (mixing.GOOD, mixing.DEFAULT_QUALITY, mixing.BAD):
+        ranges = rows.select((mixing._key_range(F.col("e") / quality) / (mixing.BUCKETS // 64)).cast("int").alias("r"))
+        assert ranges.groupBy("r").count().agg(F.max("count")).first()[0] < 3.3 * 200000 / 64
+
+
 def test_better_documents_are_taken_more_often(spark):
     df = spark.range(0, 2000).selectExpr("id AS doc_id", "'a b c' AS text", "'s' AS source")
     labels = spark.range(0, 2000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
