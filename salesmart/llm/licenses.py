@@ -2,9 +2,11 @@
 
 Base search: the places where the words of a phrase stand consecutively.
 
-Method: a text's words are cut into blocks of ``BLOCK`` words that overlap by
-half, so that every stretch of up to half a block lies in one.  A block
-matches a template if it holds at least the share ``threshold`` of the
+Method: a text's words are cut into blocks that overlap by half, so that every
+stretch of up to half a block lies in one.  Half a block is ``BLOCK`` / 2 words,
+doubled until it holds the whole template (``half_block``): templates of any
+length are found wherever they stand.  Templates of like length share their
+blocks.  A block matches a template if it holds at least the share ``threshold`` of the
 template's distinct words.  Template words are ordered by their frequency in
 the whole corpus, rarest first.  A template of n words of which a must be
 held has the prefix of its n - a + 1 rarest words: a matching block holds one
@@ -22,14 +24,17 @@ Spark.  The index is bounded by the templates, which are a parameter and are
 part of the plan.  No text is shuffled.
 
 Defined cases: null and empty texts have no words, blocks or labels and score
-zero.  Templates without words never match.  Repeated rows keep their rows.
-An empty table gives an empty result.
+zero.  Templates without words never match.  Repeated rows keep their rows; of
+templates in one block each that is held gives its label.  An empty table
+gives an empty result.  Columns beside id and text are never looked at,
+whatever their names.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -80,8 +85,23 @@ def phrase_places(joined: bytes, phrase: bytes) -> list[int]:
     return places
 
 
-def template_sets(templates=TEMPLATES) -> list[tuple[list[str], str]]:
-    return [(sorted({w.decode() for w in words_of(t.encode())}), label) for t, label in templates]
+def half_block(n_words: int, block: int = BLOCK) -> int:
+    """Words in half a block for a template of ``n_words`` words."""
+    half = max(block // 2, 1)
+    while half < n_words:
+        half *= 2
+    return half
+
+
+def template_sets(templates=TEMPLATES, block: int = BLOCK) -> list[tuple[list[str], str, int]]:
+    """(distinct words, label, half a block) of each template."""
+    listed = [([w.decode() for w in words_of(t.encode())], label) for t, label in templates]
+    return [(sorted(set(words)), label, half_block(len(words), block)) for words, label in listed]
+
+
+def prefix_length(n: int, threshold: float) -> int:
+    """A block that holds enough of n words holds one of this many of them, whichever they are."""
+    return n - math.ceil(threshold * n) + 1 if n else 0
 
 
 def word_frequencies(docs: DataFrame, vocabulary: set[str], text: str = "text") -> dict[str, int]:
@@ -104,22 +124,33 @@ def word_frequencies(docs: DataFrame, vocabulary: set[str], text: str = "text")
     return {r["word"]: r["n"] for r in counts.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-def prefix_index(spark, sets: list[tuple[list[str], str]], rank: dict[str, int], threshold: float,
+def prefix_index(spark, sets: list[tuple[list[str], str, int]], rank: dict[str, int], threshold: float,
                  names=()) -> DataFrame:
-    """(word, place, template, words, names, need, label): the prefix words of each template."""
+    """(word, half, place, template, words, names, need, label): the prefix words of each template."""
     rows = []
-    for template, (words, label) in enumerate(sets):
-        if words:
-            ordered = sorted(words, key=rank.__getitem__)
-            need = math.ceil(threshold * len(ordered))
-            rows += [(w, place, template, ordered, [w for w in ordered if w in names], need, label)
-                     for place, w in enumerate(ordered[:len(ordered) - need + 1])]
-    return spark.createDataFrame(rows, "t_word string, t_place int, t_template int, t_words array<string>, "
-                                       "t_names array<string>, t_need int, t_label string")
-
-
-def _block_starts(n: int, block: int) -> range:
-    return range(0, max(n - block // 2, 1), block // 2)
+    for template, (words, label, half) in enumerate(sets):
+        ordered = sorted(words, key=rank.__getitem__)
+        rows += [(w, half, place, template, ordered, [w for w in ordered if w in names],
+                  math.ceil(threshold * len(ordered)), label)
+                 for place, w in enumerate(ordered[:prefix_length(len(ordered), threshold)])]
+    return spark.createDataFrame(rows, "t_word string, t_half int, t_place int, t_template int, "
+                                       "t_words array<string>, t_names array<string>, t_need int, t_label string")
+
+
+def blocks_of(words: list[bytes], half: int, wanted: set[bytes], prefix: set[bytes]) -> list[tuple[int, set[bytes]]]:
+    """(first word, words of ``wanted``) of every block that holds a word of ``prefix``."""
+    if prefix.isdisjoint(words):
+        return []
+    marks = [(at, w) for at, w in enumerate(words) if w in wanted]
+    last = max(-(-len(words) // half) - 2, 0)  # the blocks from here on would lie in the one before
+    numbers = sorted({b for at, w in marks if w in prefix for b in (at // half, at // half - 1) if 0 <= b <= last})
+    found, first = [], 0
+    for number in numbers:
+        while marks[first][0] < number * half:
+            first += 1
+        held = itertools.takewhile(lambda m: m[0] < (number + 2) * half, itertools.islice(marks, first, None))
+        found.append((number * half, {w for _, w in held}))
+    return found
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases=PHRASES, templates=TEMPLATES,
@@ -131,14 +162,18 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases=PHRAS
     those of ``names`` that are in the template; without any, the share decides.
     """
     spark = docs.sparkSession
-    sets = template_sets(templates)
-    vocabulary = {w for words, _ in sets for w in words}
+    sets = template_sets(templates, block)
+    vocabulary = {w for words, _, _ in sets for w in words}
     counts = word_frequencies(docs, vocabulary, text)
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
     index = prefix_index(spark, sets, rank, threshold, names)
-    prefix = {w.encode() for (words, _) in sets if words
-              for w in sorted(words, key=rank.__getitem__)[:len(words) - math.ceil(threshold * len(words)) + 1]}
-    wanted = {w.encode(): i for w, i in rank.items()}
+    by_half = defaultdict(lambda: (set(), set()))  # the words and the prefix words of the templates of a length
+    for words, _, half in sets:
+        wanted, prefix = by_half[half]
+        wanted.update(w.encode() for w in words)
+        prefix.update(w.encode() for w in sorted(words, key=rank.__getitem__)[:prefix_length(len(words), threshold)])
+    kinds = [(half, *of) for half, of in sorted(by_half.items())]
+    place = {w.encode(): i for w, i in rank.items()}
     sought = [(b" " + b" ".join(words_of(p.encode())) + b" ", label) for p, label in phrases]
 
     def one(content: bytes):
@@ -150,24 +185,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases=PHRAS
             if found:
                 places += found
                 labels.add(label)
-        blocks = []
-        if not prefix.isdisjoint(words):
-            marks = [(at, w) for at, w in enumerate(words) if w in wanted]
-            starts = sorted({s for at, w in marks if w in prefix
-                             for s in (at // (block // 2) * (block // 2), (at // (block // 2) - 1) * (block // 2))
-                             if s in _block_starts(len(words), block)})
-            first = 0
-            for start in starts:
-                while first < len(marks) and marks[first][0] < start:
-                    first += 1
-                held, i = set(), first
-                while i < len(marks) and marks[i][0] < start + block:
-                    held.add(marks[i][1])
-                    i += 1
-                blocks.append({"start": start, "words": [w.decode() for w in sorted(held, key=wanted.__getitem__)]})
+        blocks = [{"half": half, "start": start,
+                   "words": [w.decode() for w in sorted(held, key=place.__getitem__)]}
+                  for half, wanted, prefix in kinds for start, held in blocks_of(words, half, wanted, prefix)]
         return len(words), places, sorted(labels), blocks
 
-    block_type = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.list_(pa.string()))]))
+    block_type = pa.list_(pa.struct([("half", pa.int32()), ("start", pa.int64()), ("words", pa.list_(pa.string()))]))
 
     def run(batches):
         for batch in batches:
@@ -182,7 +205,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases=PHRAS
     rows = docs.select(F.monotonically_increasing_id().alias("l_row"), F.col(key).alias("l_id"),
                        F.col(text).cast("binary").alias("l_text"))
     shape = spark.createDataFrame([], "n_words bigint, places array<bigint>, base array<string>, "
-                                      "blocks array<struct<start:bigint,words:array<string>>>").schema
+                                      "blocks array<struct<half:int,start:bigint,words:array<string>>>").schema
     scanned = written(rows.mapInArrow(run, StructType([*rows.schema.fields[:2], *shape.fields])), "license-blocks")
     matches = block_matches(scanned, index).groupBy("m_row").agg(
         F.collect_set("t_label").alias("m_labels"), F.max("m_share").alias("m_score"),
@@ -200,10 +223,10 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases=PHRAS
 def block_matches(scanned: DataFrame, index: DataFrame) -> DataFrame:
     """(m_row, m_start, t_template, t_label, m_share) of every block that holds enough of a template."""
     blocks = scanned.select(F.col("l_row").alias("m_row"), F.explode("blocks").alias("b")).select(
-        "m_row", F.col("b.start").alias("m_start"), F.col("b.words").alias("m_words"))
+        "m_row", F.col("b.half").alias("m_half"), F.col("b.start").alias("m_start"), F.col("b.words").alias("m_words"))
     probes = blocks.select("*", F.posexplode("m_words").alias("m_place", "m_word"))
     candidates = (
-        probes.join(index, F.col("m_word") == F.col("t_word"))
+        probes.join(index, (F.col("m_word") == F.col("t_word")) & (F.col("m_half") == F.col("t_half")))
         .where(F.size("m_words") >= F.col("t_need"))
         .where(F.least(F.size("t_words") - F.col("t_place"), F.size("m_words") - F.col("m_place"))
                >= F.col("t_need")))
