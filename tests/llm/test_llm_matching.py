@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 import xxhash
 from helpers import docs, no_docs
 
@@ -254,6 +255,42 @@ def test_license_scan_matches_brute_force(spark):
     assert licenses.scan(no_docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 15, 16, 17, 28, 33, 60, 200])
+def test_license_blocks_hold_templates_of_any_length(n):
+    words = [b"t%d" % i for i in range(n)]
+    half = licenses.half_block(n)
+    assert half >= n and half % (licenses.BLOCK // 2) == 0
+    for offset in [*range(0, 2 * half + 2), 5000]:
+        for after in (0, 1, half, 301):
+            text = [b"a"] * offset + words + [b"b"] * after
+            found = licenses.blocks_of(text, half, set(words), {words[-1]})
+            assert any(held == set(words) for _, held in found), (offset, after)
+            starts = range(0, max(len(text) - half, 1), half)
+            assert found == [(s, {w for w in text[s:s + 2 * half] if w in set(words)}) for s in starts
+                             if words[-1] in text[s:s + 2 * half]]
+
+
+def test_license_texts_longer_than_a_block(spark):
+    rng = random.Random(8)
+    long_text = [f"w{i}" for i in range(60)]
+    middle = [f"w{i}" for i in range(40, 68)]
+    templates = [(" ".join(long_text), "long"), (" ".join(middle), "middle"), ("all rights reserved", "short"), ("", "none")]
+    rows, want = [], {}
+    for offset in range(0, 70):
+        for label, words in (("long", long_text), ("middle", middle)):
+            some = sorted(rng.sample(range(len(words)), int(0.7 * len(words))))
+            for kind, held in (("whole", words), ("part", [words[i] for i in some])):
+                i = len(rows)
+                rows.append((i, " ".join(["x"] * offset + held + ["y"] * (i % 50)), "en", "s", 1))
+                want[i] = label if kind == "whole" else ""
+    rows += [(900, "x " * 100 + "All Rights Reserved", "en", "s", 1), (901, " ".join(long_text[:47]), "en", "s", 1),
+             (902, " ".join(long_text[:48]), "en", "s", 1)]
+    want |= {900: "short", 901: "", 902: "long"}
+    got = licenses.scan(docs(spark, rows, ["t_half"]), templates=templates, phrases=()).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == want
+    assert all(r["score"] == 1.0 for r in got if r["doc_id"] < 900 and r["labels"])
+
+
 def test_license_names_are_needed(spark):
     cases = [
         ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
