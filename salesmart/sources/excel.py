@@ -1,9 +1,12 @@
 """Workbook (.xlsx) input, read on the executors.
 
 A workbook is a zip of XML parts and cannot be split, so parallelism is
-across files: ``binaryFile`` lists the workbooks and ``mapInPandas`` parses
-each one in the task that holds it, streaming the first sheet's rows out in
-bounded batches.  Only the standard library is used (``zipfile`` and
+across files: ``binaryFile`` lists the workbooks without their content, and
+``mapInPandas`` opens each one in the shared store from its task, seeks the
+parts it needs and streams the first sheet's rows out in bounded batches.  A
+task holds a row at a time and the workbook's shared strings, packed.  Only
+where tasks cannot open the store by themselves does Spark hand them whole
+files.  Parsing uses the standard library alone (``zipfile`` and
 ``xml.etree``).
 
 Cells become text: shared and inline strings as written, numbers without a
@@ -18,7 +21,9 @@ import io
 import posixpath
 import sys
 import zipfile
+from array import array
 from collections.abc import Iterator
+from typing import BinaryIO
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -27,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from salesmart.sources.store import open_store
+from salesmart.sources.store import open_store, tasks_can_open
 
 # The task functions below are shipped by value, so executors need only the
 # standard library and pandas, not this package on their path.
@@ -58,16 +63,51 @@ def _first_sheet_part(zf: zipfile.ZipFile) -> str:
     raise ValueError(f"sheet relationship {rel_id} not found")
 
 
-def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
+class PackedStrings:
+    """A read-only list of strings, held as their UTF-8 bytes one after the other."""
+
+    def __init__(self) -> None:
+        self._bytes, self._ends = bytearray(), array("Q", [0])
+
+    def append(self, text: str) -> None:
+        self._bytes += text.encode("utf-8", "surrogatepass")
+        self._ends.append(len(self._bytes))
+
+    def __len__(self) -> int:
+        return len(self._ends) - 1
+
+    def __getitem__(self, at: int) -> str:
+        if not 0 <= at < len(self):
+            raise IndexError(f"shared string {at} of {len(self)}")
+        return self._bytes[self._ends[at]:self._ends[at + 1]].decode("utf-8", "surrogatepass")
+
+
+def _elements(file: BinaryIO, tag: str) -> Iterator[ET.Element]:
+    """Each element of that name once it is complete; it and all before it are dropped after use."""
+    parents: list[ET.Element] = []
+    for event, elem in ET.iterparse(file, events=("start", "end")):
+        if event == "start":
+            parents.append(elem)
+            continue
+        parents.pop()
+        if elem.tag == tag:
+            yield elem
+            elem.clear()
+            if parents:
+                parents[-1].clear()
+
+
+def _shared_strings(zf: zipfile.ZipFile) -> PackedStrings:
+    strings = PackedStrings()
     if "xl/sharedStrings.xml" not in zf.namelist():
-        return []
-    out = []
-    for si in ET.fromstring(zf.read("xl/sharedStrings.xml")).iter(_q("si")):
-        # Plain text, or the text of each rich-text run; phonetic runs (rPh)
-        # are not part of the value.
-        nodes = [si.find(_q("t"))] + [r.find(_q("t")) for r in si.findall(_q("r"))]
-        out.append("".join(n.text or "" for n in nodes if n is not None))
-    return out
+        return strings
+    with zf.open("xl/sharedStrings.xml") as part:
+        for si in _elements(part, _q("si")):
+            # Plain text, or the text of each rich-text run; phonetic runs (rPh)
+            # are not part of the value.
+            nodes = [si.find(_q("t"))] + [r.find(_q("t")) for r in si.findall(_q("r"))]
+            strings.append("".join(n.text or "" for n in nodes if n is not None))
+    return strings
 
 
 def _col_index(ref: str) -> int:
@@ -85,7 +125,7 @@ def _number_text(v: str) -> str:
     return str(int(x)) if x.is_integer() and abs(x) < 2**53 else repr(x)
 
 
-def _cell_text(cell: ET.Element, shared: list[str]) -> str | None:
+def _cell_text(cell: ET.Element, shared: PackedStrings) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         node = cell.find(_q("is"))
@@ -102,25 +142,26 @@ def _cell_text(cell: ET.Element, shared: list[str]) -> str | None:
     return v.text  # str (formula result), e (error), d (ISO date)
 
 
-def iter_sheet_rows(content: bytes) -> Iterator[list[str | None]]:
-    """Rows of the first sheet as lists of cell texts (gaps filled with None)."""
-    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+def iter_sheet_rows(workbook: bytes | BinaryIO) -> Iterator[list[str | None]]:
+    """Rows of the first sheet as lists of cell texts (gaps filled with None), from the bytes or a seekable file."""
+    with zipfile.ZipFile(io.BytesIO(workbook) if isinstance(workbook, bytes) else workbook) as zf:
         shared = _shared_strings(zf)
-        part = _first_sheet_part(zf)
-        with zf.open(part) as fh:
-            for _, elem in ET.iterparse(fh, events=("end",)):
-                if elem.tag != _q("row"):
-                    continue
+        with zf.open(_first_sheet_part(zf)) as part:
+            for row in _elements(part, _q("row")):
                 values: dict[int, str | None] = {}
                 pos = 0
-                for cell in elem.iter(_q("c")):
+                for cell in row.iter(_q("c")):
                     ref = cell.get("r")
                     pos = _col_index(ref) if ref else pos
                     values[pos] = _cell_text(cell, shared)
                     pos += 1
                 width = max(values) + 1 if values else 0
                 yield [values.get(i) for i in range(width)]
-                elem.clear()
+
+
+def _opened(path: str) -> BinaryIO:
+    store, name = open_store(path)
+    return store.open_input_file(name)
 
 
 def _columns(header: list[str | None], names: list[str], aliases: dict[str, tuple[str, ...]],
@@ -141,25 +182,32 @@ def _columns(header: list[str | None], names: list[str], aliases: dict[str, tupl
 def _parse_batches(schema: StructType, aliases: dict[str, tuple[str, ...]], required: tuple[str, ...]):
     names = schema.fieldNames()
 
+    def one(workbook: bytes | BinaryIO) -> Iterator[pd.DataFrame]:
+        rows = iter_sheet_rows(workbook)
+        header = next(rows, None)
+        if header is None:
+            return
+        where = _columns(header, names, aliases, required)
+        chunk: list[list[str | None]] = []
+        for row in rows:
+            if all(v is None for v in row):
+                continue
+            chunk.append([row[where[n]] if n in where and where[n] < len(row) else None for n in names])
+            if len(chunk) >= _BATCH_ROWS:
+                yield pd.DataFrame(chunk, columns=names, dtype=object)
+                chunk = []
+        if chunk:
+            yield pd.DataFrame(chunk, columns=names, dtype=object)
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for content in pdf["content"]:
-                rows = iter_sheet_rows(bytes(content))
-                header = next(rows, None)
-                if header is None:
-                    continue
-                where = _columns(header, names, aliases, required)
-                chunk: list[list[str | None]] = []
-                for row in rows:
-                    if all(v is None for v in row):
-                        continue
-                    chunk.append([row[where[n]] if n in where and where[n] < len(row) else None
-                                  for n in names])
-                    if len(chunk) >= _BATCH_ROWS:
-                        yield pd.DataFrame(chunk, columns=names, dtype=object)
-                        chunk = []
-                if chunk:
-                    yield pd.DataFrame(chunk, columns=names, dtype=object)
+            if "content" in pdf:
+                for content in pdf["content"]:
+                    yield from one(bytes(content))
+            else:
+                for path in pdf["path"]:
+                    with _opened(path) as file:
+                        yield from one(file)
 
     return parse
 
@@ -173,8 +221,8 @@ def read_workbooks(spark: SparkSession, path: str, schema: StructType,
     ``aliases``; a workbook without a ``required`` column raises."""
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", "*.[xX][lL][sS][xX]")
-             .load(path)
-             .select("content"))
+             .load(path))
+    files = files.select("path" if tasks_can_open(files) else "content")
     return files.mapInPandas(_parse_batches(schema, aliases or {}, required), schema)
 
 

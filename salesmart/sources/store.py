@@ -55,3 +55,26 @@ def file_marks(spark: SparkSession, path) -> DataFrame:
             yield pd.DataFrame({"file": batch["path"], "mark": pd.Series(marks, dtype=object)})
 
     return spark.read.format("binaryFile").load(path).select("path").mapInPandas(run, "file string, mark string")
+
+
+def tasks_can_open(files: DataFrame) -> bool:
+    """Whether tasks can open every file of a ``binaryFile`` frame in the store without Spark.
+
+    Each task opens its files and reads one byte of each; only a file that
+    cannot be opened gives a row, and one such row ends the search.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow as pa
+
+        for batch in batches:
+            closed = []
+            for path in batch["path"]:
+                try:
+                    store, name = open_store(path)
+                    with store.open_input_file(name) as file:
+                        file.read(1)
+                except (OSError, pa.ArrowException):
+                    closed.append(path)
+            yield pd.DataFrame({"path": pd.Series(closed, dtype=object)})
+
+    return not files.select("path").mapInPandas(run, "path string").head(1)

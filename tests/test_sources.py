@@ -1,11 +1,16 @@
 """Readers: workbook, CSV and JSON files written in a temporary folder."""
 
+import io
 import json
+import tracemalloc
+import zipfile
 
 import pandas as pd
 import pytest
+from pyspark.sql.types import StringType, StructField, StructType
 
 from salesmart.plans.catalog import write_json_arrays
+from salesmart.sources import excel, store
 from salesmart.sources.excel import iter_sheet_rows, workbook_bytes, write_workbook_table
 from salesmart.sources.files import read_customers, read_orders, read_products
 
@@ -109,3 +114,58 @@ def test_json_arrays_grow_in_number_not_in_size(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, orders.collect()))
     write_json_arrays(orders.where("false"), str(tmp_path / "none"), rows=50)
     assert read_orders(spark, f"{tmp_path}/none/file=*").count() == 0
+
+
+def _shared_workbook(path, n_rows):
+    """A workbook whose cells are shared strings, written row by row."""
+    body = f'<sst xmlns="{excel.MAIN_NS}">' + "".join(
+        f"<si><t>{t}</t></si>" for t in ["Customer ID", "Customer Name", *(f"name {i} é" for i in range(n_rows))]) + "</sst>"
+    blank = io.BytesIO(excel.workbook_bytes([], []))
+    with zipfile.ZipFile(blank) as old, zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as new:
+        for part in old.namelist():
+            if "sheet1" not in part:
+                new.writestr(part, old.read(part))
+        new.writestr("xl/sharedStrings.xml", body)
+        with new.open("xl/worksheets/sheet1.xml", "w") as sheet:
+            sheet.write(f'<worksheet xmlns="{excel.MAIN_NS}"><sheetData>'.encode())
+            sheet.write(b'<row><c t="s"><v>0</v></c><c t="s"><v>1</v></c></row>')
+            for i in range(n_rows):
+                sheet.write(b'<row><c><v>%d</v></c><c t="s"><v>%d</v></c></row>' % (i, i + 2))
+            sheet.write(b"</sheetData></worksheet>")
+
+
+def test_large_workbook_is_read_in_bounded_memory(tmp_path):
+    n = 60_000
+    _shared_workbook(tmp_path / "big.xlsx", n)
+    tracemalloc.start()
+    try:
+        with open(tmp_path / "big.xlsx", "rb") as file:
+            rows = excel.iter_sheet_rows(file)
+            assert next(rows) == ["Customer ID", "Customer Name"]
+            for i, row in enumerate(rows):
+                assert row == [str(i), f"name {i} é"]
+        assert i == n - 1
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 << 20  # as a tree the strings alone take over 30 MB
+
+
+def test_workbooks_travel_as_paths_where_tasks_can_open_them(spark, tmp_path, monkeypatch):
+    for name in ("a.xlsx", "b.XLSX"):
+        _shared_workbook(tmp_path / name, 5)
+    schema = StructType([StructField(c, StringType()) for c in ("Customer ID", "Customer Name")])
+    by_path = excel.read_workbooks(spark, str(tmp_path), schema)
+    scan = by_path._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in scan and "content" not in scan
+    monkeypatch.setattr(excel, "tasks_can_open", lambda files: False)
+    by_content = excel.read_workbooks(spark, str(tmp_path), schema)
+    assert by_path.count() == 10 and sorted(by_path.collect()) == sorted(by_content.collect())
+
+
+def test_stores_that_tasks_cannot_open_are_told(spark, tmp_path):
+    (tmp_path / "x.bin").write_bytes(b"1")
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    assert store.tasks_can_open(files)
+    assert not store.tasks_can_open(files.selectExpr("'unknown://host/x' AS path"))
+    assert not store.tasks_can_open(files.selectExpr("concat(path, '.gone') AS path"))
