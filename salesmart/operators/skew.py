@@ -41,7 +41,7 @@ DEFAULT_HOT_SHARE = 0.01
 LEAST_HOT_SHARE = 0.0001  # bounds the broadcast hot set to 10,000 keys
 _COUNT = "__rows"
 _HOT = "__hot"
-_SALT = "__salt"
+SALT = "__salt"
 
 
 def _checked(hot_share: float) -> float:
@@ -80,6 +80,28 @@ def hot_keys_of_columns(df: DataFrame, keys: list[str],
     return out
 
 
+def _flags(hot: DataFrame, key: str) -> DataFrame:
+    return F.broadcast(hot.select(key, F.lit(True).alias(_HOT)))
+
+
+def salted_rows(df: DataFrame, key: str, hot: DataFrame, salts: int) -> DataFrame:
+    """``df`` with a salt below ``salts``: a hash of the row for a hot key or none, else 0."""
+    cols = df.columns
+    return (df.join(_flags(hot, key), on=key, how="left")
+              .withColumn(SALT, F.when(F.col(_HOT) | F.col(key).isNull(),
+                                       F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)))
+                                 .otherwise(F.lit(0).cast("long")))
+              .drop(_HOT))
+
+
+def salted_side(side: DataFrame, key: str, hot: DataFrame, salts: int) -> DataFrame:
+    """``side`` with every salt once for a hot key, and salt 0 for any other."""
+    every = F.when(F.col(_HOT), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    return (side.join(_flags(hot, key), on=key, how="left")
+                .withColumn(SALT, F.explode(F.coalesce(every, F.array(F.lit(0).cast("long")))))
+                .drop(_HOT))
+
+
 def left_lookup(df: DataFrame, side: DataFrame, key: str, hot: DataFrame | None = None,
                 buckets: int | None = None, rebalance: bool = True) -> DataFrame:
     """``df`` left-joined with ``side`` on ``key`` (``side`` unique per key),
@@ -90,17 +112,7 @@ def left_lookup(df: DataFrame, side: DataFrame, key: str, hot: DataFrame | None
         return df.join(side.hint("rebalance") if rebalance else side, on=key, how="left")
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    flags = F.broadcast(hot.select(key, F.lit(True).alias(_HOT)))
     cols = df.columns
-    rows = (df.join(flags, on=key, how="left")
-              .withColumn(_SALT, F.when(F.col(_HOT) | F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in cols]),
-                                                            F.lit(buckets)))
-                                  .otherwise(F.lit(0).cast("long")))
-              .drop(_HOT))
-    salts = F.when(F.col(_HOT), F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")))
-    lookup = (side.join(flags, on=key, how="left")
-                  .withColumn(_SALT, F.explode(F.coalesce(salts, F.array(F.lit(0).cast("long")))))
-                  .drop(_HOT))
-    joined = rows.join(lookup, on=[key, _SALT], how="left")
+    joined = salted_rows(df, key, hot, buckets).join(salted_side(side, key, hot, buckets), on=[key, SALT], how="left")
     # same column order as the plain join: key, df's columns, side's columns
     return joined.select(key, *[c for c in cols if c != key], *[c for c in side.columns if c != key])

@@ -38,6 +38,7 @@ from salesmart.operators.quality import (
 )
 from salesmart.operators.refs import clean_orders
 from salesmart.operators.skew import DEFAULT_HOT_SHARE
+from salesmart.plans.bucketed import store_orders
 from salesmart.plans.etl import OUTPUT_TABLES, output_counts, publish_tables, run_etl, run_pipeline
 from salesmart.plans.sinks import published_counts, read_published
 from salesmart.session import shared_dir
@@ -91,6 +92,25 @@ def _mart(spark, sf):
     return _outputs(spark, sf)["aggregates"]
 
 
+def _bucketed(spark, sf, order_key=(S.ORDER_ID,)):
+    """The stored orders, and both dimensions written into their buckets."""
+    store = store_orders(spark, raw_orders(spark, sf), shared_dir(spark, "bucketed"), order_key)
+    customers, products = _dims(spark, sf)
+    return store, store.store_dimension("customers", customers), store.store_dimension("products", products)
+
+
+def order_issues_bucketed(spark, sf, order_key=(S.ORDER_ID,)):
+    """The order report from orders and dimensions that lie bucketed on their keys."""
+    store, customers, products = _bucketed(spark, sf, order_key)
+    return rendered(store.issues(customers, products))
+
+
+def orders_enriched_bucketed(spark, sf):
+    """The fact from orders and dimensions that lie bucketed on their keys."""
+    store, customers, products = _bucketed(spark, sf)
+    return store.enriched(customers, products)
+
+
 # --- files ----------------------------------------------------------------
 
 def _csv_products(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,6 +289,9 @@ QUERIES: dict[str, Query] = {
         raw_orders(spark, sf), *_dims(spark, sf)),
     "orders_enriched_fused": lambda spark, sf: _outputs(spark, sf)["orders_enriched"],
     "order_issues_fused": lambda spark, sf: rendered(_outputs(spark, sf)["order_data_issues"]),
+    "order_issues_bucketed": order_issues_bucketed,
+    "order_issues_lines_bucketed": lambda spark, sf: order_issues_bucketed(spark, sf, None),
+    "orders_enriched_bucketed": orders_enriched_bucketed,
     # mart and roll-ups
     "profit_aggregates": lambda spark, sf: aggregate_profit_by(_enriched(spark, sf)),
     "profit_aggregates_lines": lambda spark, sf: aggregate_profit_by(_enriched(spark, sf, None)),

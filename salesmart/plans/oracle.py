@@ -228,6 +228,9 @@ _BODIES = {
     "orders_enriched_unmatched": _UNMATCHED,
     "orders_enriched_fused": "SELECT * FROM orders_enriched",
     "order_issues_fused": "SELECT * FROM order_issues",
+    "order_issues_bucketed": "SELECT * FROM order_issues",
+    "order_issues_lines_bucketed": "SELECT * FROM order_issues_lines",
+    "orders_enriched_bucketed": "SELECT * FROM orders_enriched",
     "profit_aggregates": "SELECT * FROM mart",
     "profit_aggregates_lines": "SELECT * FROM mart_lines",
     "profit_aggregates_fused": "SELECT * FROM mart",
