@@ -72,6 +72,7 @@ MOST_WORDS = 300_000
 CUT = 0.7
 JOINED = 12
 SHORT = 3
+SLICE = 500  # texts worked on together
 DENSE = 1 << 22  # entries of a table with a place for every subsequence
 
 #: Digits and signs read as the letters they look like.
@@ -319,10 +320,7 @@ class WordValues:
         self.kernel, self.weights, self.kind = Kernel(landmarks), np.array(weights), kind
         self.most = max(JOINED, *map(len, landmarks))
         self.known: dict[bytes, float] = {}
-        #: The number of each word met by ``highest``; 0 stands for all without a window.
-        self.number: dict[bytes, int] = {}
-        self.words: list[bytes] = [b""]
-        self.rows = np.array([[-np.inf, -np.inf, -np.inf]])  # sum, value (nan: not known yet), upper bound of the value
+        self._clear()
 
     def units(self, text: str) -> set[bytes]:
         return every_unit(text, self.most)
@@ -367,19 +365,88 @@ class WordValues:
 
     def _number(self, words: set[bytes]) -> None:
         """Numbers for ``words``, with what is cheap to know about their values."""
+        new = list(words)
+        at = {word: i for i, word in enumerate(new)}
+        rows = np.full((len(new), 3), -np.inf)
         best = {}
-        if longer := [w for w in words if len(w) > LONGEST_UNIT]:  # these may have several windows; valued at once
+        if longer := [w for w in new if len(w) > LONGEST_UNIT]:  # these may have several windows; valued at once
             owner, windows = self._windows(longer)
             best = self._best(owner, self._strengths(windows).tolist())
-        owner, windows = self._windows([w for w in words if len(w) <= LONGEST_UNIT])
+        owner, windows = self._windows([w for w in new if len(w) <= LONGEST_UNIT])
         total, least = self.kernel.sums(windows, self.weights)
-        rows = np.stack([total, np.full(len(total), np.nan), np.maximum(total, 0) / least * (1 + 1e-12)], axis=1)
-        valued = np.array([[v, v, v] for v in best.values()]).reshape(-1, 3)
-        new = [*owner, *best]
-        self.number.update(dict.fromkeys(words, 0))
-        self.number.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        bounded = [at[w] for w in owner]
+        rows[bounded] = np.stack([total, np.full(len(total), np.nan), np.maximum(total, 0) / least * (1 + 1e-12)], axis=1)
+        for word, value in best.items():
+            rows[at[word]] = value
+        first = len(self.words)
+        self.number.update((word, first + i) for word, i in at.items())
         self.words += new
-        self.rows = np.concatenate([self.rows, rows, valued])
+        self.rows = np.concatenate([self.rows, rows])
+        letters = np.fromiter((len(w.decode()) for w in new), dtype=np.int64, count=len(new))
+        self.letters = np.concatenate([self.letters, letters])
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def _joined(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The numbers of the units ``first`` and ``second`` (numbers) put together; each two of them are joined once."""
+        codes, back = np.unique(first << 32 | second, return_inverse=True)
+        at = np.searchsorted(self.pairs[0], codes)
+        known = np.zeros(len(codes), dtype=bool)
+        inside = at < len(self.pairs[0])
+        known[inside] = self.pairs[0][at[inside]] == codes[inside]
+        found = np.empty(len(codes), dtype=np.int64)
+        found[known] = self.pairs[1][at[known]]
+        fresh = codes[~known]
+        words = [self.words[i] + self.words[j] for i, j in zip((fresh >> 32).tolist(), (fresh & 0xFFFFFFFF).tolist())]
+        self._number(set(words) - self.number.keys())
+        found[~known] = numbers = self._numbers(words)
+        self.pairs = (np.insert(self.pairs[0], at[~known], fresh), np.insert(self.pairs[1], at[~known], numbers))
+        return found[back]
+
+    def _forget(self) -> None:
+        """Room for new words, if too many are known."""
+        if len(self.words) > MOST_WORDS:
+            self._clear()
+
+    def _clear(self) -> None:
+        #: The number of each unit met, and by number the unit, its length, and its sum, value (nan: not known yet)
+        #: and upper bound of the value (all -inf: no window).
+        self.number: dict[bytes, int] = {}
+        self.words: list[bytes] = []
+        self.letters = np.empty(0, dtype=np.int64)
+        self.rows = np.empty((0, 3))
+        #: The numbers of two units (as one code, ascending) and the number of the unit that they make together.
+        self.pairs = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+
+    def _units(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of ``every_unit`` of each text, ascending."""
+        words, spelled = [], []
+        for text in texts:
+            folded = _folded(text)
+            words.append(folded.split())
+            spelled.append(_spelled(folded.decode()))
+        self._number(set().union(*words, *spelled) - self.number.keys())
+        flat = self._numbers(list(itertools.chain.from_iterable(words)))
+        owner = np.repeat(np.arange(len(texts)), list(map(len, words)))
+        extra = self._numbers(list(itertools.chain.from_iterable(spelled)))
+        held = [owner << 32 | flat, np.repeat(np.arange(len(texts)), list(map(len, spelled))) << 32 | extra]
+        size = self.letters[flat]
+        short = size <= SHORT
+        together = owner[:-1] == owner[1:]
+        two = np.nonzero(together & (size[:-1] + size[1:] <= self.most))[0]
+        pairs = np.full(len(flat), -1)
+        pairs[two] = self._joined(flat[two], flat[two + 1])
+        held.append(owner[two] << 32 | pairs[two])
+        # Three or four short neighbours are the first two (never longer than JOINED) with the next ones.
+        run = short[:-1] & short[1:] & together
+        three = np.nonzero(run[:-1] & run[1:])[0]
+        triples = np.full(len(flat), -1)
+        triples[three] = self._joined(pairs[three], flat[three + 2])
+        four = three[np.isin(three + 1, three)]
+        held += [owner[three] << 32 | triples[three], owner[four] << 32 | self._joined(triples[four], flat[four + 3])]
+        every = np.unique(np.concatenate(held))
+        return np.split(every & 0xFFFFFFFF, np.searchsorted(every, np.arange(1, len(texts)) << 32))[:len(texts)]
 
     def _value(self, numbers: np.ndarray) -> None:
         """The values of the words ``numbers`` that have only a bound."""
@@ -389,19 +456,30 @@ class WordValues:
         self.rows[numbers, 2] = self.rows[numbers, 1]
 
     def highest(self, documents: list[set[bytes]], many: int) -> list[list[float]]:
-        """The ``many`` highest values of the words of each document, the highest first.
+        """The ``many`` highest values of the units of each document, the highest first."""
+        self._forget()
+        self._number(set().union(*documents) - self.number.keys())
+        return self._highest([self._numbers(list(words)) for words in documents], many)
+
+    def of_texts(self, texts: list[str | None], many: int) -> list[tuple[list[float], int]]:
+        """(the ``many`` highest values of its units, the number of its units) of each text.
+
+        The words of a text are numbered, and joined units are found by the
+        numbers of their words, so a joined unit is put together and looked up
+        once and not wherever it stands.
+        """
+        self._forget()
+        held = self._units([t or "" for t in texts])
+        return list(zip(self._highest(held, many), map(len, held)))
+
+    def _highest(self, held: list[np.ndarray], many: int) -> list[list[float]]:
+        """The ``many`` highest values of the numbers of each document.
 
         A word's sum over its subsequences is cheap; its own kernel is not, and
         is not less than that of a word without repeated characters.  So every
         word is bounded, and only those that may be among the highest are
         valued: the result is that of valuing all.
         """
-        if len(self.words) > MOST_WORDS:
-            self.number.clear()
-            self.words, self.rows = [b""], self.rows[:1]
-        self._number(set().union(*documents) - self.number.keys())
-        held = [np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words)) for words in documents]
-
         def of(column, numbers):
             found = self.rows[numbers, column]
             return np.where(np.isnan(found), -np.inf, found)
@@ -453,7 +531,7 @@ def _word_values(landmarks: list[str], weights: list[float], kind: str) -> WordV
     return _KEPT[mark]
 
 
-def _slices(values: WordValues, texts: list[str | None], size: int = 500):
+def _slices(values: WordValues, texts: list[str | None], size: int = SLICE):
     """(text, its units) in slices of texts."""
     for at in range(0, len(texts), size):
         yield [(t or "", values.units(t or "")) for t in texts[at:at + size]]
@@ -635,9 +713,9 @@ def _featured(landmarks: list[str], weights: list[float], at: int, kept: list[in
         values = _word_values(landmarks, weights, "value")
         for batch in batches:
             rows = []
-            for part in _slices(values, batch.column(at).to_pylist()):
-                units = [words for _, words in part]
-                rows += [document_features(best, len(words)) for best, words in zip(values.highest(units, 3), units)]
+            texts = batch.column(at).to_pylist()
+            for begin in range(0, len(texts), SLICE):
+                rows += [document_features(*found) for found in values.of_texts(texts[begin:begin + SLICE], 3)]
             last = pa.array(rows, type=pa.list_(pa.float64())) if finish is None else finish(rows)
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], last],
                                              names=[*[batch.schema.names[i] for i in kept], "features"])
