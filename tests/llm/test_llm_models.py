@@ -285,23 +285,3 @@ def test_without_toxic_keeps_columns_that_clash(spark, labelled):
     kept = toxicity.without_toxic(docs(spark, rows, ["tox_score", "score"]), frame)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "tox_score", "score"]
     assert {(r.tox_score, r.score) for r in kept.collect()} == {("clash", "clash")}
-
-
-def test_units_by_number_are_every_unit():
-    """Units joined by the numbers of their words: the same units, and the same values, as those joined as text."""
-    texts = ["", None, "a", "a b c d e ab c a bc", "an id iot, a mo r on or worth less; shut up", "s t u p i d sentence",
-             "é è ab cd x y   z", "i m b é c i l e " * 3, "x" * 100 + " yy zz", "ab c\nabc\nab c",
-             " ".join(f"w{i} {i % 7}" for i in range(900)), "日本 語 テキスト です ね"]
-    values = toxicity.WordValues(["idiot", "worthless", "shutup", "moron"], [1.0, 0.6, -0.3, 0.8], "value")
-    plain = toxicity.WordValues(values.kernel.landmarks, values.weights.tolist(), "value")
-    for _ in range(2):  # the second time every unit is known
-        found = values.of_texts(texts, 3)
-        for text, (best, many) in zip(texts, found):
-            units = toxicity.every_unit(text or "", values.most)
-            assert many == len(units)
-            want = plain.highest([units], 3)[0]
-            assert len(best) == len(want) and np.allclose(best, want, atol=1e-6)
-    held = values._units([t or "" for t in texts])
-    for text, numbers in zip(texts, held):
-        assert {values.words[i] for i in numbers.tolist()} == toxicity.every_unit(text or "", values.most)
-    assert values.of_texts([], 3) == []
