@@ -49,6 +49,7 @@ from salesmart.sources.testdata import raw_customers, raw_orders, raw_products,
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROWS_PER_ARRAY = 20_000
+ARRAYS_PER_TASK = 8  # the tasks of a shuffle are fewer than the files, so its blocks stay large
 
 
 def rendered(df: DataFrame) -> DataFrame:
@@ -143,38 +144,42 @@ def csv_products_quoted(spark, sf):
         "Price per product", F.col("Price per product").try_cast("double"))
 
 
-def write_json_arrays(orders: DataFrame, folder: str, rows: int = ROWS_PER_ARRAY) -> None:
+def write_json_arrays(orders: DataFrame, folder: str, rows: int = ROWS_PER_ARRAY, compression: str = "none") -> None:
     """Files ``file=N`` of one indented top-level array each, of about ``rows`` rows, as many as the table needs.
 
-    Rows are dealt by their number, so equal rows spread over all files.  A row
-    is a text line of its own; no array is held as a whole.
+    Rows are dealt by their number, so equal rows spread over all files.  They
+    are shuffled as columns and made text where they are written; a row is a
+    text line of its own, and no array is held as a whole.  ``compression`` is
+    a codec of Spark's text writer.
     """
     count = orders.count()
     if not count:
         empty = orders.sparkSession.createDataFrame([(0, "[]")], "file int, value string")
-        return empty.write.partitionBy("file").text(folder)
+        return empty.write.partitionBy("file").option("compression", compression).text(folder)
     files = -(-count // rows)
-    record = F.to_json(F.struct(*[F.col(S.q(c)) for c in orders.columns]), {"pretty": "true"})
-    dealt = (orders.select(F.monotonically_increasing_id().alias("at"), record.alias("record"))
-             .withColumn("file", F.pmod("at", F.lit(files)).cast("int")).repartition(files, "file"))
+    dealt = (orders.select(F.monotonically_increasing_id().alias("at"),
+                           F.struct(*[F.col(S.q(c)) for c in orders.columns]).alias("row"))
+             .withColumn("file", F.pmod("at", F.lit(files)).cast("int")).repartition(-(-files // ARRAYS_PER_TASK), "file"))
     inside = Window.partitionBy("file").orderBy("at")
+    record = F.to_json("row", {"pretty": "true"})
     lines = dealt.select(
-        "file", "at", F.concat(F.when(F.row_number().over(inside) == 1, F.lit("[\n")).otherwise(F.lit("")), F.col("record"),
+        "file", "at", F.concat(F.when(F.row_number().over(inside) == 1, F.lit("[\n")).otherwise(F.lit("")), record,
                                F.when(F.lead("at").over(inside).isNull(), F.lit("\n]")).otherwise(F.lit(","))).alias("value"))
-    lines.sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(folder)
+    (lines.sortWithinPartitions("file", "at").select("file", "value")
+     .write.partitionBy("file").option("compression", compression).text(folder))
 
 
 def json_array_orders(spark, sf):
     """Orders from files that each hold one indented top-level array, read by the default call."""
     folder = shared_dir(spark, "orders-arrays")
-    write_json_arrays(raw_orders(spark, sf), folder)
+    write_json_arrays(raw_orders(spark, sf), folder, compression="gzip")
     return read_orders(spark, f"{folder}/file=*")
 
 
 def json_array_orders_split(spark, sf):
     """Orders from files of one indented top-level array each, every one split into its objects."""
     folder = shared_dir(spark, "orders-split")
-    write_json_arrays(raw_orders(spark, sf), folder)
+    write_json_arrays(raw_orders(spark, sf), folder, compression="gzip")
     return read_orders(spark, f"{folder}/file=*", whole_bytes=0)
 
 

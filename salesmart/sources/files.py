@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from salesmart import schemas as S
 from salesmart.sources.excel import read_workbooks
-from salesmart.sources.split_text import csv_pieces, json_pieces, records
+from salesmart.sources.split_text import csv_pieces, json_pieces, records, text_bytes
 from salesmart.sources.store import file_marks
 
 # Text read as missing in CSV cells (the usual spreadsheet and
@@ -122,8 +122,9 @@ def read_orders(spark: SparkSession, path: str, schema: StructType = S.ORDER_SCH
 
     By default the first bytes of the files tell the layout; ``multiline`` True
     (arrays) or False (lines) names it.  Lines are split by Spark.  An array is
-    read by one task up to ``whole_bytes`` bytes; a larger one is split into its
-    objects by ``split_text``, at the price of one shuffle of its text.  Text
+    read by one task up to ``whole_bytes`` bytes (``split_text.text_bytes``); a
+    larger one is split into its objects by ``split_text``, at the price of one
+    shuffle of its text.  Files may be compressed.  Text
     that does not parse raises, so a wrong layout never loses rows.
     """
     if multiline is None:
@@ -131,7 +132,7 @@ def read_orders(spark: SparkSession, path: str, schema: StructType = S.ORDER_SCH
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if not multiline:
         return reader.json(path)
-    whole = reader.option("multiLine", True).json(path).where(F.col("_metadata.file_size") <= whole_bytes)
+    whole = reader.option("multiLine", True).json(path).where(text_bytes() <= whole_bytes)
     return whole.unionByName(_split_arrays(spark, path, schema, whole_bytes))
 
 

@@ -11,7 +11,7 @@ over the blocks of each file, which gives every piece its true state and every
 record its end.
 
 Scale: one shuffle brings the pieces of a block together; a block is bounded by
-``spark.sql.files.maxPartitionBytes``.  Only a few numbers of each block are
+``spark.sql.files.maxPartitionBytes``, but a compressed file is one block.  Only a few numbers of each block are
 ordered by file, and only the records cut by a border of blocks, at most two
 parts for each block, meet in a second shuffle.  Everything is built-in
 expressions; nothing is collected.
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 # A file goes by a hash of its path, which is cheap to sort by; a second hash tells if two files share one.
 BLOCK = ("s_file", "s_block")
+# Indented JSON shrinks about so much; a compressed file may hold more or less.
+INFLATED = 16
 
 
 @dataclass(frozen=True)
@@ -101,6 +103,12 @@ def _state(start: Column) -> Column:
     return ((F.coalesce(F.col("s_set"), start) + F.col("s_flips")) % 2).cast("int")
 
 
+def text_bytes() -> Column:
+    """Bytes of a file's text; a compressed file, by its name, is taken to hold ``INFLATED`` times its size."""
+    size = F.col("_metadata.file_size")
+    return F.when(F.col("_metadata.file_name").rlike(r"(?i)\.(gz|bz2|zst|deflate|snappy|lz4)$"), size * INFLATED).otherwise(size)
+
+
 def records(spark: SparkSession, path, kind: Pieces, min_bytes: int = 0) -> DataFrame:
     """(s_first, s_text, s_inside, s_depth, s_last) of every record of the files over ``min_bytes`` bytes.
 
@@ -111,7 +119,7 @@ def records(spark: SparkSession, path, kind: Pieces, min_bytes: int = 0) -> Data
     """
     text = spark.read.option("lineSep", kind.separator).text(path)
     if min_bytes:
-        text = text.where(F.col("_metadata.file_size") > min_bytes)
+        text = text.where(text_bytes() > min_bytes)
     name = F.col("_metadata.file_path")
     pieces = text.select(F.xxhash64(name).alias("s_file"), F.hash(name).alias("s_check"),
                          F.col("_metadata.file_block_start").alias("s_block"),
@@ -132,7 +140,7 @@ def records(spark: SparkSession, path, kind: Pieces, min_bytes: int = 0) -> Data
         F.sum(depth_if(0)).alias("b_depth_out"), F.sum(depth_if(1)).alias("b_depth_in"),
         F.min("s_at").alias("b_min"), F.max("s_at").alias("b_max"), F.min("s_check").alias("b_check"),
         F.max("s_check").alias("b_check_max"),
-        F.max(F.length("s_text")).alias("b_longest"))  # the text is read, so that both uses share one shuffle
+        F.max(F.length("s_text")).alias("b_longest"))  # both uses read every column, so that they share one shuffle
     blocks = blocks.where(F.when((F.col("b_check") == F.col("b_check_max")) & (F.col("b_longest") >= 0), True).otherwise(
         F.raise_error(F.lit("two files share the hash of their paths; read them one at a time"))))
     blocks = _with_state(blocks, ["s_file"], "s_block", "b_out", "b_in", kind.sets)
@@ -140,7 +148,7 @@ def records(spark: SparkSession, path, kind: Pieces, min_bytes: int = 0) -> Data
     earlier = file.orderBy("s_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (blocks.withColumn("b_start", _state(F.lit(0)))
               .withColumn("b_depth", F.when(F.col("b_start") == 1, F.col("b_depth_in")).otherwise(F.col("b_depth_out")))
-              .select(F.col("s_file").alias("b_file"), F.col("s_block").alias("b_block"), "b_start",
+              .select(F.col("s_file").alias("b_file"), F.col("s_block").alias("b_block"), "b_check", "b_start",
                       F.coalesce(F.sum("b_depth").over(earlier), F.lit(0)).alias("b_before"),
                       F.first("b_min").over(file.orderBy("s_block").rowsBetween(
                           Window.unboundedPreceding, Window.unboundedFollowing)).alias("b_first"),
@@ -150,7 +158,8 @@ def records(spark: SparkSession, path, kind: Pieces, min_bytes: int = 0) -> Data
     inside = F.when(F.col("s_start") == 1, F.col("s_after_in")).otherwise(F.col("s_after_out")).cast("int")
     change = F.when(F.col("s_start") == 1, F.col("s_depth_in")).otherwise(F.col("s_depth_out"))
     rows = Window.partitionBy(*BLOCK).orderBy("s_at").rowsBetween(Window.unboundedPreceding, 0)
-    known = (placed.join(blocks, (F.col("s_file") == F.col("b_file")) & (F.col("s_block") == F.col("b_block")))
+    known = (placed.join(blocks, (F.col("s_file") == F.col("b_file")) & (F.col("s_block") == F.col("b_block"))
+                         & (F.col("s_check").bitwiseXOR(F.col("b_check")) == 0))  # no key of the join, which moves no text
              .withColumn("s_start", _state(F.col("b_start")))
              .withColumns({"s_inside": inside, "s_change": change})
              .withColumn("s_depth", F.col("b_before") + F.sum("s_change").over(rows))

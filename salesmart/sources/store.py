@@ -27,9 +27,12 @@ def open_store(folder: str):
 
 
 def first_mark(path: str, size: int = HEAD_BYTES) -> str:
-    """The first character of a text file that is not white space (empty if there is none), read ``size`` bytes at a time."""
+    """The first character of a text file that is not white space (empty if there is none), read ``size`` bytes at a time.
+
+    A file whose name ends like a compressed one's is decompressed.
+    """
     store, name = open_store(path)
-    with store.open_input_file(name) as file:
+    with store.open_input_stream(name) as file:
         while head := file.read(size):
             if text := head.lstrip(b" \t\r\n\xef\xbb\xbf"):
                 return chr(text[0])

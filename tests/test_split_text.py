@@ -1,6 +1,7 @@
 """Large files that are split: records over block borders, every layout, and text that must raise."""
 
 import csv
+import gzip
 import io
 import json
 import random
@@ -8,6 +9,7 @@ import random
 import pytest
 
 from salesmart.sources.files import json_layout, read_orders, read_products
+from salesmart.sources.split_text import INFLATED, text_bytes
 from salesmart.sources.store import first_mark
 
 SCHEMA = "id string, note string, tags array<string>, part struct<x: double, note: string>"
@@ -128,3 +130,30 @@ def test_layout_is_told_from_the_first_bytes(spark, tmp_path, monkeypatch):
     (tmp_path / "b.json").write_text('{"id": 1}')
     with pytest.raises(ValueError, match="arrays or all JSON lines"):
         json_layout(spark, str(tmp_path))
+
+
+def test_text_is_shuffled_once(spark, tmp_path, blocks):
+    blocks(200)
+    (tmp_path / "o.json").write_text(json.dumps(json_rows(random.Random(3), 40)))
+    df = read_orders(spark, str(tmp_path), SCHEMA, whole_bytes=0)
+    assert len(df.collect()) == 40
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    text_shuffles = [line for line in final.splitlines() if "Exchange hashpartitioning(s_file" in line and "s_block" in line
+                     and "REPARTITION_BY_COL" in line and "Reused" not in line]
+    assert len(text_shuffles) == 1
+
+
+@pytest.mark.parametrize("whole_bytes", [0, 1 << 30])
+def test_compressed_arrays(spark, tmp_path, whole_bytes):
+    rows = json_rows(random.Random(4), 30)
+    (tmp_path / "o.json.gz").write_bytes(gzip.compress(json.dumps(rows, indent=2).encode()))
+    (tmp_path / "p.json").write_text(json.dumps(rows[:3]))
+    assert first_mark(str(tmp_path / "o.json.gz")) == "["
+    got = [plain(r.asDict(recursive=True)) for r in read_orders(spark, str(tmp_path), SCHEMA, whole_bytes=whole_bytes).collect()]
+    assert sorted(map(repr, got)) == sorted(repr(plain(r)) for r in rows + rows[:3])
+
+
+def test_compressed_arrays_count_as_larger(spark, tmp_path):
+    (tmp_path / "o.json.gz").write_bytes(gzip.compress(b'[{"id": "1"}]'))
+    size = (tmp_path / "o.json.gz").stat().st_size
+    assert spark.read.text(str(tmp_path)).select(text_bytes()).first()[0] == INFLATED * size
