@@ -38,6 +38,11 @@ TABLE_SCHEMAS = {
 }
 
 
+# Order lines that one task joins; fewer than ``PLAIN_JOIN_LINES`` in all are left to the planner.
+LINES_PER_TASK = 500_000
+PLAIN_JOIN_LINES = 1_000_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table."""
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
@@ -92,10 +97,17 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    lineitem = table(spark, sf_dir, "lineitem")
+    li = lineitem.select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_linestatus", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # The tasks of the join grow in number with the lines (counted from the file
+    # footers), as the planner merges shuffle partitions by compressed size and
+    # never adds any.
+    if (lines := lineitem.count()) > PLAIN_JOIN_LINES:
+        tasks = -(-lines // LINES_PER_TASK)
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     # Profit = price * (discount - 0.05), both rounded to cents, computed
     # exactly: in whole cents and basis points the product is an integer far

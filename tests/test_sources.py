@@ -1,5 +1,6 @@
 """Readers: workbook, CSV and JSON files written in a temporary folder."""
 
+import gzip
 import io
 import json
 import tracemalloc
@@ -7,12 +8,15 @@ import zipfile
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salesmart.plans.catalog import write_json_arrays
-from salesmart.sources import excel, store
+from salesmart.sources import excel, store, testdata
 from salesmart.sources.excel import iter_sheet_rows, workbook_bytes, write_workbook_table
 from salesmart.sources.files import read_customers, read_orders, read_products
+from salesmart.sources.testdata import raw_orders
+from tables import SF_SMALL
 
 
 def test_read_customers_workbook(spark, tmp_path):
@@ -169,3 +173,25 @@ def test_stores_that_tasks_cannot_open_are_told(spark, tmp_path):
     assert store.tasks_can_open(files)
     assert not store.tasks_can_open(files.selectExpr("'unknown://host/x' AS path"))
     assert not store.tasks_can_open(files.selectExpr("concat(path, '.gone') AS path"))
+
+
+def test_order_lines_are_joined_by_tasks_that_grow_in_number(spark, monkeypatch):
+    plain = raw_orders(spark, SF_SMALL)
+    monkeypatch.setattr(testdata, "PLAIN_JOIN_LINES", 1000)
+    monkeypatch.setattr(testdata, "LINES_PER_TASK", 500)
+    lines = testdata.table(spark, SF_SMALL, "lineitem").count()
+    many = raw_orders(spark, SF_SMALL)
+    used = many.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+    assert used[0] == -(-lines // 500) and used[1] < 1500
+    assert sorted(map(str, many.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_compressed_json_arrays(spark, tmp_path):
+    orders = raw_orders(spark, SF_SMALL)
+    write_json_arrays(orders, str(tmp_path / "a"), rows=900, compression="gzip")
+    files = sorted((tmp_path / "a").glob("file=*/part-*"))
+    assert len(files) == -(-orders.count() // 900) and all(f.name.endswith(".gz") for f in files)
+    assert all(isinstance(json.loads(gzip.decompress(f.read_bytes())), list) for f in files)
+    for limit in (0, 1 << 30):
+        got = read_orders(spark, f"{tmp_path}/a/file=*", whole_bytes=limit).select(*orders.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, orders.collect()))
