@@ -69,3 +69,22 @@ def test_orders_without_a_required_value_go(spark, cleaned, lost):
     rows = [tuple(whole.values()), tuple((whole | {"Order ID": "2", lost: None}).values())]
     clean, issues = clean_orders(spark.createDataFrame(rows, ORDER_COLUMNS), *cleaned)
     assert [r["Order ID"] for r in clean.collect()] == ["1"] and issues.count() == 0
+
+
+def test_orders_stay_in_place_for_the_parent_check(spark, customers_raw, products_raw, orders_raw):
+    """Only the ids without a parent travel; more of them than the limit are found by joins, with the same rows."""
+    cleaned = clean_customers(customers_raw)[0], clean_products(products_raw)[0]
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        want = [sorted(map(str, df.collect())) for df in clean_orders(orders_raw, *cleaned, order_key=None, missing_ids=0)]
+        for most, joins in ((1, 2), (2, 0), (1000, 0)):  # two ids of each kind have no parent
+            got = clean_orders(orders_raw, *cleaned, order_key=None, missing_ids=most)
+            assert [sorted(map(str, df.collect())) for df in got] == want
+            plan = got[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert plan.count("SortMergeJoin") == joins and ("Exchange hashpartitioning" in plan) == bool(joins)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
