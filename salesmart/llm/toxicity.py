@@ -24,13 +24,14 @@ many texts of either label (those of the lowest seeded hash); the texts are
 never collected, only the landmarks and at most ``SENTENCES`` kernel vectors
 per text.  Scoring reads each whole text where it is, without any shuffle;
 the model is a few thousand numbers.  Kernel values are computed per distinct
-word in numpy and kept, in bounded number, for a worker's later tasks.  No
+word in numpy; in training they are kept, in bounded number, for a worker's later tasks.  No
 value is cut off: a unit's subsequences of ``ORDER`` characters are looked up
 in a table of those of all landmarks, so one that no landmark has adds exactly
 zero.  Where only the decision value is asked for, the table holds one number
 per subsequence, the weighted sum over the landmarks, and only the units that
 may be among a document's three highest are normalised (``highest``), with the
-same result.
+same result.  There the units of a slice of texts are no strings but ranges of
+one array of characters, told apart by hashes of 64 bits (``Units``).
 
 Defined cases: null and empty texts score as a sentence without units.
 Documents with several labels, and equal texts, are toxic if one label says
@@ -44,6 +45,7 @@ an empty result.  ``scored`` replaces a column that has the name of the score
 from __future__ import annotations
 
 import functools
+import hashlib
 import heapq
 import itertools
 import math
@@ -69,6 +71,8 @@ TRAIN_DOCS = 2000
 SAMPLE_PARTS = 24
 SENTENCES = 6
 MOST_WORDS = 300_000
+SLICE_TEXTS = 500
+SLICE_CHARS = 1 << 20
 CUT = 0.7
 JOINED = 12
 SHORT = 3
@@ -98,13 +102,9 @@ def units_of(text: str) -> list[bytes]:
     return folded.split() + _spelled(folded.decode())
 
 
-def joined_of(words: list[bytes], most: int = JOINED, sizes: list[int] | None = None) -> set[bytes]:
-    """Neighbouring words joined: two of at most ``most`` characters together, or three or four of at most SHORT each.
-
-    ``sizes`` are the words' lengths in characters, if they are known.
-    """
-    if sizes is None:
-        sizes = [len(w.decode()) for w in words]
+def joined_of(words: list[bytes], most: int = JOINED) -> set[bytes]:
+    """Neighbouring words joined: two of at most ``most`` characters together, or three or four of at most SHORT each."""
+    sizes = [len(w.decode()) for w in words]
     found = {a + b for a, b, m, n in zip(words, words[1:], sizes, sizes[1:]) if m + n <= most}
     short = [at for at, n in enumerate(sizes) if n <= SHORT]
     for at, third in zip(short, short[2:]):
@@ -119,10 +119,102 @@ def joined_of(words: list[bytes], most: int = JOINED, sizes: list[int] | None =
 def every_unit(text: str, most: int = JOINED) -> set[bytes]:
     """All units of a text: its words, the runs spelled out and neighbouring short words joined."""
     folded = _folded(text)
-    words, whole = folded.split(), folded.decode()
-    sizes = list(map(len, whole.split()))
-    # A blank outside ASCII is part of a word here.
-    return {*words, *_spelled(whole), *joined_of(words, most, sizes if len(sizes) == len(words) else None)}
+    words = folded.split()
+    return {*words, *_spelled(folded.decode()), *joined_of(words, most)}
+
+
+@functools.cache
+def _char_hashes() -> np.ndarray:
+    """64 random bits for every character."""
+    return np.random.default_rng(11).integers(0, 1 << 64, 0x110000, dtype=np.uint64)
+
+
+#: The first powers of an odd number, modulo 2**64.
+_POWERS = np.array([pow(0x9E3779B97F4A7C15, n, 1 << 64) for n in range(max(LONGEST_UNIT, 4 * SHORT) + 1)], dtype=np.uint64)
+
+
+class Units:
+    """The distinct units of some documents, as ranges of one array of characters.
+
+    Unit ``i`` is ``codes[begin[i]:begin[i] + size[i]]``.  The rows of (``doc``,
+    ``unit``) say which document has which unit, each once, by rising document.
+    A unit is known by a polynomial hash of 64 bits: that of joined words follows
+    from theirs, so that no joined string is ever made.  Words of more than
+    LONGEST_UNIT characters are never joined, and hashed whole.
+    """
+
+    def __init__(self, parts: list[str], doc: list[int], documents: int, most: int | None):
+        """Part ``i`` belongs to document ``doc[i]``; its words count, and joined if ``most`` is given."""
+        flat = np.frombuffer(" ".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
+        filled = np.ones(len(flat) + 2, dtype=bool)
+        filled[0] = filled[-1] = False
+        filled[1:-1] = (flat != 32) & ((flat < 9) | (flat > 13))
+        edges = np.flatnonzero(filled[1:] != filled[:-1])
+        first, size = edges[::2], edges[1::2] - edges[::2]
+        part = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), first, side="right")
+        self.codes = flat[filled[1:-1]]
+        begin = np.cumsum(size) - size
+        found = [(part, begin, size, self._hashes(begin, size))]
+        if most is not None:
+            found += self._joined(*found[0], most)
+        part, begin, size, hashes = map(np.concatenate, zip(*found))
+        order = np.argsort(hashes)
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+        unit = np.empty(len(order), dtype=np.int64)
+        unit[order] = np.cumsum(new) - 1
+        self.begin, self.size = begin[order[new]], size[order[new]]
+        many = max(len(self.begin), 1)
+        held = np.sort(np.array(doc, dtype=np.int64)[part] * many + unit)
+        held = held[np.concatenate([np.ones(min(len(held), 1), dtype=bool), held[1:] != held[:-1]])]
+        self.doc = held // many
+        self.unit = held - self.doc * many
+        self.counts = np.bincount(self.doc, minlength=documents)
+
+    @classmethod
+    def of_texts(cls, texts: list[str], most: int = JOINED) -> Units:
+        """Those of ``every_unit`` of each text."""
+        parts, doc, spelled = [], list(range(len(texts))), []
+        for at, text in enumerate(texts):
+            parts.append(folded := _folded(text).decode())
+            if runs := _spelled(folded):
+                spelled += [run.decode() for run in runs]
+                doc += [at] * len(runs)
+        return cls(parts + spelled, doc, len(texts), most)
+
+    @classmethod
+    def of_sets(cls, documents: list[set[bytes]]) -> Units:
+        return cls([b" ".join(words).decode() for words in documents], list(range(len(documents))), len(documents), None)
+
+    def _hashes(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The hash of each word."""
+        out = np.zeros(len(begin), dtype=np.uint64)
+        for at in np.flatnonzero(size > LONGEST_UNIT).tolist():
+            word = self.codes[begin[at]:begin[at] + size[at]].tobytes()
+            out[at] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        rest, of = np.flatnonzero(size <= LONGEST_UNIT), _char_hashes()
+        for place in range(LONGEST_UNIT):
+            rest = rest[size[rest] > place]
+            out[rest] += of[self.codes[begin[rest] + place]] * _POWERS[place]
+        return out
+
+    @staticmethod
+    def _joined(part, begin, size, hashes, most):
+        """The same of neighbouring words joined, as ``joined_of`` does."""
+        short = size <= SHORT
+        reach, joined, run = size, hashes, short
+        for words in (2, 3, 4):
+            # Up to here ``reach``, ``joined`` and ``run`` hold one word less, from each first word on.
+            last = slice(words - 1, None)
+            joined = joined[:-1] + _POWERS[np.minimum(reach[:-1], len(_POWERS) - 1)] * hashes[last]
+            reach, run = reach[:-1] + size[last], run[:-1] & short[last]
+            fits = (reach <= most) if words == 2 else run
+            at = np.flatnonzero(fits & (part[:len(reach)] == part[last]))
+            yield part[at], begin[at], reach[at], joined[at]
+
+    def strings(self, units: np.ndarray) -> list[str]:
+        return [self.codes[at:at + n].tobytes().decode("utf-32-le", "surrogatepass")
+                for at, n in zip(self.begin[units].tolist(), self.size[units].tolist())]
 
 
 def unit_windows(folded: str) -> list[str]:
@@ -184,6 +276,13 @@ def _least_own(length: int) -> float:
     return math.sqrt((_subsequences(length)[1].astype(float) ** 2).sum())
 
 
+def _ranges(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(characters, where each string begins in them, its length)."""
+    sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+    return (np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype=np.int32),
+            np.cumsum(sizes) - sizes, sizes)
+
+
 class Kernel:
     """Normalised kernel values of units with fixed landmarks."""
 
@@ -229,27 +328,26 @@ class Kernel:
         at = np.minimum(np.searchsorted(self.found, coded), len(self.found) - 1)
         return np.where(self.found[at] == coded, at + 1, 0)
 
-    def _lengths(self, strings: list[str], cost):
-        """(their numbers, the codes of the marked strings) in runs of strings of one length; ``cost(length)`` per string."""
-        sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+    def _lengths(self, ranges: tuple[np.ndarray, np.ndarray, np.ndarray], cost, marks: tuple[int, int] = (2, 3)):
+        """(their numbers, the marked strings, one per column) in runs of strings of one length; ``cost(length)`` per string."""
+        flat, begin, sizes = ranges
         order = np.argsort(sizes, kind="stable")
-        flat = np.frombuffer("".join([strings[i] for i in order.tolist()]).encode("utf-32-le", "surrogatepass"), dtype=np.int32)
-        begin = at = 0
+        at = 0
         for size, many in zip(*(x.tolist() for x in np.unique(sizes, return_counts=True))):
             step, end = max(1, 400_000 // max(1, cost(size + 2))), at + many
             for first in range(at, end, step):
                 rows = order[first:min(first + step, end)]
-                codes = np.empty((len(rows), size + 2), dtype=np.int32)
-                codes[:, 0], codes[:, -1] = 2, 3
-                codes[:, 1:-1] = flat[begin:begin + size * len(rows)].reshape(-1, size)
-                begin += size * len(rows)
+                codes = np.empty((size + 2, len(rows)), dtype=flat.dtype)
+                codes[0], codes[-1] = marks
+                np.take(flat, begin[rows] + np.arange(size)[:, None], out=codes[1:-1], mode="clip")
                 yield rows, codes
             at = end
 
     def owns(self, strings: list[str]) -> np.ndarray:
         """The root of the own kernel of each string."""
         out = np.zeros(len(strings))
-        for rows, codes in self._lengths(strings, lambda n: n ** ORDER // 6):
+        for rows, columns in self._lengths(_ranges(strings), lambda n: n ** ORDER // 6):
+            codes = np.ascontiguousarray(columns.T)
             # Where no character comes twice, only equal places match: the sum of the squared weights.
             own = np.full(len(rows), _least_own(codes.shape[1]) ** 2)
             letters = np.sort(codes, axis=1)
@@ -264,9 +362,9 @@ class Kernel:
         if not strings or not self.landmarks:
             return out
         own = self.owns(strings)
-        for rows, codes in self._lengths(strings, lambda n: n ** ORDER // 6):
-            places, weights = _subsequences(codes.shape[1])
-            held = self._rows(self._coded(codes, places)).T
+        for rows, codes in self._lengths(_ranges(strings), lambda n: n ** ORDER // 6):
+            places, weights = _subsequences(len(codes))
+            held = self._rows(self._coded(codes.T, places)).T
             some, at = np.nonzero(held)
             ends = np.searchsorted(some, np.arange(1, len(rows) + 1))
             begin = 0
@@ -276,29 +374,32 @@ class Kernel:
         out /= np.where(own > 0, own, 1).astype(np.float32)[:, None]
         return out
 
-    def sums(self, strings: list[str], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(s, l): ``values(strings) @ w`` is s over the root of the own kernel, which is at least l."""
-        out, least = np.zeros(len(strings)), np.ones(len(strings))
-        if not strings or not self.landmarks:
+    def sums(self, ranges: tuple[np.ndarray, np.ndarray, np.ndarray], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(s, l): of the strings in ``ranges``, ``values(strings) @ w`` is s over the root of the own kernel, which is at least l."""
+        flat, begin, sizes = ranges
+        out, least = np.zeros(len(begin)), np.ones(len(begin))
+        if not len(begin) or not self.landmarks:
             return out, least
-        table = (self.weights @ np.asarray(w, dtype=float)).astype(np.float32)
-        every = table[self.place] if self.place is not None else None
-        for rows, codes in self._lengths(strings, lambda n: n * n * 3):
-            least[rows] = _least_own(codes.shape[1])
-            if every is None:
-                places, weights = _subsequences(codes.shape[1])
-                out[rows] = weights @ table[self._rows(self._coded(codes, places))]
-                continue
+        # In doubles: in floats the sum of a string would depend on those beside it.
+        table = self.weights @ np.asarray(w, dtype=float)
+        if self.place is None:
+            for rows, codes in self._lengths(ranges, lambda n: n * n * 3):
+                places, weights = _subsequences(len(codes))
+                least[rows] = _least_own(len(codes))
+                out[rows] = weights @ table[self._rows(self._coded(codes.T, places))]
+            return out, least
+        every = table[self.place]
+        for rows, letters in self._lengths((self.letter[flat], begin, sizes), lambda n: n * n * 3, self.letter[2:4].tolist()):
             # For each first place: its letter with all later pairs, which stand together.
-            letters = np.ascontiguousarray(self.letter[codes].T).astype(np.intp)
-            size = len(letters)
+            letters, size = letters.astype(np.intp), len(letters)
+            least[rows] = _least_own(size)
             second, third = np.triu_indices(size, 1)
             pairs = letters[second] * self.letters + letters[third]
             high = letters * self.letters ** 2
             total = np.zeros(len(rows))
             for first in range(size - 2):
                 later = np.searchsorted(second, first + 1)
-                weights = (DECAY ** (third[later:] - first + 1)).astype(np.float32)
+                weights = DECAY ** (third[later:] - first + 1.0)
                 total += weights @ every.take(pairs[later:] + high[first])
             out[rows] = total
         return out, least
@@ -306,7 +407,7 @@ class Kernel:
     def weighed(self, strings: list[str], w: np.ndarray) -> np.ndarray:
         """``values(strings) @ w``, without the values."""
         own = self.owns(strings)
-        return self.sums(strings, w)[0] / np.where(own > 0, own, 1)
+        return self.sums(_ranges(strings), w)[0] / np.where(own > 0, own, 1)
 
 
 class WordValues:
@@ -319,10 +420,6 @@ class WordValues:
         self.kernel, self.weights, self.kind = Kernel(landmarks), np.array(weights), kind
         self.most = max(JOINED, *map(len, landmarks))
         self.known: dict[bytes, float] = {}
-        #: The number of each word met by ``highest``; 0 stands for all without a window.
-        self.number: dict[bytes, int] = {}
-        self.words: list[bytes] = [b""]
-        self.rows = np.array([[-np.inf, -np.inf, -np.inf]])  # sum, value (nan: not known yet), upper bound of the value
 
     def units(self, text: str) -> set[bytes]:
         return every_unit(text, self.most)
@@ -365,63 +462,51 @@ class WordValues:
         owner, windows = self._windows(list(words - self.known.keys()))
         self.known.update(self._best(owner, self._strengths(windows).tolist()))
 
-    def _number(self, words: set[bytes]) -> None:
-        """Numbers for ``words``, with what is cheap to know about their values."""
-        best = {}
-        if longer := [w for w in words if len(w) > LONGEST_UNIT]:  # these may have several windows; valued at once
-            owner, windows = self._windows(longer)
-            best = self._best(owner, self._strengths(windows).tolist())
-        owner, windows = self._windows([w for w in words if len(w) <= LONGEST_UNIT])
-        total, least = self.kernel.sums(windows, self.weights)
-        rows = np.stack([total, np.full(len(total), np.nan), np.maximum(total, 0) / least * (1 + 1e-12)], axis=1)
-        valued = np.array([[v, v, v] for v in best.values()]).reshape(-1, 3)
-        new = [*owner, *best]
-        self.number.update(dict.fromkeys(words, 0))
-        self.number.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-        self.words += new
-        self.rows = np.concatenate([self.rows, rows, valued])
-
-    def _value(self, numbers: np.ndarray) -> None:
-        """The values of the words ``numbers`` that have only a bound."""
-        numbers = np.unique(numbers)
-        owns = self.kernel.owns(b" ".join([self.words[i] for i in numbers.tolist()]).decode().split(" ") if len(numbers) else [])
-        self.rows[numbers, 1] = self.rows[numbers, 0] / np.where(owns > 0, owns, 1)
-        self.rows[numbers, 2] = self.rows[numbers, 1]
-
-    def highest(self, documents: list[set[bytes]], many: int) -> list[list[float]]:
-        """The ``many`` highest values of the words of each document, the highest first.
-
-        A word's sum over its subsequences is cheap; its own kernel is not, and
-        is not less than that of a word without repeated characters.  So every
-        word is bounded, and only those that may be among the highest are
+    def highest(self, documents: Units | list[set[bytes]], many: int) -> list[list[float]]:
+        """The ``many`` highest values of the units of each document, the highest first.
+
+        A unit's sum over its subsequences is cheap; its own kernel is not, and
+        is not less than that of a unit without repeated characters.  So every
+        unit is bounded, and only those that may be among the highest are
         valued: the result is that of valuing all.
         """
-        if len(self.words) > MOST_WORDS:
-            self.number.clear()
-            self.words, self.rows = [b""], self.rows[:1]
-        self._number(set().union(*documents) - self.number.keys())
-        held = [np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words)) for words in documents]
-
-        def of(column, numbers):
-            found = self.rows[numbers, column]
-            return np.where(np.isnan(found), -np.inf, found)
-
-        def top(column, numbers):
-            found = of(column, numbers)
-            return numbers[np.argpartition(-found, many - 1)[:many]] if len(numbers) > many else numbers
-
-        def unknown(numbers):
-            return numbers[np.isnan(self.rows[numbers, 1])]
-
-        self._value(np.concatenate([unknown(top(2, numbers)) for numbers in held] or [np.empty(0, dtype=np.int64)]))
-        open_numbers = []
-        for numbers in held:
-            floor = of(1, top(1, numbers)).min() if len(numbers) >= many else -np.inf
-            rest = unknown(numbers)
-            open_numbers.append(rest[self.rows[rest, 2] > floor])
-        self._value(np.concatenate(open_numbers or [np.empty(0, dtype=np.int64)]))
-        best = [np.sort(of(1, top(1, numbers)))[::-1] for numbers in held]
-        return [values[values > -np.inf].tolist() for values in best]
+        units = documents if isinstance(documents, Units) else Units.of_sets(documents)
+        value, bound = np.full(len(units.begin), np.nan), np.full(len(units.begin), -np.inf)
+        total = np.zeros(len(value))
+        usual = np.flatnonzero((units.size >= ORDER) & (units.size <= LONGEST_UNIT))
+        total[usual], least = self.kernel.sums((units.codes, units.begin[usual], units.size[usual]), self.weights)
+        bound[usual] = np.maximum(total[usual], 0) / least * (1 + 1e-12)
+        if len(longer := np.flatnonzero(units.size > LONGEST_UNIT)):  # these have several windows; valued at once
+            words = [s.encode() for s in units.strings(longer)]
+            owner, windows = self._windows(words)
+            best = self._best(owner, self._strengths(windows).tolist())
+            value[longer] = bound[longer] = [best[w] for w in words]
+        ranked = np.flatnonzero(bound[units.unit] > -np.inf)
+        doc, unit = units.doc[ranked], units.unit[ranked]
+
+        def learn(wanted):
+            wanted = np.unique(wanted[np.isnan(value[wanted])])
+            owns = self.kernel.owns(units.strings(wanted))
+            value[wanted] = total[wanted] / np.where(owns > 0, owns, 1)
+
+        def top(doc, found):
+            """(place, rank) of the highest of each document, by document and rank; ``doc`` is rising."""
+            order = np.lexsort((-found, doc))
+            rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
+            return order[rank < many], rank[rank < many]
+
+        place, _ = top(doc, bound[unit])
+        learn(unit[place])
+        # The least of as many values as asked for: no unit with a lower bound is among the highest.
+        floor = np.full(len(units.counts), np.inf)
+        np.minimum.at(floor, doc[place], value[unit[place]])
+        floor[np.bincount(doc[place], minlength=len(floor)) < many] = -np.inf
+        learn(unit[bound[unit] > floor[doc]])
+        valued = np.flatnonzero(~np.isnan(value[unit]))
+        place, rank = top(doc[valued], value[unit[valued]])
+        best = np.full((len(floor), many), np.nan)
+        best[doc[valued[place]], rank] = value[unit[valued[place]]]
+        return [row[:n] for row, n in zip(best.tolist(), (~np.isnan(best)).sum(axis=1).tolist())]
 
     def sentences(self, text: str) -> list[bytes]:
         """The strongest unit of each sentence of a text that has one, by rising strength."""
@@ -459,6 +544,19 @@ def _slices(values: WordValues, texts: list[str | None], size: int = 500):
         yield [(t or "", values.units(t or "")) for t in texts[at:at + size]]
 
 
+def _unit_slices(values: WordValues, texts: list[str | None]):
+    """The units of slices of texts, bounded in texts and, but for a single text, in characters."""
+    held, chars = [], 0
+    for text in texts:
+        if held and (len(held) == SLICE_TEXTS or chars + len(text or "") > SLICE_CHARS):
+            yield Units.of_texts(held, values.most)
+            held, chars = [], 0
+        held.append(text or "")
+        chars += len(text or "")
+    if held:
+        yield Units.of_texts(held, values.most)
+
+
 def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1000.0, rounds: int = 30) -> np.ndarray:
     """Weights (the last is the bias) of the squared-hinge SVM with balanced classes, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -635,9 +733,8 @@ def _featured(landmarks: list[str], weights: list[float], at: int, kept: list[in
         values = _word_values(landmarks, weights, "value")
         for batch in batches:
             rows = []
-            for part in _slices(values, batch.column(at).to_pylist()):
-                units = [words for _, words in part]
-                rows += [document_features(best, len(words)) for best, words in zip(values.highest(units, 3), units)]
+            for units in _unit_slices(values, batch.column(at).to_pylist()):
+                rows += [document_features(best, n) for best, n in zip(values.highest(units, 3), units.counts.tolist())]
             last = pa.array(rows, type=pa.list_(pa.float64())) if finish is None else finish(rows)
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], last],
                                              names=[*[batch.schema.names[i] for i in kept], "features"])

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import docs, no_docs
 from pyspark.sql import functions as F
@@ -260,6 +261,49 @@ def test_highest_values_are_those_of_valuing_every_unit():
             assert a == pytest.approx(b, abs=1e-9)
 
 
+def test_units_as_ranges_are_those_of_every_text():
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abcé1.") for _ in range(draw.randrange(1, 7)))
+    texts = ["", " ", "a", "a b c d", "ab c a bc", "i d i o t", "you i - d i  o\tt, 1 d", "ид иот д у р а к", "x" * 95 + " a x",
+             "\xa0 a\xa0b \u2003 c", "a\x1cb \x1c c", "\x00 a\x00", "ΑΣ Σ", "İ i", "\U0001f600 a \U0001f600"] + [
+        draw.choice(" \n").join(word() for _ in range(draw.randrange(0, 40))) for _ in range(200)]
+    for most in (toxicity.JOINED, 20):
+        units = toxicity.Units.of_texts(texts, most)
+        want = [toxicity.every_unit(t, most) for t in texts]
+        strings = units.strings(np.arange(len(units.begin)))
+        got = [[] for _ in texts]
+        for doc, unit in zip(units.doc.tolist(), units.unit.tolist()):
+            got[doc].append(strings[unit].encode())
+        assert [sorted(g) for g in got] == [sorted(w) for w in want]
+        assert units.counts.tolist() == [len(w) for w in want]
+        assert len(strings) == len(set(strings)) == len(set().union(*want))
+    assert b"a\xc2\xa0bc" not in toxicity.every_unit("a\xa0b c", 3)  # four characters, more than three
+    assert b"\xc2\xa0a\xc2\xa0b" not in toxicity.every_unit("\xa0 a\xa0b \xa0 c", 3)
+
+
+def test_scoring_makes_no_set_of_strings(monkeypatch):
+    """Scoring 500 texts puts the units of whole slices into arrays; strings are made of the few valued only."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abdeilmnorstw") for _ in range(draw.randrange(2, 8)))
+    texts = [" ".join(word() for _ in range(200)) + " idioot" for _ in range(500)] + [None, ""]
+    landmarks, weights = ["idiot", "moron", "table"], [1.5, 2.0, -1.0]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    plain = toxicity.WordValues(landmarks, weights, "value")
+    want = []
+    for text in texts[-50:]:
+        plain.learn(units := plain.units(text or ""))
+        best = sorted((plain.known[w] for w in units if w in plain.known), reverse=True)[:3]
+        want.append(toxicity.document_features(best, len(units)))
+    made, strings = [], toxicity.Units.strings
+    monkeypatch.setattr(toxicity.Units, "strings", lambda self, units: made.append(len(units)) or strings(self, units))
+    monkeypatch.setattr(toxicity, "every_unit", None)
+    monkeypatch.setattr(toxicity, "SLICE_CHARS", 100_000)
+    got = [row for out in toxicity._featured(landmarks, weights, 1, [0])([batch]) for row in out.column(1).to_pylist()]
+    assert len(got) == len(texts) and 0 < sum(made) < 20_000
+    for a, b in zip(got[-50:], want):
+        assert a == pytest.approx(b, abs=1e-6)
+
+
 def test_toxicity_of_texts_without_units(spark):
     rows = [(i, "a b" if i % 2 else "c d", "en", "a", 3) for i in range(40)]
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id bigint, quality int, toxic int")
